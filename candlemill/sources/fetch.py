@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from candlemill.workspace import written
 
 
+# Outcomes a task holds before it passes them on.
+CALLS_PER_BATCH = 64
+
+
 def fetch_windows(
     requests: DataFrame,
     fetch: Callable[[Mapping], pd.DataFrame],
@@ -48,8 +52,10 @@ def fetch_windows(
 
     def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for request in batch[request_names].to_dict("records"):
-                yield pd.DataFrame([call(request)], columns=outcome.fieldNames())
+            requested = batch[request_names].to_dict("records")
+            for start in range(0, len(requested), CALLS_PER_BATCH):
+                outcomes = [call(request) for request in requested[start : start + CALLS_PER_BATCH]]
+                yield pd.DataFrame(outcomes, columns=outcome.fieldNames())
 
     spread = requests if parallelism is None else requests.repartition(parallelism)
     outcomes = written(spread.mapInPandas(per_partition, outcome), "fetched")
