@@ -57,9 +57,15 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``batch`` to append: one per key, none with a key in ``target``."""
-    stored = target.select(*keys).distinct()
-    return one_row_per_key(batch, keys).join(stored, list(keys), "left_anti")
+    """The rows of ``batch`` to append: one per key, none with a key in ``target``.
+
+    The target is first reduced to keys the batch has.  A small batch is then
+    broadcast by its measured size, and a large target is scanned but never
+    shuffled.
+    """
+    fresh = one_row_per_key(batch, keys)
+    stored = target.select(*keys).join(fresh.select(*keys), list(keys), "left_semi").distinct()
+    return fresh.join(stored, list(keys), "left_anti")
 
 
 def merged_ranges(ranges: DataFrame, key: str) -> DataFrame:

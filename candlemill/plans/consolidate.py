@@ -30,4 +30,4 @@ def consolidated(
     named = tables.withColumn(code, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.parquet/", 1))
     if codes is not None:
         named = named.join(codes.select(code).distinct(), code, "left_semi")
-    return named.distinct()
+    return named.select(*tables.columns, code).distinct()

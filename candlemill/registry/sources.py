@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.registry.base import query, table
@@ -77,14 +80,13 @@ def _catalog_tables(spark, d):
     wanted = ("nation", "orders", "lineitem", "events")
     for name in wanted:
         table(spark, d, name).createOrReplaceTempView(f"candlemill_{name}")
-    counts = None
-    for name in wanted:
-        one = spark.sql(f"SELECT 'candlemill_{name}' AS name, count(*) AS n FROM candlemill_{name}")
-        counts = one if counts is None else counts.unionByName(one)
-    listed = table_list(spark).where("temporary").select("name")
-    return counts.join(listed, "name", "left_semi").select(
-        F.substring_index("name", "candlemill_", -1).alias("name"), "n"
-    )
+    listed = {row["name"] for row in table_list(spark).where("temporary").collect()}
+    counts = [
+        spark.sql(f"SELECT '{name}' AS name, count(*) AS n FROM candlemill_{name}")
+        for name in wanted
+        if f"candlemill_{name}" in listed
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 @query("sql_over_view", "select distinct p_brand, p_type from part where p_size > 10")

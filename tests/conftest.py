@@ -43,6 +43,6 @@ def rows(spark):
     """Sorted tuples of a frame, NULLs first."""
 
     def as_tuples(df):
-        return sorted((tuple(row) for row in df.collect()), key=repr)
+        return sorted((tuple(row) for row in df.collect()), key=lambda row: [(v is not None, v) for v in row])
 
     return as_tuples
