@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,22 +105,21 @@ def _agg_collect_list(spark, d):
     )
 
 
-def _moments(values: pd.Series) -> dict:
-    known = values.dropna()
-    mean = float(known.mean()) if len(known) else 0.0
-    return {"n": len(known), "mean": mean, "m2": float(((known - mean) ** 2).sum())}
+def _first_moment(value: float | None) -> tuple:
+    return (0, 0.0, 0.0) if value is None else (1, value, 0.0)
 
 
-def _merged_moments(a: dict, b: dict) -> dict:
-    n = a["n"] + b["n"]
+def _merged_moments(a: tuple, b: tuple) -> tuple:
+    """Count, mean and sum of squared deviations of two parts together."""
+    n = a[0] + b[0]
     if n == 0:
         return a
-    delta = b["mean"] - a["mean"]
-    return {
-        "n": n,
-        "mean": a["mean"] + delta * b["n"] / n,
-        "m2": a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n,
-    }
+    delta = b[1] - a[1]
+    return n, a[1] + delta * b[0] / n, a[2] + b[2] + delta * delta * a[0] * b[0] / n
+
+
+def _with_value(a: tuple, value: float | None) -> tuple:
+    return _merged_moments(a, _first_moment(value))
 
 
 @query(
@@ -131,7 +129,9 @@ def _merged_moments(a: dict, b: dict) -> dict:
 )
 def _udaf_custom(spark, d):
     state = T.StructType.fromDDL("n bigint, mean double, m2 double")
-    moments = combine_by_key(table(spark, d, "events"), "user_id", "value", _moments, _merged_moments, state)
+    moments = combine_by_key(
+        table(spark, d, "events"), "user_id", "value", _first_moment, _with_value, _merged_moments, state
+    )
     return moments.select(
         "user_id",
         "n",

@@ -3,36 +3,36 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlemill.workspace import written
 
-
-# Outcomes a task holds before it passes them on.
+# Calls a task makes before it passes their outcomes on.
 CALLS_PER_BATCH = 64
 
 
 def fetch_windows(
     requests: DataFrame,
-    fetch: Callable[[Mapping], pd.DataFrame],
+    fetch: Callable[[Mapping], Mapping[str, Sequence]],
     schema: T.StructType,
     pause: float = 1.0,
     parallelism: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, errors)`` for one ``fetch`` call per request row.
 
-    ``fetch`` receives the request as a mapping and returns rows in ``schema``.
-    A call that raises gives no rows and one error row: the request and a
-    message.  Each task waits ``pause`` seconds before a call, so the service
-    sees at most ``parallelism / pause`` calls a second.  The outcome is written
-    once to the shared folder: reading both results calls the service once.
+    ``fetch`` receives the request as a mapping and returns parallel lists, one
+    per column of ``schema``.  A call that raises gives no rows and one error
+    row: the request and a message.  Each task waits ``pause`` seconds before a
+    call, so the service sees at most ``parallelism / pause`` calls a second.
+    The outcome is written once to the shared folder: reading both results calls
+    the service once.
     """
-    request_names = requests.columns
     outcome = T.StructType(
         [
             T.StructField("request", requests.schema),
@@ -40,25 +40,38 @@ def fetch_windows(
             T.StructField("rows", T.ArrayType(schema)),
         ]
     )
-    names = schema.fieldNames()
+    arrow = to_arrow_schema(outcome)
+    item = arrow.field("rows").type.value_type
 
-    def call(request: dict) -> dict:
+    def call(request: dict) -> tuple[str | None, pa.Array]:
         time.sleep(pause)
         try:
-            found = fetch(request)
+            answer = fetch(request)
+            columns = [pa.array(answer[field.name], type=field.type) for field in item]
+            return None, pa.StructArray.from_arrays(columns, fields=list(item))
         except Exception as failure:  # noqa: BLE001 - any failure becomes an error row
-            return {"request": request, "error": f"{type(failure).__name__}: {failure}", "rows": []}
-        return {"request": request, "error": None, "rows": found[names].to_dict("records")}
+            return f"{type(failure).__name__}: {failure}", pa.array([], type=item)
 
-    def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            requested = batch[request_names].to_dict("records")
-            for start in range(0, len(requested), CALLS_PER_BATCH):
-                outcomes = [call(request) for request in requested[start : start + CALLS_PER_BATCH]]
-                yield pd.DataFrame(outcomes, columns=outcome.fieldNames())
+            for start in range(0, batch.num_rows, CALLS_PER_BATCH):
+                asked = batch.slice(start, CALLS_PER_BATCH)
+                errors, answers = zip(*(call(request) for request in asked.to_pylist()))
+                ends = [0]
+                for answer in answers:
+                    ends.append(ends[-1] + len(answer))
+                rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(answers))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(asked.to_struct_array(), type=arrow.field("request").type),
+                        pa.array(errors, type=pa.string()),
+                        rows.cast(arrow.field("rows").type),
+                    ],
+                    schema=arrow,
+                )
 
     spread = requests if parallelism is None else requests.repartition(parallelism)
-    outcomes = written(spread.mapInPandas(per_partition, outcome), "fetched")
+    outcomes = written(spread.mapInArrow(per_partition, outcome), "fetched")
     rows = outcomes.where(F.col("error").isNull()).select(F.inline("rows"))
     errors = outcomes.where(F.col("error").isNotNull()).select("request.*", "error")
     return rows, errors

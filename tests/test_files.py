@@ -4,7 +4,6 @@ import datetime
 import gzip
 import json
 
-import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -129,7 +128,7 @@ def test_fetch_calls_once_per_request_and_keeps_failures(spark, tmp_path, rows):
             out.write(request["code"])
         if request["code"] == "bad":
             raise ConnectionError("no answer")
-        return pd.DataFrame({"code": request["code"], "n": range(request["n"])})
+        return {"code": [request["code"]] * request["n"], "n": list(range(request["n"]))}
 
     requests = spark.createDataFrame([("a", 2), ("bad", 1), ("b", 0), ("c", 1)], "code string, n int")
     schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("n", T.LongType())])

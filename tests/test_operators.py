@@ -4,7 +4,6 @@ import collections
 import datetime
 import random
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,16 +133,17 @@ def test_combine_by_key_of_a_hot_key(spark):
     df = spark.createDataFrame(data, "k string, v int").repartition(7)
     state = T.StructType([T.StructField("n", T.LongType()), T.StructField("total", T.LongType())])
 
-    def summarise(values: pd.Series) -> dict:
-        return {"n": len(values), "total": int(values.fillna(0).sum())}
-
-    def merge(a: dict, b: dict) -> dict:
-        return {name: a[name] + b[name] for name in a}
-
-    found = {
-        row["k"]: (row["n"], row["total"])
-        for row in grouping.combine_by_key(df, "k", "v", summarise, merge, state, salts=3).collect()
-    }
+    combined = grouping.combine_by_key(
+        df,
+        "k",
+        "v",
+        create=lambda v: (1, v or 0),
+        merge_value=lambda a, v: (a[0] + 1, a[1] + (v or 0)),
+        merge_states=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        state=state,
+    ).collect()
+    found = {row["k"]: (row["n"], row["total"]) for row in combined}
+    assert len(found) == len(combined)
     wanted = collections.defaultdict(lambda: (0, 0))
     for key, value in data:
         n, total = wanted[key]
@@ -151,6 +151,16 @@ def test_combine_by_key_of_a_hot_key(spark):
     assert found == dict(wanted)
 
 
+def test_combine_by_key_to_lists(spark):
+    data = [("Math", 100), ("Eng", 80), ("Math", 50), ("Eng", 70), ("Eng", 90)]
+    state = T.StructType([T.StructField("scores", T.ArrayType(T.LongType()))])
+    df = spark.createDataFrame(data, "k string, v bigint").repartition(3)
+    lists = grouping.combine_by_key(
+        df, "k", "v", lambda v: ([v],), lambda a, v: (a[0] + [v],), lambda a, b: (a[0] + b[0],), state
+    )
+    assert {r["k"]: sorted(r["scores"]) for r in lists.collect()} == {"Math": [50, 100], "Eng": [70, 80, 90]}
+
+
 def test_summary(spark):
     df = spark.createDataFrame([(float(i), None if i == 0 else i) for i in range(101)], "x double, y int")
     x, y = profile.column_summary(df, ["x", "y"]).collect()
