@@ -26,7 +26,7 @@ import math
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,81 +53,71 @@ def _block_length(spans: Sequence[int], wanted: int) -> int:
 
 
 class _Layout:
-    """Names and weights of the running sums for some values and spans."""
+    """Names and SQL of the running sums for some values and spans."""
 
     def __init__(self, values: Sequence[str], spans: Sequence[int]):
         self.values, self.spans = list(values), list(spans)
         self.retention = {w: _retention(w) for w in self.spans}
-
-    def sums(self):
-        """(name, span, term) for every numerator and denominator."""
+        # (name, span, term) of every numerator and denominator.
+        self.sums = []
         for value in self.values:
-            known = F.col(value).isNotNull()
             for w in self.spans:
-                weight = F.col(f"_grow_{w}")
-                yield f"{value}_{w}_num", w, F.when(known, F.col(value) * weight).otherwise(0.0)
-                yield f"{value}_{w}_den", w, F.when(known, weight).otherwise(0.0)
+                grow = f"_grow_{w}"
+                self.sums += [
+                    (f"{value}_{w}_num", w, f"if(`{value}` is null, 0D, `{value}` * {grow})"),
+                    (f"{value}_{w}_den", w, f"if(`{value}` is null, 0D, {grow})"),
+                ]
 
     def state_type(self) -> T.StructType:
-        return T.StructType([T.StructField(name, T.DoubleType()) for name, _, _ in self.sums()])
+        return T.StructType([T.StructField(name, T.DoubleType()) for name, _, _ in self.sums])
+
+    def power(self, span: int, exponent: str) -> str:
+        return f"pow({self.retention[span]!r}D, {exponent})"
 
-    def power(self, span: int, exponent: Column) -> Column:
-        return F.pow(F.lit(self.retention[span]), exponent)
+    def fold(self, blocks: str) -> str:
+        """The state after some blocks in order, from an empty one."""
+        empty = ", ".join(f"0D as `{name}`" for name, _, _ in self.sums)
+        merged = ", ".join(f"s.`{name}` * b._decay_{w} + b.`{name}` as `{name}`" for name, w, _ in self.sums)
+        return f"aggregate({blocks}, struct({empty}), (s, b) -> struct({merged}))"
 
 
 def _positions(series: DataFrame, key: str, day: str, layout: _Layout, block_days: int) -> DataFrame:
-    block = F.coalesce(F.expr(f"cast(unix_date(`{day}`) div {block_days} as int)"), F.lit(0))
     within = Window.partitionBy(key, "_block").orderBy(day)
     return (
         series.where(F.col(key).isNotNull() & F.col(day).isNotNull())
-        .withColumn("_block", block)
+        .withColumn("_block", F.expr(f"coalesce(cast(unix_date(`{day}`) div {block_days} as int), 0)"))
         .withColumn("_pos", F.row_number().over(within))
-        .select("*", *[layout.power(w, -F.col("_pos")).alias(f"_grow_{w}") for w in layout.spans])
+        .selectExpr("*", *[f"{layout.power(w, '-_pos')} as _grow_{w}" for w in layout.spans])
     )
 
 
 def _block_ends(positioned: DataFrame, key: str, layout: _Layout) -> DataFrame:
     """One row per (key, block): decay over the block and state at its end."""
     totals = positioned.groupBy(key, "_block").agg(
-        F.count("*").alias("_rows"), *[F.sum(term).alias(name) for name, _, term in layout.sums()]
+        F.count("*").alias("_rows"), *[F.expr(f"sum({term}) as `{name}`") for name, _, term in layout.sums]
     )
-    decay = [layout.power(w, F.col("_rows")).alias(f"_decay_{w}") for w in layout.spans]
-    state = [(F.col(name) * layout.power(w, F.col("_rows"))).alias(name) for name, w, _ in layout.sums()]
-    return totals.select(key, "_block", *decay, *state)
+    decay = [f"{layout.power(w, '_rows')} as _decay_{w}" for w in layout.spans]
+    state = [f"`{name}` * {layout.power(w, '_rows')} as `{name}`" for name, w, _ in layout.sums]
+    return totals.selectExpr(f"`{key}`", "_block", *decay, *state)
 
 
 def _as_first_block(states: DataFrame, key: str, layout: _Layout) -> DataFrame:
     """Stored states, shaped as a block that precedes every other one."""
-    return states.select(
-        key,
-        F.lit(_FIRST_BLOCK).alias("_block"),
-        *[F.lit(0.0).alias(f"_decay_{w}") for w in layout.spans],
-        *[F.col("state")[name].alias(name) for name, _, _ in layout.sums()],
+    return states.selectExpr(
+        f"`{key}`",
+        f"int({_FIRST_BLOCK}) as _block",
+        *[f"0D as _decay_{w}" for w in layout.spans],
+        *[f"state.`{name}` as `{name}`" for name, _, _ in layout.sums],
     )
 
 
-def _fold(blocks: Column, layout: _Layout) -> Column:
-    empty = F.struct(*[F.lit(0.0).alias(name) for name, _, _ in layout.sums()])
-
-    def advance(state: Column, block: Column) -> Column:
-        return F.struct(
-            *[(state[name] * block[f"_decay_{w}"] + block[name]).alias(name) for name, w, _ in layout.sums()]
-        )
-
-    return F.aggregate(blocks, empty, advance)
-
-
-def _blocks_per_key(ends: DataFrame, key: str) -> DataFrame:
-    """All block summaries of a series in order; at most one per block of days."""
-    fields = [name for name in ends.columns if name != key]
-    return ends.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_blocks"))
-
-
 def _summaries(positioned: DataFrame, key: str, layout: _Layout, carried: DataFrame | None) -> DataFrame:
+    """All block summaries of a series in order; at most one per block of days."""
     ends = _block_ends(positioned, key, layout)
     if carried is not None:
         ends = ends.unionByName(_as_first_block(carried, key, layout))
-    return _blocks_per_key(ends, key)
+    fields = [name for name in ends.columns if name != key]
+    return ends.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_blocks"))
 
 
 def ewm_means(
@@ -147,35 +137,21 @@ def ewm_means(
     """
     layout = _Layout(values, spans)
     positioned = _positions(series, key, day, layout, _block_length(spans, block_days))
-    starts = _summaries(positioned, key, layout, carried).select(
-        key,
-        F.inline(
-            F.transform(
-                "_blocks",
-                lambda here: F.struct(
-                    here["_block"].alias("_block"),
-                    _fold(F.filter("_blocks", lambda b: b["_block"] < here["_block"]), layout).alias("_start"),
-                ),
-            )
-        ),
-    )
-    so_far = (
-        Window.partitionBy(key, "_block").orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = layout.fold("filter(_blocks, b -> b._block < here._block)")
+    starts = _summaries(positioned, key, layout, carried).selectExpr(
+        f"`{key}`", f"inline(transform(_blocks, here -> struct(here._block as _block, {before} as _start)))"
     )
-    running = positioned.select(
-        *series.columns, "_block", *[F.sum(term).over(so_far).alias(name) for name, _, term in layout.sums()]
+    so_far = f"over (partition by `{key}`, _block order by `{day}` rows unbounded preceding)"
+    kept = [f"`{name}`" for name in series.columns]
+    running = positioned.selectExpr(
+        *kept, "_block", *[f"sum({term}) {so_far} as `{name}`" for name, _, term in layout.sums]
     )
     means = []
     for value in layout.values:
         for w in layout.spans:
-            num, den = f"{value}_{w}_num", f"{value}_{w}_den"
-            means.append(
-                F.try_divide(
-                    F.col(num) + F.col("_start")[num],
-                    F.col(den) + F.col("_start")[den],
-                ).alias(mean_name(value, w))
-            )
-    return running.join(starts, [key, "_block"]).select(*series.columns, *means)
+            num, den = (f"(`{value}_{w}_{part}` + _start.`{value}_{w}_{part}`)" for part in ("num", "den"))
+            means.append(f"try_divide({num}, {den}) as `{mean_name(value, w)}`")
+    return running.join(starts, [key, "_block"]).selectExpr(*kept, *means)
 
 
 def ewm_states(
@@ -190,7 +166,7 @@ def ewm_states(
     """The state after the last row of each series: ``(key, last_day, state)``."""
     layout = _Layout(values, spans)
     positioned = _positions(series, key, day, layout, _block_length(spans, block_days))
-    states = _summaries(positioned, key, layout, carried).select(key, _fold(F.col("_blocks"), layout).alias("state"))
+    states = _summaries(positioned, key, layout, carried).selectExpr(f"`{key}`", f"{layout.fold('_blocks')} as state")
     last = positioned.select(key, F.col(day).alias("last_day"))
     if carried is not None:
         last = last.unionByName(carried.select(key, "last_day"))

@@ -95,6 +95,19 @@ def indicators_resumed(arrived: DataFrame, states: DataFrame, spans: Sequence[in
     return indicators(in_order, spans, states)
 
 
+def indicators_rebased(
+    series: DataFrame, existing: DataFrame, rebased: DataFrame, spans: Sequence[int] = SPANS
+) -> DataFrame:
+    """All stored indicators after some codes got a new history.
+
+    Only the rebased codes are computed again; an anti join on (day, code) alone
+    would keep their old values for ever.
+    """
+    codes = rebased.select(CODE).distinct()
+    fresh = indicators(series.join(codes, CODE, "left_semi"), spans)
+    return existing.join(codes, CODE, "left_anti").select(fresh.columns).unionByName(fresh)
+
+
 def stored_layout(df: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
     """Indicators as stored: text dates and 32-bit floats, 20 columns."""
     columns = [compact_date(F.col(DAY)).alias("stockdate"), F.col(CODE).cast("string").alias("stockcode")]

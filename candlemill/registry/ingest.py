@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from candlemill.operators.keyed import until_second_empty
 from candlemill.plans.consolidate import codes_to_move, consolidated
+from candlemill.plans.daily import daily_update
 from candlemill.plans.ingest import (
     WINDOW_DAYS,
     cut_windows,
@@ -133,14 +134,53 @@ def _windows_until_empty(spark, d):
 
 REBASED = "select s_suppkey from supplier where s_acctbal > 5000"
 
+# The service's answer in the daily run: every day, rebased codes at twice the price.
+SERVED = f"""
+    select code, day, case when code in ({REBASED}) then close * 2 else close end as close, volume
+    from ({DAILY_SERIES})
+"""
+
+
+def _served(spark, d):
+    doubled = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("code"))
+    series = daily_series(spark, d).join(doubled.withColumn("_x", F.lit(2)), "code", "left")
+    return series.withColumn("close", F.col("close") * F.coalesce("_x", F.lit(1))).drop("_x")
+
+
+def _daily_run(spark, d):
+    """Half the history is stored; the rest, and rebased codes, come from a table-backed service."""
+    served = _served(spark, d)
+
+    def fetch(requests):
+        days = requests.select("code", F.explode(F.sequence("from", "to")).alias("day"))
+        rows = written(served.join(days, ["code", "day"], "left_semi"), "answered")
+        return rows, requests.select("code").limit(0)
+
+    series = daily_series(spark, d)
+    stored = series.where("day <= date '1999-12-31'")
+    listing = series.groupBy("code").agg(F.min("day").alias("listed_day"))
+    listing = listing.withColumns({"price_change": F.lit("00"), "etlcheck": F.lit("")})
+    return daily_update(listing, stored, fetch, AS_OF)
+
+
+@query("daily_prices", SERVED)
+def _daily_prices(spark, d):
+    update = _daily_run(spark, d)
+    return update.kept.unionByName(update.added)
+
+
+@query(
+    "daily_listing",
+    f"""select code, min(day) as listed_day, '00' as price_change, '{AS_OF:%Y%m%d}' as etlcheck
+        from ({DAILY_SERIES}) group by 1""",
+)
+def _daily_listing(spark, d):
+    return _daily_run(spark, d).listing
+
 
 def _rebased(spark, d):
     stored = daily_series(spark, d)
-    changed = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("code"))
-    fetched = stored.join(changed.withColumn("_x", F.lit(2)), "code", "left").withColumn(
-        "close", F.col("close") * F.coalesce("_x", F.lit(1))
-    )
-    return stored, rebased_codes(fetched, stored, "code", "day", "close")
+    return stored, rebased_codes(_served(spark, d), stored, "code", "day", "close")
 
 
 @query("detect_rebased", f"select distinct code from ({DAILY_SERIES}) where close > 0 and code in ({REBASED})")

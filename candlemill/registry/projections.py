@@ -33,11 +33,11 @@ def _proj_with_drop(spark, d):
     return orders.drop("o_orderstatus", "o_orderdate", "o_orderpriority", "no_such_column")
 
 
-@query("proj_literal", "select event_id, 'Korea' as country, timestamp '2024-02-01 00:00:00' as loaded_at from events")
+@query("proj_literal", "select event_id, 'KR' as country, timestamp '2024-02-01 00:00:00' as loaded_at from events")
 def _proj_literal(spark, d):
     return table(spark, d, "events").select(
         "event_id",
-        F.lit("Korea").alias("country"),
+        F.lit("KR").alias("country"),
         F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("loaded_at"),
     )
 

@@ -16,13 +16,14 @@ from candlemill.plans.indicators import (
     indicator_states,
     indicators,
     indicators_incremental,
+    indicators_rebased,
     indicators_resumed,
 )
-from candlemill.registry.base import DAILY_SERIES, daily_series, query
+from candlemill.registry.base import DAILY_SERIES, daily_series, query, table
 
 STORED_UNTIL = datetime.date(2000, 6, 30)
-# The stand-in has gaps where the volume is a multiple of this.
-GAP = 5
+# The stand-in has gaps where the volume is below this.
+GAP = 15
 
 
 # A mean of two whole numbers often lies exactly between two roundings, where the
@@ -48,7 +49,7 @@ def _means_sql(columns: list[str], source: str = DAILY_SERIES, where: str = "tru
     """
 
 
-def _indicators_sql(where: str = "true") -> str:
+def _indicators_sql(where: str = "true", source: str = DAILY_SERIES) -> str:
     columns = []
     for w in SPANS:
         columns += [
@@ -56,7 +57,7 @@ def _indicators_sql(where: str = "true") -> str:
             f"round({_mean('volume', w)} + {NUDGE}, 3) as eavg_volume_{w}",
             f"round(t.close / ({_mean('close', w)}) * 100, 6) as disparity_{w}",
         ]
-    return _means_sql(columns, where=where)
+    return _means_sql(columns, source, where)
 
 
 def _rounded_indicators(df):
@@ -90,6 +91,25 @@ def _indicators_resumed(spark, d):
     return _rounded_indicators(indicators_resumed(series.where(F.col("day") > until), states))
 
 
+# Suppliers whose values come back doubled.
+REBASED = "select s_suppkey from supplier where s_acctbal > 5000"
+
+
+@query(
+    "indicators_rebased",
+    _indicators_sql(
+        source=f"""select code, day, case when code in ({REBASED}) then close * 2 else close end as close, volume
+                   from ({DAILY_SERIES})"""
+    ),
+)
+def _indicators_rebased(spark, d):
+    stored = daily_series(spark, d)
+    changed = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("code"))
+    refetched = stored.join(changed, "code", "left_semi").withColumn("close", F.col("close") * 2)
+    series = stored.join(changed, "code", "left_anti").unionByName(refetched)
+    return _rounded_indicators(indicators_rebased(series, indicators(stored), changed))
+
+
 def _ewm_query(value: str):
     @query(f"ewm_{value}", _means_sql([f"round({_mean(value, w)} + {NUDGE}, 3) as ewm_{value}_{w}" for w in SPANS]))
     def means(spark, d):
@@ -105,11 +125,11 @@ _ewm_query("volume")
     "ewm_with_gaps",
     _means_sql(
         [f"round({_mean('price', w)} + {NUDGE}, 3) as ewm_price_{w}" for w in SPANS],
-        f"select *, case when volume % {GAP} <> 0 then close end as price from ({DAILY_SERIES})",
+        f"select *, case when volume >= {GAP} then close end as price from ({DAILY_SERIES})",
     ),
 )
 def _ewm_with_gaps(spark, d):
-    price = F.when(F.col("volume") % GAP != 0, F.col("close"))
+    price = F.when(F.col("volume") >= GAP, F.col("close"))
     series = daily_series(spark, d).withColumn("price", price)
     df = ewm_means(series, "code", "day", ["price"], SPANS)
     return df.select("code", "day", *[_rounded(mean_name("price", w)) for w in SPANS])

@@ -202,3 +202,13 @@ def test_stored_layout(spark):
     assert len(stored.columns) == 20
     assert {f.dataType.simpleString() for f in stored.schema.fields[2:]} == {"float"}
     assert stored.first()["stockdate"] == "20010301"
+
+
+def test_rebased_codes_are_computed_again(spark):
+    series = frame(spark, random_series(9, missing=0)).withColumn("close", ind.F.col("close").cast("long"))
+    existing = ind.indicators(series, [5])
+    rebased = series.where("code = '000002'").select("code")
+    changed = series.withColumn("close", ind.F.expr("if(code = '000002', close * 3, close)"))
+    found = ind.indicators_rebased(changed, existing, rebased, [5])
+    wanted = ind.indicators(changed, [5])
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))

@@ -241,3 +241,72 @@ def test_text_statistics(spark, rows):
     lines = spark.createDataFrame([("one two two",), ("two  end",), (None,), ("",)], "value string")
     assert rows(textstats.word_count(lines)) == [("", 2), ("end", 1), ("one", 1), ("two", 3)]
     assert tuple(textstats.lines_with(lines, ["o", "n"]).first()) == (2, 2)
+
+
+# ---- the daily run
+
+
+@pytest.fixture
+def daily(spark):
+    listing_rows = [
+        ("kept", D("2024-01-01"), "00", None),
+        ("split", D("2024-01-01"), "00", None),
+        ("told", D("2024-01-01"), "01", None),
+        ("new", D("2024-01-03"), "00", None),
+        ("down", D("2024-01-01"), "00", None),
+        ("done", D("2024-01-01"), "00", "20240104"),
+    ]
+    listed = spark.createDataFrame(
+        listing_rows, "code string, listed_day date, price_change string, etlcheck string"
+    )
+    stored = prices(
+        spark,
+        [(c, D(f"2024-01-0{i}"), 10 * i) for c in ("kept", "split", "told", "down", "done") for i in (1, 2)],
+    )
+    service = {
+        (c, D(f"2024-01-0{i}")): 10 * i // (2 if c in ("split", "told") else 1)
+        for c in ("kept", "split", "told", "new", "done")
+        for i in (1, 2, 3, 4)
+        if c != "new" or i > 2
+    }
+    asked = []
+
+    def fetch(requests):
+        windows = [(r["code"], r["from"], r["to"]) for r in requests.collect()]
+        asked.append(windows)
+        found = [
+            (code, day, close)
+            for (code, day), close in service.items()
+            if any(code == c and a <= day <= b for c, a, b in windows)
+        ]
+        failed = [(c,) for c, _, _ in windows if c == "down"]
+        return prices(spark, found), spark.createDataFrame(failed, "code string")
+
+    return listed, stored, fetch, service, asked
+
+
+def test_daily_update(spark, rows, daily):
+    from candlemill.plans.daily import daily_update
+
+    listed, stored, fetch, service, asked = daily
+    update = daily_update(listed, stored, fetch, D("2024-01-04"))
+    assert sorted(r["code"] for r in update.rebased.collect()) == ["split", "told"]
+    after = update.kept.unionByName(update.added)
+    found = {(c, d): x for c, d, x in rows(after)}
+    assert len(found) == after.count()
+    for code in ("kept", "split", "told", "new"):
+        assert {k: v for k, v in found.items() if k[0] == code} == {k: v for k, v in service.items() if k[0] == code}
+    assert {k[1] for k in found if k[0] in ("down", "done")} == {D("2024-01-01"), D("2024-01-02")}
+    status = dict(rows(update.listing.select("code", "etlcheck")))
+    assert status == {"kept": "20240104", "split": "20240104", "told": "20240104", "new": "20240104", "down": None, "done": "20240104"}
+    assert [sorted({w[0] for w in windows}) for windows in asked] == [["down", "kept", "new", "split", "told"], ["split"]]
+
+
+def test_second_daily_run_adds_nothing(spark, daily):
+    from candlemill.plans.daily import daily_update
+
+    listed, stored, fetch, _, _ = daily
+    first = daily_update(listed, stored, fetch, D("2024-01-04"))
+    after = first.kept.unionByName(first.added)
+    again = daily_update(listed.where("price_change = '00'"), after, fetch, D("2024-01-04"))
+    assert again.added.count() == 0 and again.rebased.count() == 0
