@@ -25,6 +25,8 @@ def _chunked(tagged: DataFrame, key: str, parts: Sequence[str], max_len: int) ->
 
     Equal rows are counted first, so a value repeated many times moves as one
     row; a long run of copies is cut into pieces that land in chunks of their own.
+    The rows come out spread by key *and* chunk: the partitioning by key that the
+    join leaves would satisfy a grouping by both, and keep a hot key in one task.
     """
     counted = tagged.groupBy(key, *parts).agg(F.count("*").alias("copies"))
     totals = counted.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.sum("copies") / max_len).alias("_chunks"))
@@ -34,6 +36,8 @@ def _chunked(tagged: DataFrame, key: str, parts: Sequence[str], max_len: int) ->
         .withColumn("_piece", F.explode(pieces))
         .withColumn("copies", F.least(F.lit(max_len), F.col("copies") - F.col("_piece") * max_len).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64(*parts, "_piece"), F.col("_chunks")).cast("int"))
+        .select(key, "chunk", *parts, "copies")
+        .repartition(key, "chunk")
     )
 
 

@@ -13,6 +13,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def match_keyed(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, also: Column | None = None
+) -> DataFrame:
+    """Join rows to a side that was aggregated by the same keys; NULL keys match nothing.
+
+    Such a side arrives partitioned by the keys, so a plain join would not shuffle
+    it again, and adaptive execution splits a hot key only where both sides are
+    shuffled for the join.  ``<=>`` asks for that shuffle on either side (the
+    right one has few rows per key).  A right side that measures small is still
+    broadcast, without any shuffle.
+    """
+    renamed = {name: f"_right_{name}" for name in keys}
+    other = right.na.drop(subset=list(keys)).withColumnsRenamed(renamed)
+    condition = F.lit(True) if also is None else also
+    for name, other_name in renamed.items():
+        condition = condition & F.col(name).eqNullSafe(F.col(other_name))
+    return left.join(other, condition, how).drop(*renamed.values())
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """All rows that carry the largest ``order`` of their key (ties kept)."""
     newest = df.groupBy(*keys).agg(F.max(order).alias(order))
@@ -69,15 +88,19 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
 
 
 def merged_ranges(ranges: DataFrame, key: str) -> DataFrame:
-    """Overlapping or touching ``(key, from, to)`` date ranges joined into one."""
+    """Overlapping or touching ``(key, from, to)`` date ranges joined into one.
+
+    Only the longest range from each day matters, so the windows below see at
+    most one row per key and day however many ranges come in.
+    """
     by_start = Window.partitionBy(key).orderBy("from", "to")
     before = by_start.rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max("to").over(before)
     opens = F.when(reach.isNull() | (F.col("from") > F.date_add(reach, 1)), 1).otherwise(0)
     return (
         ranges.where("`from` <= `to`")
-        .select(key, "from", "to")
-        .distinct()
+        .groupBy(key, "from")
+        .agg(F.max("to").alias("to"))
         .withColumn("_opens", opens)
         .withColumn("_island", F.sum("_opens").over(by_start))
         .groupBy(key, "_island")
@@ -88,15 +111,19 @@ def merged_ranges(ranges: DataFrame, key: str) -> DataFrame:
 
 def delete_ranges(df: DataFrame, key: str, day: str, ranges: DataFrame) -> DataFrame:
     """``df`` without the rows of a key that fall in one of its date ranges."""
-    gone = merged_ranges(ranges, key).alias("gone")
-    here = df.alias("here")
-    inside = F.col(f"here.`{day}`").between(F.col("gone.from"), F.col("gone.to"))
-    return here.join(gone, (F.col(f"here.`{key}`") == F.col(f"gone.`{key}`")) & inside, "left_anti")
+    gone = merged_ranges(ranges, key).withColumnsRenamed({"from": "_gone_from", "to": "_gone_to"})
+    inside = F.col(day).between(F.col("_gone_from"), F.col("_gone_to"))
+    return match_keyed(df, gone, [key], "left_anti", inside)
 
 
 def keep_listed(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     """Rows whose key is in the listing."""
-    return df.join(listed.select(key).distinct(), key, "left_semi")
+    return match_keyed(df, listed.select(key).distinct(), [key], "left_semi")
+
+
+def drop_listed(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
+    """Rows whose key is not in the listing."""
+    return match_keyed(df, listed.select(key).distinct(), [key], "left_anti")
 
 
 def until_second_empty(windows: DataFrame, keys: Sequence[str], order: str, rows: str) -> DataFrame:

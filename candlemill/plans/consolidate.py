@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlemill.operators.keyed import keep_listed
+
 
 def codes_to_move(listed: DataFrame, old_store: DataFrame, new_store: DataFrame, code: str) -> DataFrame:
     """Listed codes that only the old store has."""
@@ -29,5 +31,5 @@ def consolidated(
     tables = spark.read.schema(schema).parquet(f"{root}/*.parquet")
     named = tables.withColumn(code, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.parquet/", 1))
     if codes is not None:
-        named = named.join(codes.select(code).distinct(), code, "left_semi")
+        named = keep_listed(named, code, codes)
     return named.select(*tables.columns, code).distinct()

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from candlemill.functions import compact_date, parse_compact_date, percent_of
 from candlemill.operators.ewm import ewm_means, ewm_states, mean_name, state_schema
-from candlemill.operators.keyed import one_row_per_key
+from candlemill.operators.keyed import drop_listed, keep_listed, one_row_per_key
 
 # The spans of the stored indicators and the stored column names.
 SPANS = (5, 20, 60, 112, 224, 448)
@@ -91,8 +91,7 @@ def indicators_resumed(arrived: DataFrame, states: DataFrame, spans: Sequence[in
     Equal to ``indicators`` over history plus arrivals for every code outside
     ``late_codes``; those codes are left out here.
     """
-    in_order = arrived.join(late_codes(arrived, states), CODE, "left_anti")
-    return indicators(in_order, spans, states)
+    return indicators(drop_listed(arrived, CODE, late_codes(arrived, states)), spans, states)
 
 
 def indicators_rebased(
@@ -103,9 +102,8 @@ def indicators_rebased(
     Only the rebased codes are computed again; an anti join on (day, code) alone
     would keep their old values for ever.
     """
-    codes = rebased.select(CODE).distinct()
-    fresh = indicators(series.join(codes, CODE, "left_semi"), spans)
-    return existing.join(codes, CODE, "left_anti").select(fresh.columns).unionByName(fresh)
+    fresh = indicators(keep_listed(series, CODE, rebased), spans)
+    return drop_listed(existing, CODE, rebased).select(fresh.columns).unionByName(fresh)
 
 
 def stored_layout(df: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions import window_list, years_before
-from candlemill.operators.keyed import delete_ranges, insert_ignore, keep_listed, last_value_per_key
+from candlemill.operators.keyed import (
+    delete_ranges,
+    drop_listed,
+    insert_ignore,
+    keep_listed,
+    last_value_per_key,
+    match_keyed,
+)
 
 # Days per request, years of history kept, first day of other plans.
 WINDOW_DAYS = 30
@@ -65,7 +72,7 @@ def rebased_codes(fetched: DataFrame, stored: DataFrame, code: str, day: str, pr
 
 def without_rebased(prices: DataFrame, rebased: DataFrame, code: str) -> DataFrame:
     """Drop the whole history of rebased codes; ``plan_windows`` then refetches it."""
-    return prices.join(rebased.select(code).distinct(), code, "left_anti")
+    return drop_listed(prices, code, rebased)
 
 
 def without_overlap(arrays: DataFrame, columns: list[str]) -> DataFrame:
@@ -111,5 +118,5 @@ def purge_range(prices: DataFrame, ranges: DataFrame, code: str, day: str) -> Da
 def rows_after_stored(fetched: DataFrame, stored: DataFrame, code: str, day: str) -> DataFrame:
     """Fetched rows later than the last stored day of their code."""
     last = last_value_per_key(stored, [code], day, "_last")
-    joined = fetched.join(last, code, "left")
+    joined = match_keyed(fetched, last, [code], "left")
     return joined.where(F.col("_last").isNull() | (F.col(day) > F.col("_last"))).select(*fetched.columns)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlemill.operators.keyed import keep_listed
 from candlemill.workspace import written
 
 BUCKET = "bucket"
@@ -56,7 +57,7 @@ def replace_buckets(
     ``df`` is the whole new table; buckets without a touched key stay as they are.
     """
     names = touched.select(bucket_of(keys, buckets).alias(BUCKET)).distinct()
-    fresh = written(df.withColumn(BUCKET, bucket_of(keys, buckets)).join(names, BUCKET, "left_semi"), "staged")
+    fresh = written(keep_listed(df.withColumn(BUCKET, bucket_of(keys, buckets)), BUCKET, names), "staged")
     emptied = [row[BUCKET] for row in names.subtract(fresh.select(BUCKET)).toLocalIterator()]
     (
         fresh.hint("rebalance", F.col(BUCKET))

@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as contract
 from candlemill.operators.ewm import ewm_means
-from candlemill.operators.keyed import top_per_key
-from candlemill.plans.ingest import purge_old
+from candlemill.operators.grouping import lists_per_key
+from candlemill.operators.keyed import delete_ranges, drop_listed, keep_listed, subtract_rows, top_per_key
+from candlemill.plans.ingest import purge_old, rows_after_stored
 from candlemill.registry.base import daily_series, table
 
 
@@ -28,6 +29,53 @@ def test_no_cross_join(spark, smallest, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.fixture
+def hot(spark):
+    """Rows of which a third have one key, and settings that make a small partition count as large."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark.range(200_000).selectExpr(
+        "if(id % 3 = 0, 7, id % 2000) as code", "date_add(date '2000-01-01', int(id % 5000)) as day", "id as v"
+    ).repartition(8)
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+HOT_JOINS = {
+    "keep_listed": lambda df: keep_listed(df, "code", df.where("code > 5")),
+    "drop_listed": lambda df: drop_listed(df, "code", df.where("code > 1000")),
+    "rows_after_stored": lambda df: rows_after_stored(df, df.where("v < 100000"), "code", "day"),
+    "delete_ranges": lambda df: delete_ranges(
+        df, "code", "day", df.selectExpr("code", "day as `from`", "date_add(day, 1) as to").where("v % 50 = 0")
+    ),
+    "subtract_rows": lambda df: subtract_rows(df.select("code"), df.select("code").where("code > 1000")),
+    "lists_per_key": lambda df: lists_per_key(df, "code", "v", max_len=1000),
+}
+
+
+@pytest.mark.parametrize("name", sorted(HOT_JOINS))
+def test_a_hot_key_is_split(hot, name):
+    plan = executed_plan_of(HOT_JOINS[name](hot))
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_chunks_of_a_hot_key_are_spread(hot):
+    plan = executed_plan_of(lists_per_key(hot, "code", "v", max_len=1000))
+    assert "REPARTITION_BY_COL" in plan
+
+
 def test_top_per_key_limits_before_the_shuffle(spark, smallest):
     events = table(spark, smallest, "events").select("user_id", "event_id", "value")
     plan = plan_of(top_per_key(events, ["user_id"], [events["value"].desc(), events["event_id"]]))
