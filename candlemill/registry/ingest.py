@@ -88,7 +88,8 @@ def _fetched(spark, d):
     answers = (
         series.join(spans, "code")
         .groupBy("code", start.alias("from"))
-        .agg(F.to_json(F.collect_list(F.struct(F.col("day").cast("string").alias("day"), "close", "volume"))).alias("answer"))
+        .agg(F.collect_list(F.struct(F.col("day").cast("string").alias("day"), "close", "volume")).alias("days"))
+        .select("code", "from", F.to_json("days").alias("answer"))
     )
     requests = windows.join(answers, ["code", "from"], "left").select(
         "code", F.col("from").cast("string").alias("from"), F.col("to").cast("string").alias("to"), "answer"
@@ -203,8 +204,10 @@ def _drop_rebased(spark, d):
 def _delete_range(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
     first = orders.groupBy("o_custkey").agg(F.min("day").alias("b"))
-    spans = F.array(*[F.struct(F.date_add("b", a).alias("from"), F.date_add("b", z).alias("to")) for a, z in ((100, 500), (300, 899), (900, 900))])
-    ranges = first.select("o_custkey", F.inline(spans))
+    # Overlapping and touching ranges that together make days 100 to 900.
+    offsets = ((100, 500), (300, 899), (900, 900))
+    spans = [F.struct(F.date_add("b", a).alias("from"), F.date_add("b", z).alias("to")) for a, z in offsets]
+    ranges = first.select("o_custkey", F.inline(F.array(*spans)))
     return purge_range(orders, ranges, "o_custkey", "day").select("o_orderkey")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from candlemill.plans.events import publish, refined
 from candlemill.plans.ingest import rows_after_stored
-from candlemill.registry.base import DAILY_SERIES, REFINED_EVENTS, daily_series, query, raw_events
+from candlemill.registry.base import DAILY_SERIES, REFINED_EVENTS, daily_series, query, raw_events, table
 from candlemill.sinks.index import IndexSink
 from candlemill.sinks.tables import append_bucketed, read_bucketed, replace_buckets
 from candlemill.workspace import new_folder
@@ -26,11 +26,12 @@ def _sink_parquet_append(spark, d):
     return read_bucketed(spark, path, SERIES)
 
 
-@query("sink_replace_buckets", f"select * from ({DAILY_SERIES}) where code not in (select s_suppkey from supplier where s_acctbal < 0)")
+@query(
+    "sink_replace_buckets",
+    f"select * from ({DAILY_SERIES}) where code not in (select s_suppkey from supplier where s_acctbal < 0)",
+)
 def _sink_replace_buckets(spark, d):
     """Purge some codes from a stored table, rewriting only the buckets they are in."""
-    from candlemill.registry.base import table
-
     path = new_folder(spark, "prices")
     append_bucketed(daily_series(spark, d), path, ["code"], BUCKETS)
     gone = table(spark, d, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("code"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from candlemill.registry.base import query, table
 from candlemill.sinks.tables import export_csv, save_bucketed
 from candlemill.sources.catalog import table_list
 from candlemill.sources.files import expired_files
-from candlemill.sources.master import CODE_PAGE, MAIN_MARKET, MAIN_MARKET_HEAD, fields_of, fixed_width, decoded_lines
+from candlemill.sources.master import CODE_PAGE, MAIN_MARKET, MAIN_MARKET_HEAD, decoded_lines, fields_of, fixed_width
 from candlemill.workspace import new_folder
 
 
@@ -53,7 +55,7 @@ def _src_range_sum(spark, d):
 @query("src_table_limit", "select o_orderkey, o_custkey, o_totalprice from orders order by o_orderkey limit 10")
 def _src_table_limit(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    saved = save_bucketed(orders, "candlemill_orders", new_folder(spark, "bucketed"), "o_orderkey", 8)
+    saved = save_bucketed(orders, "candlemill_bucketed_orders", new_folder(spark, "bucketed"), "o_orderkey", 8)
     return saved.orderBy("o_orderkey").limit(10)
 
 
@@ -65,8 +67,8 @@ def _src_table_limit(spark, d):
 def _bucketed_join(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey")
     lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
-    left = save_bucketed(orders, "candlemill_order_keys", new_folder(spark, "bucketed"), "o_orderkey", 8)
-    right = save_bucketed(lines, "candlemill_order_lines", new_folder(spark, "bucketed"), "o_orderkey", 8)
+    left = save_bucketed(orders, "candlemill_bucketed_order_keys", new_folder(spark, "bucketed"), "o_orderkey", 8)
+    right = save_bucketed(lines, "candlemill_bucketed_order_lines", new_folder(spark, "bucketed"), "o_orderkey", 8)
     grouped = left.join(right, "o_orderkey").groupBy("o_orderkey")
     return grouped.agg(F.count("*").alias("n"), F.sum("l_quantity").cast("long").alias("quantity"))
 
@@ -79,12 +81,12 @@ def _bucketed_join(spark, d):
 def _catalog_tables(spark, d):
     wanted = ("nation", "orders", "lineitem", "events")
     for name in wanted:
-        table(spark, d, name).createOrReplaceTempView(f"candlemill_{name}")
+        table(spark, d, name).createOrReplaceTempView(f"candlemill_view_{name}")
     listed = {row["name"] for row in table_list(spark).where("temporary").collect()}
     counts = [
-        spark.sql(f"SELECT '{name}' AS name, count(*) AS n FROM candlemill_{name}")
+        spark.sql(f"SELECT '{name}' AS name, count(*) AS n FROM candlemill_view_{name}")
         for name in wanted
-        if f"candlemill_{name}" in listed
+        if f"candlemill_view_{name}" in listed
     ]
     return functools.reduce(DataFrame.unionByName, counts)
 
@@ -100,14 +102,12 @@ def _sql_over_view(spark, d):
     "select count(*) as n from (select p_partkey, p_type from part group by 1, 2) where p_type > 'M'",
 )
 def _sql_group_then_filter(spark, d):
-    table(spark, d, "part").createOrReplaceTempView("candlemill_part")
-    grouped = spark.sql("SELECT p_partkey, p_type FROM candlemill_part GROUP BY p_type, p_partkey")
+    table(spark, d, "part").createOrReplaceTempView("candlemill_view_part")
+    grouped = spark.sql("SELECT p_partkey, p_type FROM candlemill_view_part GROUP BY p_type, p_partkey")
     return grouped.where("p_type > 'M'").agg(F.count("*").alias("n"))
 
 
-def _encode(batches):
-    import pandas as pd
-
+def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({"raw": [line.encode(CODE_PAGE) for line in batch["line"]]})
 

@@ -174,7 +174,8 @@ def test_replace_table_from_itself(spark, rows):
 
 
 def test_csv_export_per_key_in_order(spark, tmp_path):
-    df = spark.createDataFrame([("069500", 20240102, 2), ("069500", 20240101, 1), ("114800", 20240101, 9)], ["t", "date", "close"])
+    data = [("069500", 20240102, 2), ("069500", 20240101, 1), ("114800", 20240101, 9)]
+    df = spark.createDataFrame(data, ["t", "date", "close"])
     export_csv(df, f"{tmp_path}/out", "t", "date")
     back = spark.read.option("header", "true").schema("date int, close int").csv(f"{tmp_path}/out/t=069500")
     assert [tuple(r) for r in back.collect()] == [(20240101, 1), (20240102, 2)]
