@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlemill.functions import clean_event_time
 from candlemill.plans.events import FLAT, NESTED, daily_stats, parsed, refined, repo_stats, top, user_stats
 from candlemill.registry.base import KINDS, RAW_EVENTS, REFINED_EVENTS, query, raw_events
 from candlemill.sources.files import read_json
@@ -61,7 +62,7 @@ def _src_json_schema(spark, d):
     return nested.select(
         "id",
         "type",
-        F.to_timestamp("created_at").cast("timestamp_ntz").alias("created_at"),
+        clean_event_time(F.col("created_at")).cast("timestamp_ntz").alias("created_at"),
         F.col("actor.login").alias("login"),
         "payload.repository_id",
         F.col("payload.comment.body").alias("body"),
