@@ -91,14 +91,16 @@ def _positions(series: DataFrame, key: str, day: str, layout: _Layout, block_day
     )
 
 
-def _block_ends(positioned: DataFrame, key: str, layout: _Layout) -> DataFrame:
-    """One row per (key, block): decay over the block and state at its end."""
+def _block_ends(positioned: DataFrame, key: str, day: str, layout: _Layout) -> DataFrame:
+    """One row per (key, block): last day, decay over the block, state at its end."""
     totals = positioned.groupBy(key, "_block").agg(
-        F.count("*").alias("_rows"), *[F.expr(f"sum({term}) as `{name}`") for name, _, term in layout.sums]
+        F.max(day).alias("_last"),
+        F.count("*").alias("_rows"),
+        *[F.expr(f"sum({term}) as `{name}`") for name, _, term in layout.sums],
     )
     decay = [f"{layout.power(w, '_rows')} as _decay_{w}" for w in layout.spans]
     state = [f"`{name}` * {layout.power(w, '_rows')} as `{name}`" for name, w, _ in layout.sums]
-    return totals.selectExpr(f"`{key}`", "_block", *decay, *state)
+    return totals.selectExpr(f"`{key}`", "_block", "_last", *decay, *state)
 
 
 def _as_first_block(states: DataFrame, key: str, layout: _Layout) -> DataFrame:
@@ -106,14 +108,17 @@ def _as_first_block(states: DataFrame, key: str, layout: _Layout) -> DataFrame:
     return states.selectExpr(
         f"`{key}`",
         f"int({_FIRST_BLOCK}) as _block",
+        "last_day as _last",
         *[f"0D as _decay_{w}" for w in layout.spans],
         *[f"state.`{name}` as `{name}`" for name, _, _ in layout.sums],
     )
 
 
-def _summaries(positioned: DataFrame, key: str, layout: _Layout, carried: DataFrame | None) -> DataFrame:
+def _summaries(
+    positioned: DataFrame, key: str, day: str, layout: _Layout, carried: DataFrame | None
+) -> DataFrame:
     """All block summaries of a series in order; at most one per block of days."""
-    ends = _block_ends(positioned, key, layout)
+    ends = _block_ends(positioned, key, day, layout)
     if carried is not None:
         ends = ends.unionByName(_as_first_block(carried, key, layout))
     fields = [name for name in ends.columns if name != key]
@@ -138,7 +143,7 @@ def ewm_means(
     layout = _Layout(values, spans)
     positioned = _positions(series, key, day, layout, _block_length(spans, block_days))
     before = layout.fold("filter(_blocks, b -> b._block < here._block)")
-    starts = _summaries(positioned, key, layout, carried).selectExpr(
+    starts = _summaries(positioned, key, day, layout, carried).selectExpr(
         f"`{key}`", f"inline(transform(_blocks, here -> struct(here._block as _block, {before} as _start)))"
     )
     so_far = f"over (partition by `{key}`, _block order by `{day}` rows unbounded preceding)"
@@ -166,12 +171,8 @@ def ewm_states(
     """The state after the last row of each series: ``(key, last_day, state)``."""
     layout = _Layout(values, spans)
     positioned = _positions(series, key, day, layout, _block_length(spans, block_days))
-    states = _summaries(positioned, key, layout, carried).selectExpr(f"`{key}`", f"{layout.fold('_blocks')} as state")
-    last = positioned.select(key, F.col(day).alias("last_day"))
-    if carried is not None:
-        last = last.unionByName(carried.select(key, "last_day"))
-    return states.join(last.groupBy(key).agg(F.max("last_day").alias("last_day")), key).select(
-        key, "last_day", "state"
+    return _summaries(positioned, key, day, layout, carried).selectExpr(
+        f"`{key}`", "element_at(_blocks, -1)._last as last_day", f"{layout.fold('_blocks')} as state"
     )
 
 

@@ -20,6 +20,7 @@ from candlemill.plans.indicators import (
     indicators_resumed,
 )
 from candlemill.registry.base import DAILY_SERIES, daily_series, query, table
+from candlemill.workspace import written
 
 STORED_UNTIL = datetime.date(2000, 6, 30)
 # The stand-in has gaps where the volume is below this.
@@ -87,7 +88,7 @@ def _indicators_incremental(spark, d):
 def _indicators_resumed(spark, d):
     series = daily_series(spark, d)
     until = F.lit(STORED_UNTIL)
-    states = indicator_states(series.where(F.col("day") <= until))
+    states = written(indicator_states(series.where(F.col("day") <= until)), "states")
     return _rounded_indicators(indicators_resumed(series.where(F.col("day") > until), states))
 
 
