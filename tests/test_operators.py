@@ -182,3 +182,21 @@ def test_foreach_partition_is_available_to_custom_sinks(spark):
 
     spark.range(100).repartition(4).foreachPartition(sink)
     assert seen.value == 100
+
+
+def test_worker_functions_need_no_package_on_the_executor(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from candlemill.registry.aggregates import _with_value
+    from candlemill.sources.master import _decoder
+
+    for function in (_with_value, _decoder("cp949")):
+        subprocess.run(
+            [sys.executable, "-c", "import pickle, sys; assert callable(pickle.load(sys.stdin.buffer))"],
+            input=cloudpickle.dumps(function),
+            cwd=tmp_path,
+            check=True,
+        )
