@@ -36,3 +36,13 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     path = new_folder(df.sparkSession, label)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the shared folder until nothing refers to it any more.
+
+    Spark removes such files itself where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    """
+    shared_root(df.sparkSession)
+    return df.checkpoint()
