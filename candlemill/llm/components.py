@@ -12,13 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.operators.keyed import match_keyed
-from candlemill.workspace import shared_root
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df``, computed once and kept in the folder that the whole cluster shares."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+from candlemill.workspace import checkpointed
 
 
 def _with_least(links: DataFrame) -> DataFrame:

@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.components import checkpointed
 from candlemill.operators.keyed import match_keyed, top_per_key
+from candlemill.workspace import checkpointed
 
 TABLES = 6
 FUNCTIONS = 8

@@ -38,8 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import whole_text, with_columns
-from candlemill.llm.components import checkpointed, components
+from candlemill.llm.components import components
 from candlemill.operators.keyed import match_keyed
+from candlemill.workspace import checkpointed
 
 BITS = 64
 SEED = 42
