@@ -1,8 +1,8 @@
-"""Per-key lists, cogroups and user combiners that no single hot key can sink.
+"""Per-key values, cogroups and user combiners that no single hot key can sink.
 
-A key's values come back as one list when there are at most ``max_len`` of them
-and as several rows ``(key, chunk, list)`` when there are more; together the
-chunks of a key hold every value, copies and NULLs included.
+The values of a key come back as rows ``(key, value, copies)``, whatever their
+number.  Lists are made where they are asked for, with their longest length as
+an argument: a key then has its values in order, cut every ``max_len`` values.
 """
 
 from __future__ import annotations
@@ -11,58 +11,65 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-MAX_LIST = 100_000
-MAX_HELD_STATES = 50_000
+from candlemill.workspace import checkpointed
 
 
-def _chunked(tagged: DataFrame, key: str, parts: Sequence[str], max_len: int) -> DataFrame:
-    """Rows ``(key, chunk, parts…, copies)`` with about ``max_len`` values a chunk.
-
-    Equal rows are counted first, so a value repeated many times moves as one
-    row; a long run of copies is cut into pieces that land in chunks of their own.
-    The rows come out spread by key *and* chunk: the partitioning by key that the
-    join leaves would satisfy a grouping by both, and keep a hot key in one task.
-    """
-    counted = tagged.groupBy(key, *parts).agg(F.count("*").alias("copies"))
-    totals = counted.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.sum("copies") / max_len).alias("_chunks"))
-    pieces = F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {max_len}"))
-    return (
-        counted.join(totals, F.col(key).eqNullSafe(F.col("_key")))
-        .withColumn("_piece", F.explode(pieces))
-        .withColumn("copies", F.least(F.lit(max_len), F.col("copies") - F.col("_piece") * max_len).cast("int"))
-        .withColumn("chunk", F.pmod(F.xxhash64(*parts, "_piece"), F.col("_chunks")).cast("int"))
-        .select(key, "chunk", *parts, "copies")
-        .repartition(key, "chunk")
-    )
+def grouped_values(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``(key, value, copies)``: what a key has and how often; NULL keys and values count."""
+    return df.groupBy(key, value).agg(F.count("*").alias("copies"))
 
 
-def _list_of(value: str, present: Column) -> Column:
-    values = F.collect_list(F.when(present, F.array_repeat(value, F.col("copies"))))
-    return F.sort_array(F.flatten(values)).alias(value)
+def cogrouped_values(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
+    """``(key, value, left_copies, right_copies)`` for every key and value of either side.
 
+    Both sides name the value alike; a key of one side only has zeros for the other.
+    """
+    sides = left.select(key, value, F.lit(1).alias("_left")).unionByName(right.select(key, value, F.lit(0).alias("_left")))
+    in_left = F.sum("_left")
+    return sides.groupBy(key, value).agg(in_left.alias("left_copies"), (F.count("*") - in_left).alias("right_copies"))
 
-def lists_per_key(df: DataFrame, key: str, value: str, max_len: int = MAX_LIST) -> DataFrame:
-    """``(key, chunk, value: sorted list)``."""
-    chunks = _chunked(df.select(key, value), key, [value], max_len)
-    return chunks.groupBy(key, "chunk").agg(_list_of(value, F.lit(True)))
 
+def _placed(counted: DataFrame, key: str, order: Sequence[str], max_len: int) -> DataFrame:
+    """Pieces ``(key, chunk, order.., copies)`` of the values in order, ``max_len`` values to a chunk.
 
-def cogroup_lists(
-    left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str, max_len: int = MAX_LIST
-) -> DataFrame:
-    """``(key, chunk, left list, right list)`` for every key of either side."""
-    tagged = left.select(key, left_value, F.lit(0).alias("_side")).unionByName(
-        right.select(key, right_value, F.lit(1).alias("_side")), allowMissingColumns=True
+    The running count of a key is taken in two steps, so that a hot key needs no
+    single task: ranges of (key, value) are numbered by partition, summed, and
+    the sums before a range are added to the running count inside it.
+    """
+    ranged = checkpointed(
+        counted.repartitionByRange(key, *order).withColumn("_part", F.spark_partition_id())
     )
-    chunks = _chunked(tagged, key, ["_side", left_value, right_value], max_len)
-    return chunks.groupBy(key, "chunk").agg(
-        _list_of(left_value, F.col("_side") == 0), _list_of(right_value, F.col("_side") == 1)
+    sums = ranged.groupBy(key, "_part").agg(F.sum("copies").alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        F.col(key).alias("_key"), F.col("_part").alias("_of"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start")
     )
+    inside = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_start") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
+    placed = ranged.join(starts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of"))).withColumn("_before", before)
+    first, last = F.expr(f"_before div {max_len}"), F.expr(f"(_before + copies - 1) div {max_len}")
+    pieces = placed.withColumn("chunk", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("_before"), F.col("chunk") * max_len)
+    end = F.least(F.col("_before") + F.col("copies"), (F.col("chunk") + 1) * max_len)
+    return pieces.withColumn("copies", (end - begin).cast("int")).select(key, "chunk", *order, "copies")
+
+
+def _list_of(value: str, order: Sequence[str]) -> Column:
+    """The values of a chunk in order, each as often as it has copies there."""
+    entry = F.struct(*order, F.array_repeat(value, F.col("copies")).alias("_values"))
+    entries = F.array_sort(F.collect_list(entry))
+    return F.flatten(F.transform(entries, lambda e: e["_values"])).alias(value)
+
+
+def lists_per_key(df: DataFrame, key: str, value: str, max_len: int) -> DataFrame:
+    """``(key, chunk, value: list)``: the values of a key in order, NULLs first, ``max_len`` to a list."""
+    chunks = _placed(grouped_values(df, key, value), key, [value], max_len)
+    return chunks.groupBy(key, "chunk").agg(_list_of(value, [value]))
 
 
 def combine_by_key(
@@ -73,6 +80,7 @@ def combine_by_key(
     merge_value: Callable[[tuple, Any], tuple],
     merge_states: Callable[[tuple, tuple], tuple],
     state: T.StructType,
+    max_held: int = 50_000,
 ) -> DataFrame:
     """A user-defined combiner as ``(key, state fields…)``.
 
@@ -80,10 +88,13 @@ def combine_by_key(
     ``merge_states`` joins two states; a state is a tuple in the order of
     ``state``.  Values are combined where they are read, so a task sends one
     state per key, and the states of a key stream through its merge in sequence:
-    a hot key costs as many states as there are tasks.  A built-in aggregate, if
-    one fits, is faster.
+    a hot key costs as many states as there are tasks.  A task that holds more
+    than ``max_held`` keys sends what it has and starts again, so ``merge_states``
+    has to give the same whatever is joined first.  All NaN keys are one key, as
+    in Spark's own grouping.  A built-in aggregate, if one fits, is faster.
     """
     columns = T.StructType([df.schema[key], *state.fields])
+    nan = float("nan")  # one object, so that it is found among the held keys
     arrow = to_arrow_schema(columns)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -96,8 +107,9 @@ def combine_by_key(
         held: dict = {}
         for batch in batches:
             for name, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                name = nan if name != name else name
                 held[name] = merge_value(held[name], item) if name in held else create(item)
-            if len(held) > MAX_HELD_STATES:
+            if len(held) > max_held:
                 yield batch_of([(name, *known) for name, known in held.items()])
                 held.clear()
         if held:
@@ -108,7 +120,8 @@ def combine_by_key(
         for batch in batches:
             done = []
             for name, *known in zip(*(column.to_pylist() for column in batch.columns)):
-                if current is not None and current[0] == name:
+                name = nan if name != name else name
+                if current is not None and (current[0] is name or current[0] == name):
                     current = (name, merge_states(current[1], tuple(known)))
                     continue
                 if current is not None:

@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Up to this many rows per key, Spark's default lets a window limit them before its shuffle.
+LIMITED_BEFORE_SHUFFLE = 1000
+PARTS = 64
+
 
 def match_keyed(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, also: Column | None = None
@@ -33,9 +37,13 @@ def match_keyed(
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """All rows that carry the largest ``order`` of their key (ties kept)."""
-    newest = df.groupBy(*keys).agg(F.max(order).alias(order))
-    return df.join(newest, [*keys, order]).select(*df.columns)
+    """All rows that carry the largest ``order`` of their key (ties kept); NULL keys and orders drop out.
+
+    One scan, and Spark limits the rows by rank before the shuffle.
+    """
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
+    known = df.na.drop(subset=[*keys, order])
+    return known.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def last_value_per_key(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:
@@ -47,8 +55,16 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     """The first ``n`` rows of each key; ``order`` must break all ties.
 
     Spark limits the rows per key before the shuffle, so a hot key sends at most
-    ``n`` rows per map task.
+    ``n`` rows per map task.  It does so up to ``LIMITED_BEFORE_SHUFFLE``; for a
+    larger ``n`` the first ``n`` of each of some parts of a key are found first.
     """
+    if n > LIMITED_BEFORE_SHUFFLE:
+        part = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(PARTS))
+        df = _ranked(df.withColumn("_part", part), [*keys, "_part"], order, n).drop("_part")
+    return _ranked(df, keys, order, n)
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
@@ -68,23 +84,20 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.distinct()
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(F.struct(*rest)).alias("_first"))
-        .select(*[F.col(name) if name in keys else F.col("_first")[name].alias(name) for name in df.columns])
-    )
+    return _ranked(df, keys, [F.col(name) for name in rest], 1)
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], within: str | None = None) -> DataFrame:
     """The rows of ``batch`` to append: one per key, none with a key in ``target``.
 
-    The target is first reduced to keys the batch has.  A small batch is then
-    broadcast by its measured size, and a large target is scanned but never
-    shuffled.
+    ``within`` names a key column, such as the day: only that range of the target
+    which the batch spans is then read.  The batch is read once more for the two
+    bounds, so it had better be a stored table.
     """
-    fresh = one_row_per_key(batch, keys)
-    stored = target.select(*keys).join(fresh.select(*keys), list(keys), "left_semi").distinct()
-    return fresh.join(stored, list(keys), "left_anti")
+    if within is not None:
+        low, high = batch.agg(F.min(within), F.max(within)).first()
+        target = target.where(F.col(within).between(F.lit(low), F.lit(high)))
+    return one_row_per_key(batch, keys).join(target.select(*keys), list(keys), "left_anti")
 
 
 def merged_ranges(ranges: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.operators.keyed import keep_listed
+from candlemill.operators.keyed import drop_listed
+from candlemill.workspace import written
 
 
 def codes_to_move(listed: DataFrame, old_store: DataFrame, new_store: DataFrame, code: str) -> DataFrame:
@@ -16,20 +17,34 @@ def codes_to_move(listed: DataFrame, old_store: DataFrame, new_store: DataFrame,
     return listed.select(code).intersect(old_store.select(code).subtract(new_store.select(code)))
 
 
-def table_paths(root: str, codes: Sequence[str]) -> list[str]:
-    return [f"{root}/{code}.parquet" for code in codes]
-
-
 def consolidated(
-    spark: SparkSession, root: str, schema: T.StructType | str, codes: DataFrame | None = None, code: str = "code"
+    spark: SparkSession, root: str, schema: T.StructType | str, codes: Sequence[str] | None = None, code: str = "code"
 ) -> DataFrame:
     """Distinct rows of all tables ``<root>/<code>.parquet`` with their code.
 
-    The code is read off the file path, so any number of tables is one scan and
-    one job, not one job per table.  ``codes`` restricts which tables count.
+    A table is a folder of part files or one plain file.  The code is read off
+    the file path, so any number of tables is one scan and one job, not one job
+    per table.  Blanks, non-ASCII letters and other characters that a path
+    encodes are decoded.  With ``codes``, only their tables are opened.  A path
+    that names no code raises an error.
     """
-    tables = spark.read.schema(schema).parquet(f"{root}/*.parquet")
-    named = tables.withColumn(code, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.parquet/", 1))
-    if codes is not None:
-        named = keep_listed(named, code, codes)
-    return named.select(*tables.columns, code).distinct()
+    reader = spark.read.schema(schema)
+    tables = reader.parquet(f"{root}/*.parquet") if codes is None else reader.parquet(*[f"{root}/{c}.parquet" for c in codes])
+    # A path is percent-encoded, but a plus sign in it is a plus sign.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    named = F.regexp_extract(path, r"/([^/]+)\.parquet(?:/[^/]*)?$", 1)
+    checked = F.when(named != "", named).otherwise(F.raise_error(F.concat(F.lit("no code in "), path)))
+    return tables.withColumn(code, checked).select(*tables.columns, code).distinct()
+
+
+def consolidate_into(
+    spark: SparkSession, name: str, path: str, root: str, schema: T.StructType | str, codes: Sequence[str] | None = None, code: str = "code"
+) -> DataFrame:
+    """Create the catalog table ``name`` at ``path`` if it is missing and insert the tables it has no rows of."""
+    shape = spark.createDataFrame([], schema).schema.add(code, T.StringType())
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in shape)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
+    stored = spark.read.table(name)
+    fresh = drop_listed(consolidated(spark, root, schema, codes, code), code, stored.select(code))
+    written(fresh, "consolidated").write.mode("append").insertInto(name)
+    return spark.read.table(name)

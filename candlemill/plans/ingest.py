@@ -96,8 +96,11 @@ def price_rows(responses: DataFrame, columns: list[str], days: str) -> DataFrame
 
 
 def new_prices(target: DataFrame, batch: DataFrame, code: str = "code", day: str = "day") -> DataFrame:
-    """The rows of a batch to append; running it again appends nothing."""
-    return insert_ignore(target, batch, [code, day])
+    """The rows of a batch to append; running it again appends nothing.
+
+    Only the days that the batch spans are read of the target.
+    """
+    return insert_ignore(target, batch, [code, day], within=day)
 
 
 def purge_delisted(prices: DataFrame, listing: DataFrame, code: str) -> DataFrame:

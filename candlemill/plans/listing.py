@@ -49,9 +49,10 @@ def pending(listing: DataFrame, status: str = "etlcheck") -> DataFrame:
 def split_pending(
     listing: DataFrame, status: str = "etlcheck", change: str = "price_change", unchanged: str = UNCHANGED
 ) -> tuple[DataFrame, DataFrame]:
-    """Codes not processed yet: (no price change, price changed)."""
+    """Codes not processed yet: (no price change, price changed); an unknown change counts as one."""
     todo = pending(listing, status)
-    return todo.where(F.col(change) == unchanged), todo.where(F.col(change) != unchanged)
+    same = F.col(change).eqNullSafe(unchanged)
+    return todo.where(same), todo.where(~same)
 
 
 def mark_done(listing: DataFrame, done: DataFrame, code: str, as_of: Column, status: str = "etlcheck") -> DataFrame:

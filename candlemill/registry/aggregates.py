@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.operators.grouping import combine_by_key, lists_per_key
+from candlemill.operators.grouping import combine_by_key, grouped_values, lists_per_key
 from candlemill.operators.profile import column_summary, counts_by, partition_sizes
 from candlemill.plans.textstats import lines_with, word_count
 from candlemill.registry.base import query, table
@@ -92,17 +92,21 @@ def _agg_reduce(spark, d):
 
 @query(
     "agg_collect_list",
-    """select user_id, 0 as chunk, count(*) as n, array_to_string(list(event_id order by event_id), ',') as ids
-       from events group by 1""",
+    "select user_id, event_type, count(*) as copies from events group by 1, 2",
 )
 def _agg_collect_list(spark, d):
-    lists = lists_per_key(table(spark, d, "events"), "user_id", "event_id")
-    return lists.select(
-        "user_id",
-        "chunk",
-        F.size("event_id").cast("long").alias("n"),
-        F.array_join("event_id", ",").alias("ids"),
-    )
+    return grouped_values(table(spark, d, "events"), "user_id", "event_type")
+
+
+@query(
+    "agg_lists",
+    """select user_id, chunk, array_to_string(list(event_id order by event_id), ',') as ids
+       from (select user_id, event_id, (row_number() over (partition by user_id order by event_id) - 1) // 3 as chunk
+             from events) group by 1, 2""",
+)
+def _agg_lists(spark, d):
+    lists = lists_per_key(table(spark, d, "events"), "user_id", "event_id", max_len=3)
+    return lists.select("user_id", "chunk", F.array_join("event_id", ",").alias("ids"))
 
 
 def _first_moment(value: float | None) -> tuple:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime
 import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlemill.operators.keyed import until_second_empty
-from candlemill.plans.consolidate import codes_to_move, consolidated
+from candlemill.plans.consolidate import codes_to_move, consolidate_into, consolidated
 from candlemill.plans.daily import daily_update
 from candlemill.plans.ingest import (
     WINDOW_DAYS,
@@ -148,35 +149,70 @@ def _served(spark, d):
     return series.withColumn("close", F.col("close") * F.coalesce("_x", F.lit(1))).drop("_x")
 
 
-def _daily_run(spark, d):
-    """Half the history is stored; the rest, and rebased codes, come from a table-backed service."""
+# Codes whose listing announces a new price basis; some of them did change.
+ANNOUNCED = "s_suppkey % 7 = 0"
+
+
+def _daily_run(spark, d, listing, stored, failing="false"):
+    """A run against a table-backed service; requests that match ``failing`` get no answer."""
     served = _served(spark, d)
 
     def fetch(requests):
-        days = requests.select("code", F.explode(F.sequence("from", "to")).alias("day"))
-        rows = written(served.join(days, ["code", "day"], "left_semi"), "answered")
-        return rows, requests.select("code").limit(0)
+        asked = written(requests, "asked")
+        days = asked.where(f"not ({failing})").select("code", F.explode(F.sequence("from", "to")).alias("day"))
+        return written(served.join(days, ["code", "day"], "left_semi"), "answered"), asked.where(failing)
 
-    series = daily_series(spark, d)
-    stored = series.where("day <= date '1999-12-31'")
-    listing = series.groupBy("code").agg(F.min("day").alias("listed_day"))
-    listing = listing.withColumns({"price_change": F.lit("00"), "etlcheck": F.lit("")})
     return daily_update(listing, stored, fetch, AS_OF)
 
 
+def _first_listing(spark, d):
+    announced = table(spark, d, "supplier").where(ANNOUNCED).select(F.col("s_suppkey").alias("code"), F.lit("02").alias("c"))
+    listing = daily_series(spark, d).groupBy("code").agg(F.min("day").alias("listed_day")).join(announced, "code", "left")
+    return listing.select("code", "listed_day", F.coalesce("c", F.lit("00")).alias("price_change"), F.lit("").alias("etlcheck"))
+
+
+def _half_stored(spark, d):
+    return daily_series(spark, d).where("day <= date '1999-12-31'")
+
+
 @query("daily_prices", SERVED)
 def _daily_prices(spark, d):
-    update = _daily_run(spark, d)
+    """Half the history is stored; the rest, and rebased codes, are fetched without failures."""
+    update = _daily_run(spark, d, _first_listing(spark, d), _half_stored(spark, d))
     return update.kept.unionByName(update.added)
 
 
-@query(
-    "daily_listing",
-    f"""select code, min(day) as listed_day, '00' as price_change, '{AS_OF:%Y%m%d}' as etlcheck
-        from ({DAILY_SERIES}) group by 1""",
-)
+LISTING = f"""
+    select code, min(day) as listed_day, case when code in (select s_suppkey from supplier where {ANNOUNCED})
+           then '02' else '00' end as price_change from ({DAILY_SERIES}) group by 1
+"""
+
+
+@query("daily_listing", f"select *, '{AS_OF:%Y%m%d}' as etlcheck from ({LISTING})")
 def _daily_listing(spark, d):
-    return _daily_run(spark, d).listing
+    return _daily_run(spark, d, _first_listing(spark, d), _half_stored(spark, d)).listing
+
+
+# Requests that fail in the first of two runs: some windows of every second code.
+FAILING = "code % 2 = 0 and (datediff(`from`, date '1970-01-01') div 30 + code) % 9 = 0"
+
+
+def _two_runs(spark, d):
+    first = _daily_run(spark, d, _first_listing(spark, d), _half_stored(spark, d), FAILING)
+    stored = written(first.kept.unionByName(first.added), "stored")
+    return _daily_run(spark, d, written(first.listing, "listing"), stored)
+
+
+@query("daily_retry_prices", SERVED)
+def _daily_retry_prices(spark, d):
+    """Requests failed in the first run; the second one leaves no hole."""
+    update = _two_runs(spark, d)
+    return update.kept.unionByName(update.added)
+
+
+@query("daily_retry_listing", f"select *, '{AS_OF:%Y%m%d}' as etlcheck from ({LISTING})")
+def _daily_retry_listing(spark, d):
+    return _two_runs(spark, d).listing
 
 
 def _rebased(spark, d):
@@ -270,16 +306,24 @@ _snapshot_query("listing_snapshot_fresh", "20240101", "'20240101'")
 _snapshot_query("listing_snapshot_stale", "20240102", "cast(null as varchar)")
 
 
+# Codes as a listing may have them; paths encode the blank, the plus sign and the letters.
+CODES = {"F": "005930", "O": "가나 B+", "P": "P"}
+
+
 def _per_code_tables(spark, d) -> str:
+    """A folder of part files for each code (tests have plain files too)."""
     root = new_folder(spark, "per-code")
     orders = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"), "o_orderpriority", "o_orderstatus")
-    for status in ("F", "O", "P"):
-        orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus").write.parquet(f"{root}/{status}.parquet")
+    for status, code in CODES.items():
+        orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus").write.parquet(f"{root}/{code}.parquet")
     return root
 
 
 SHAPE = "day date, o_orderpriority string"
-ORDER_DAYS = "select distinct cast(o_orderdate as date) as day, o_orderpriority, o_orderstatus as code from orders"
+ORDER_DAYS = f"""
+    select distinct cast(o_orderdate as date) as day, o_orderpriority,
+           case o_orderstatus when 'F' then '{CODES["F"]}' when 'O' then '{CODES["O"]}' else 'P' end as code from orders
+"""
 
 
 @query("consolidate_tables", ORDER_DAYS)
@@ -287,8 +331,23 @@ def _consolidate_tables(spark, d):
     return consolidated(spark, _per_code_tables(spark, d), SHAPE)
 
 
-@query("consolidate_missing", f"select * from ({ORDER_DAYS}) where code in ('F', 'P')")
+def _order_codes(spark, d):
+    code = F.when(F.col("o_orderstatus") == "F", CODES["F"]).when(F.col("o_orderstatus") == "O", CODES["O"])
+    return table(spark, d, "orders").select(code.otherwise("P").alias("code"))
+
+
+@query("consolidate_missing", f"select * from ({ORDER_DAYS}) where code <> 'P'")
 def _consolidate_missing(spark, d):
-    old = table(spark, d, "orders").select(F.col("o_orderstatus").alias("code"))
-    new = old.where("code = 'O'")
-    return consolidated(spark, _per_code_tables(spark, d), SHAPE, codes_to_move(old, old, new, "code"))
+    old = _order_codes(spark, d)
+    # One code per table to open: the driver lists the paths of a scan anyway.
+    missing = [row["code"] for row in codes_to_move(old, old, old.where("code = 'P'"), "code").collect()]
+    return consolidated(spark, _per_code_tables(spark, d), SHAPE, missing)
+
+
+@query("consolidate_insert", ORDER_DAYS)
+def _consolidate_insert(spark, d):
+    """Two runs into one table: the first creates it, the second finds one code missing."""
+    root, path = _per_code_tables(spark, d), new_folder(spark, "consolidated")
+    name = f"consolidated_{uuid.uuid4().hex}"
+    consolidate_into(spark, name, path, root, SHAPE, [CODES["F"], CODES["O"]])
+    return consolidate_into(spark, name, path, root, SHAPE)

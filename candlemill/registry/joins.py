@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlemill.operators.grouping import cogroup_lists
+from candlemill.operators.grouping import cogrouped_values
 from candlemill.operators.keyed import (
     insert_ignore,
     last_value_per_key,
@@ -58,23 +58,17 @@ def _join_inner(spark, d):
 
 @query(
     "join_cogroup",
-    """select coalesce(a.k, b.k) as k, 0 as chunk, coalesce(a.v, '') as v, coalesce(b.w, '') as w
-       from (select c_nationkey k, array_to_string(list(c_custkey order by c_custkey), ',') v
-             from customer where c_acctbal > 0 group by 1) a
-       full join (select s_nationkey k, array_to_string(list(s_suppkey order by s_suppkey), ',') w
-                  from supplier where s_acctbal > 0 group by 1) b on a.k = b.k""",
+    """select coalesce(a.k, b.k) as k, coalesce(a.v, b.v) as v, coalesce(l, 0) as left_copies, coalesce(r, 0) as right_copies
+       from (select 100 + c_nationkey % 20 as k, c_mktsegment as v, count(*) as l from customer group by 1, 2) a
+       full join (select 105 + s_nationkey % 20 as k, case when s_suppkey % 2 = 0 then 'MACHINERY' else s_name end as v,
+                         count(*) as r from supplier group by 1, 2) b on a.k = b.k and a.v = b.v""",
 )
 def _join_cogroup(spark, d):
-    left = table(spark, d, "customer").where("c_acctbal > 0")
-    right = table(spark, d, "supplier").where("s_acctbal > 0")
-    groups = cogroup_lists(
-        left.select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("v")),
-        right.select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("w")),
-        "k",
-        "v",
-        "w",
-    )
-    return groups.select("k", "chunk", F.array_join("v", ",").alias("v"), F.array_join("w", ",").alias("w"))
+    """Keys 100 to 104 are on the left side only, 120 to 124 on the right side only."""
+    left = table(spark, d, "customer").select((F.col("c_nationkey") % 20 + 100).alias("k"), F.col("c_mktsegment").alias("v"))
+    name = F.when(F.col("s_suppkey") % 2 == 0, "MACHINERY").otherwise(F.col("s_name"))
+    right = table(spark, d, "supplier").select((F.col("s_nationkey") % 20 + 105).alias("k"), name.alias("v"))
+    return cogrouped_values(left, right, "k", "v")
 
 
 @query(
@@ -86,6 +80,16 @@ def _latest_per_key(spark, d):
     return latest_per_key(table(spark, d, "events").select("user_id", "event_id", "ts"), ["user_id"], "ts")
 
 
+@query(
+    "top2000_per_group",
+    """select event_type, event_id from (select *, row_number() over (
+           partition by event_type order by value desc, event_id) r from events) where r <= 2000""",
+)
+def _top2000_per_group(spark, d):
+    events = table(spark, d, "events").select("event_type", "event_id", "value")
+    return top_per_key(events, ["event_type"], [F.col("value").desc(), F.col("event_id")], 2000).drop("value")
+
+
 @query("last_date_for_code", "select l_suppkey, cast(max(l_shipdate) as date) as last_day from lineitem group by 1")
 def _last_date_for_code(spark, d):
     lines = table(spark, d, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("day"))
@@ -111,7 +115,8 @@ def _top1_per_group(spark, d):
 def _insert_ignore(spark, d):
     lines = table(spark, d, "lineitem")
     batch = lines.select("l_orderkey", "l_linenumber", "l_partkey")
-    return insert_ignore(lines.where("l_returnflag = 'A'"), batch, ["l_orderkey", "l_linenumber"])
+    stored = lines.where("l_returnflag = 'A'")
+    return insert_ignore(stored, batch, ["l_orderkey", "l_linenumber"], within="l_orderkey")
 
 
 @query(

@@ -71,13 +71,14 @@ def _listing_filter(spark, d):
 
 @query(
     "listing_split",
-    """select o_orderkey, o_orderpriority = '5-LOW' as unchanged from orders
+    """select o_orderkey, o_orderpriority = '5-LOW' and o_orderkey % 3 <> 0 as unchanged from orders
        where o_orderstatus is null or o_orderstatus = 'P'""",
 )
 def _listing_split(spark, d):
     status = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderstatus"))
-    listing = table(spark, d, "orders").withColumn("status", status)
-    same, changed = split_pending(listing, "status", "o_orderpriority", "5-LOW")
+    change = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority"))
+    listing = table(spark, d, "orders").withColumns({"status": status, "change": change})
+    same, changed = split_pending(listing, "status", "change", "5-LOW")
     return same.select("o_orderkey", F.lit(True).alias("unchanged")).unionByName(
         changed.select("o_orderkey", F.lit(False).alias("unchanged"))
     )

@@ -35,8 +35,7 @@ def _sink_replace_buckets(spark, d):
     path = new_folder(spark, "prices")
     append_bucketed(daily_series(spark, d), path, ["code"], BUCKETS)
     gone = table(spark, d, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("code"))
-    stored = read_bucketed(spark, path, SERIES)
-    replace_buckets(stored.join(gone, "code", "left_anti"), path, ["code"], gone, BUCKETS)
+    replace_buckets(spark, path, SERIES, ["code"], gone, lambda rows: rows.join(gone, "code", "left_anti"), BUCKETS)
     return read_bucketed(spark, path, SERIES)
 
 

@@ -13,7 +13,15 @@ from candlemill.registry.base import query, table
 from candlemill.sinks.tables import export_csv, save_bucketed
 from candlemill.sources.catalog import table_list
 from candlemill.sources.files import expired_files
-from candlemill.sources.master import CODE_PAGE, MAIN_MARKET, MAIN_MARKET_HEAD, decoded_lines, fields_of, fixed_width
+from candlemill.sources.master import (
+    CODE_PAGE,
+    HEAD_WIDTHS,
+    MAIN_MARKET,
+    SECOND_MARKET,
+    Layout,
+    read_main_market,
+    read_second_market,
+)
 from candlemill.workspace import new_folder
 
 
@@ -112,33 +120,42 @@ def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"raw": [line.encode(CODE_PAGE) for line in batch["line"]]})
 
 
-@query(
-    "master_fixed_width",
-    """select lpad(cast(p_partkey as varchar), 7, '0') as short_code, '주식 ' || p_name as name,
-              substr(p_type, 1, 2) as group_code, p_size as lot, cast(floor(p_retailprice) as bigint) as base_price,
-              'Y' as last_flag from part""",
-)
-def _master_fixed_width(spark, d):
-    """Part rows written as fixed-width lines in the legacy code page, then read back."""
-    fields = fields_of(MAIN_MARKET)
-    values = {
-        "그룹코드": F.substring("p_type", 1, 2),
-        "기준가": F.lpad(F.floor("p_retailprice").cast("string"), 9, "0"),
-        "매매수량단위": F.col("p_size").cast("string"),
-        "대주가능": F.lit("Y"),
-    }
-    tail = [F.rpad(values.get(name, F.lit("")), width, " ") for name, width in fields]
+def _master_file(spark, d, layout: Layout, values: dict) -> str:
+    """Part rows as fixed-width lines in the legacy code page; each tenth line is cut short, each eleventh blank."""
+    tail = [F.rpad(values.get(name, F.lit("")), width, " ") for name, width in layout]
+    short, standard = HEAD_WIDTHS
     line = F.concat(
-        F.rpad(F.lpad(F.col("p_partkey").cast("string"), 7, "0"), 9, " "),
-        F.rpad(F.lit("KR7"), 12, " "),
+        F.rpad(F.lpad(F.col("p_partkey").cast("string"), 7, "0"), short, " "),
+        F.rpad(F.lit("KR7"), standard, " "),
         F.rpad(F.concat(F.lit("주식 "), F.col("p_name")), 40, " "),
         *tail,
     )
+    key = F.col("p_partkey")
+    line = F.when(key % 10 == 0, F.substring(line, 1, 175)).when(key % 11 == 0, "  ").otherwise(line)
     folder = new_folder(spark, "master")
     encoded = table(spark, d, "part").select(line.alias("line")).mapInPandas(_encode, "raw binary")
     encoded.select(F.col("raw").cast("string").alias("value")).write.text(folder)
-    master = fixed_width(decoded_lines(spark, folder), MAIN_MARKET_HEAD, MAIN_MARKET)
-    return master.select(
+    return folder
+
+
+def _main_market(spark, d):
+    values = {
+        "그룹코드": F.substring("p_type", 1, 2),
+        "기준가": F.lpad(F.floor("p_retailprice").cast("string"), 9, "0"),
+        "매매수량단위": F.col("p_size").cast("string"),
+        "대주가능": F.lit("Y"),
+    }
+    return read_main_market(spark, _master_file(spark, d, MAIN_MARKET, values))
+
+
+@query(
+    "master_fixed_width",
+    """select lpad(cast(p_partkey as varchar), 7, '0') as short_code, '주식 ' || p_name as name,
+              substr(p_type, 1, 2) as group_code, p_size as lot, cast(floor(p_retailprice) as bigint) as base_price,
+              'Y' as last_flag from part where p_partkey % 10 <> 0 and p_partkey % 11 <> 0""",
+)
+def _master_fixed_width(spark, d):
+    return _main_market(spark, d)[0].select(
         F.col("단축코드").alias("short_code"),
         F.col("한글명").alias("name"),
         F.col("그룹코드").alias("group_code"),
@@ -148,6 +165,38 @@ def _master_fixed_width(spark, d):
     )
 
 
+@query(
+    "master_short_lines",
+    """select lpad(cast(p_partkey as varchar), 7, '0') as short_code,
+              'line of 175 characters, 248 or more expected' as error from part where p_partkey % 10 = 0""",
+)
+def _master_short_lines(spark, d):
+    errors = _main_market(spark, d)[1]
+    return errors.select(F.substring("line", 1, 7).alias("short_code"), "error")
+
+
+@query(
+    "master_second_market",
+    """select lpad(cast(p_partkey as varchar), 7, '0') as short_code, '주식 ' || p_name as name,
+              substr(p_type, 1, 2) as group_code, p_size as lot, p_brand as sector
+       from part where p_partkey % 10 <> 0 and p_partkey % 11 <> 0""",
+)
+def _master_second_market(spark, d):
+    values = {
+        "증권그룹구분코드": F.substring("p_type", 1, 2),
+        "정규 시장 매매 수량 단위": F.col("p_size").cast("string"),
+        "전일 거래량": F.col("p_brand"),
+    }
+    rows, _ = read_second_market(spark, _master_file(spark, d, SECOND_MARKET, values))
+    return rows.select(
+        F.col("단축코드").alias("short_code"),
+        F.col("한글종목명").alias("name"),
+        F.col("증권그룹구분코드").alias("group_code"),
+        F.col("정규 시장 매매 수량 단위").cast("int").alias("lot"),
+        F.col("전일 거래량").alias("sector"),
+    )
+
+
 @query(
     "expired_files",
     "select distinct cast(ts as date) as landed from events where cast(ts as date) < date '2024-02-10' - 30",

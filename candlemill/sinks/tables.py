@@ -1,24 +1,26 @@
 """Parquet tables that are appended to, and replaced partition by partition.
 
 A table is split by a bucket of its key, not by the key itself: one folder per
-key would mean one small file per key and day.  A replacement is first written
-aside, then only the partitions it touches are overwritten, so the plan never
-reads the files it replaces.
+key would mean one small file per key and day.  The number of buckets is kept
+beside the table, and another number is refused.  A replacement reads only the
+buckets it touches; it is computed and checkpointed first and then overwrites
+them in one commit, so the plan never reads the files it replaces.  A bucket
+that is left without rows gets one void row, which readers skip.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.operators.keyed import keep_listed
-from candlemill.workspace import written
+from candlemill.workspace import checkpointed
 
 BUCKET = "bucket"
+VOID = "_void"
 BUCKETS = 256
 
 
@@ -26,66 +28,89 @@ def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def read_bucketed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """The table without its bucket column; empty where nothing was written yet."""
-    shape = spark.createDataFrame([], schema).schema
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
-        return spark.read.schema(T.StructType([*shape.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(
-            path
-        ).drop(BUCKET)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-        return spark.createDataFrame([], shape)
+        return None
+
+
+def _pin(spark: SparkSession, path: str, buckets: int) -> None:
+    """Keep the number of buckets with a new table, or compare it with what is kept."""
+    shape = T.StructType([T.StructField("buckets", T.IntegerType())])
+    kept = _stored(spark, f"{path}/_buckets", shape)
+    if kept is None:
+        spark.createDataFrame([(buckets,)], shape).coalesce(1).write.parquet(f"{path}/_buckets")
+    elif (known := kept.first()["buckets"]) != buckets:
+        raise ValueError(f"{path} has {known} buckets, not {buckets}")
+
+
+def _with_buckets(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    shape = spark.createDataFrame([], schema).schema
+    whole = T.StructType(
+        [*shape.fields, T.StructField(VOID, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())]
+    )
+    stored = _stored(spark, path, whole)
+    if stored is None:
+        stored = spark.createDataFrame([], whole)
+    return stored.where(F.col(VOID).isNull()).drop(VOID)
+
+
+def read_bucketed(
+    spark: SparkSession, path: str, schema: T.StructType | str, only: Sequence[int] | None = None
+) -> DataFrame:
+    """The table without its bucket column, or ``only`` some buckets; empty where nothing was written yet."""
+    rows = _with_buckets(spark, path, schema)
+    if only is not None:
+        rows = rows.where(F.col(BUCKET).isin(list(only)))
+    return rows.drop(BUCKET)
 
 
 def _clustered(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """One set of files per bucket; adaptive execution splits a hot one."""
-    bucketed = df.withColumn(BUCKET, bucket_of(keys, buckets))
+    bucketed = df.withColumns({VOID: F.lit(None).cast("boolean"), BUCKET: bucket_of(keys, buckets)})
     return bucketed.hint("rebalance", F.col(BUCKET))
 
 
 def append_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
+    _pin(df.sparkSession, path, buckets)
     _clustered(df, keys, buckets).write.mode("append").partitionBy(BUCKET).parquet(path)
 
 
+def touched_buckets(touched: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
+    """The buckets of the ``touched`` keys; at most one number per bucket comes to the driver."""
+    return sorted(row[BUCKET] for row in touched.select(bucket_of(keys, buckets).alias(BUCKET)).distinct().collect())
+
+
 def replace_buckets(
-    df: DataFrame, path: str, keys: Sequence[str], touched: DataFrame, buckets: int = BUCKETS
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    keys: Sequence[str],
+    touched: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+    buckets: int = BUCKETS,
 ) -> None:
-    """Make ``df`` the new content of the buckets of the ``touched`` keys.
+    """Replace the buckets of the ``touched`` keys by what ``change`` makes of their rows.
 
-    ``df`` is the whole new table; buckets without a touched key stay as they are.
+    Only these buckets are read, and ``change`` gives back rows of these buckets only.
     """
-    names = touched.select(bucket_of(keys, buckets).alias(BUCKET)).distinct()
-    fresh = written(keep_listed(df.withColumn(BUCKET, bucket_of(keys, buckets)), BUCKET, names), "staged")
-    emptied = [row[BUCKET] for row in names.subtract(fresh.select(BUCKET)).toLocalIterator()]
+    _pin(spark, path, buckets)
+    numbers = touched_buckets(touched, keys, buckets)
+    fresh = checkpointed(_clustered(change(read_bucketed(spark, path, schema, numbers)), keys, buckets))
+    left = {row[BUCKET] for row in fresh.select(BUCKET).distinct().collect()}
+    if strange := left.difference(numbers):
+        raise ValueError(f"rows for buckets {sorted(strange)[:5]}, which no touched key is in")
+    void = spark.createDataFrame([(True, n) for n in numbers if n not in left], f"{VOID} boolean, {BUCKET} int")
     (
-        fresh.hint("rebalance", F.col(BUCKET))
+        fresh.unionByName(void, allowMissingColumns=True)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(path)
     )
-    # A dynamic overwrite leaves a partition alone when no row is left for it.
-    for bucket in emptied:
-        _drop_folder(df.sparkSession, f"{path}/{BUCKET}={bucket}")
-
-
-def _drop_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def replace_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
-    """Make ``df`` the whole content of the table."""
-    fresh = written(df, "staged")
-    (
-        _clustered(fresh, keys, buckets)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
