@@ -41,7 +41,7 @@ from candlemill.operators.keyed import match_keyed
 
 WINDOW = 35
 #: Words whose hashes a task combines before it sends them.
-LOAD_WORDS = 3_000_000
+LOAD_WORDS = 2_000_000
 #: Bytes of text for each bucket of hashes.
 BUCKET_BYTES = 8 << 20
 KEY = ["_llm_k1", "_llm_k2"]
@@ -272,11 +272,14 @@ def windows_of_hits(buckets: int, block: int, window: int, load_words: int):
     return send
 
 
-_REPEATS = pa.schema([(KEY[0], pa.int64()), (KEY[1], pa.int64()), ("places", pa.list_(pa.int32()))])
+_PACKED = pa.schema([("part", pa.int32()), ("hits", pa.binary())])
+
 
+def repeats(table: pa.Table, parts: int) -> pa.Table:
+    """The starts of repeated windows of a bucket, packed by the part of the texts they go to.
 
-def repeats(table: pa.Table) -> pa.Table:
-    """The starts of repeated windows of a bucket, one row per text."""
+    A row per text would be nearly a row per window: a text has windows in most buckets.
+    """
     prints, rests = _joined(table["prints"], "<u8"), _joined(table["rests"], "<u4")
     k1, k2, places, asks = [], [], [], []
     for owners, keys, at in zip(table["owners"].to_pylist(), table["keys"].to_pylist(), table["places"].to_pylist(), strict=True):
@@ -297,17 +300,25 @@ def repeats(table: pa.Table) -> pa.Table:
     found = np.zeros(int(hit.sum()), _HIT)
     found["k1"], found["k2"], found["place"] = (np.concatenate(x)[hit] for x in (k1, k2, places))
     every = np.concatenate([_joined(table["known"], _HIT), found])
+    part = np.abs(every["k1"] % parts)
+    every = every[np.argsort(part, kind="stable")]
+    cuts = _cuts(np.sort(part), parts)
+    filled = np.flatnonzero(np.diff(cuts))
+    return pa.table({"part": filled.astype(np.int32), "hits": [every[cuts[n] : cuts[n + 1]].tobytes() for n in filled]}, _PACKED)
+
+
+_REPEATS = pa.schema([(KEY[0], pa.int64()), (KEY[1], pa.int64()), ("places", pa.list_(pa.int32()))])
+
+
+def by_text(table: pa.Table) -> pa.Table:
+    """One row per text of a part, with the starts of its repeated windows."""
+    every = _joined(table["hits"], _HIT)
     every = every[np.lexsort((every["k2"], every["k1"]))]
-    edges = np.flatnonzero(np.r_[True, (every["k1"][1:] != every["k1"][:-1]) | (every["k2"][1:] != every["k2"][:-1])][: len(every)])
+    differs = (every["k1"][1:] != every["k1"][:-1]) | (every["k2"][1:] != every["k2"][:-1])
+    edges = np.flatnonzero(np.r_[True, differs][: len(every)])
     offsets = pa.array(np.r_[edges, len(every)].astype(np.int32))
-    return pa.table(
-        {
-            KEY[0]: every["k1"][edges],
-            KEY[1]: every["k2"][edges],
-            "places": pa.ListArray.from_arrays(offsets, pa.array(every["place"].copy())),
-        },
-        _REPEATS,
-    )
+    places = pa.ListArray.from_arrays(offsets, pa.array(every["place"].copy()))
+    return pa.table({KEY[0]: every["k1"][edges], KEY[1]: every["k2"][edges], "places": places}, _REPEATS)
 
 
 def removed_words(words: int, starts: np.ndarray, window: int) -> np.ndarray:
@@ -327,12 +338,12 @@ def _kept(window: int):
         )
         for packed, copies, places in batches:
             rows = []
-            for data, times, lists in zip(packed, copies.to_pylist(), places.to_pylist(), strict=True):
+            for data, times, starts in zip(packed, copies.to_pylist(), places.to_pylist(), strict=True):
                 words = unpack.decompress(data.as_py()).split()
                 if times > 1 and len(words) >= window:
                     gone = np.ones(len(words), bool)
-                elif lists:
-                    gone = removed_words(len(words), np.concatenate([np.array(x, np.int64) for x in lists]), window)
+                elif starts:
+                    gone = removed_words(len(words), np.array(starts, np.int64), window)
                 else:
                     gone = np.zeros(len(words), bool)
                 edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
@@ -371,9 +382,9 @@ def distinct_texts(df: DataFrame, window: int = WINDOW, text: str = "text", load
         .select(*KEY, "packed", "copies", "blocks")
         .mapInArrow(windows_of_hits(buckets, block, window, load_words), "bucket int, prints binary, rests binary, owners binary, places binary, keys binary, known binary")
         .groupBy("bucket")
-        .applyInArrow(repeats, "_llm_k1 long, _llm_k2 long, places array<int>")
-        .groupBy(*KEY)
-        .agg(F.collect_list("places").alias("places"))
+        .applyInArrow(lambda table: repeats(table, buckets), "part int, hits binary")
+        .groupBy("part")
+        .applyInArrow(by_text, "_llm_k1 long, _llm_k2 long, places array<int>")
     )
     judged = texts.join(repeated, KEY, "left").select(*KEY, _kept(window)("packed", "copies", "places").alias("_llm_kept"))
     return judged.select(*KEY, "_llm_kept.*")
