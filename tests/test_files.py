@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from candlemill.plans.events import NESTED
 from candlemill.sinks import jdbc as jdbc_sink
 from candlemill.sinks.index import IndexSink
-from candlemill.sinks.tables import append_bucketed, export_csv, read_bucketed, replace_buckets, replace_table
+from candlemill.sinks.tables import append_bucketed, export_csv, read_bucketed, replace_buckets
 from candlemill.sources import catalog, fetch, files, jdbc, master
 from candlemill.streaming.events import publish_landed
 from candlemill.workspace import new_folder, shared_root, written
@@ -84,7 +84,7 @@ def test_expired_files_by_name(spark, tmp_path):
 
 
 def line(head, layout, values, name):
-    tail = "".join(values.get(field, "").ljust(width) for field, width in master.fields_of(layout))
+    tail = "".join(values.get(field, "").ljust(width) for field, width in layout)
     return head[0].ljust(9) + head[1].ljust(12) + name + tail
 
 
@@ -96,7 +96,7 @@ def line(head, layout, values, name):
     ],
 )
 def test_security_master(spark, tmp_path, layout, head, width, count, read):
-    fields = master.fields_of(layout)
+    fields = layout
     assert (sum(w for _, w in fields), len(fields)) == (width, count)
     first, last = fields[0][0], fields[-1][0]
     dated = next(name for name, w in fields if name.endswith("상장일자") or name.endswith("상장 일자"))
@@ -104,8 +104,11 @@ def test_security_master(spark, tmp_path, layout, head, width, count, read):
         line(("000020", "KR7000020008"), layout, {first: "ST", last: "Y", dated: "19760324"}, "가나다 주식   "),
         line(("900110", "HK0000057197"), layout, {first: "FS"}, "x"),
     ]
+    text += ["", "   ", text[0][:100]]
     (tmp_path / "codes.mst").write_bytes("\n".join(text).encode("cp949") + b"\n")
-    rows = {r[head[0]]: r for r in read(spark, str(tmp_path / "codes.mst")).collect()}
+    found, errors = read(spark, str(tmp_path / "codes.mst"))
+    rows = {r[head[0]]: r for r in found.collect()}
+    assert [r["line"] for r in errors.collect()] == [text[0][:100]]
     assert set(rows) == {"000020", "900110"}
     assert rows["000020"][head[1]] == "KR7000020008"
     assert rows["000020"][head[2]] == "가나다 주식"
@@ -150,27 +153,48 @@ def test_bucketed_table_append_replace(spark, rows):
     first = spark.createDataFrame([(f"{i:06d}", i) for i in range(40)], SHAPE)
     append_bucketed(first, path, ["code"], 4)
     append_bucketed(spark.createDataFrame([("new", 1)], SHAPE), path, ["code"], 4)
-    stored = read_bucketed(spark, path, SHAPE)
-    assert stored.count() == 41
+    assert read_bucketed(spark, path, SHAPE).count() == 41
     gone = spark.createDataFrame([("000003",), ("000017",)], ["code"])
-    replace_buckets(stored.join(gone, "code", "left_anti"), path, ["code"], gone, 4)
+    replace_buckets(spark, path, SHAPE, ["code"], gone, lambda r: r.join(gone, "code", "left_anti"), 4)
     left = {r["code"] for r in read_bucketed(spark, path, SHAPE).collect()}
     assert len(left) == 39 and not left & {"000003", "000017"}
 
 
-def test_replacing_every_row_of_a_bucket_empties_it(spark):
+def test_another_number_of_buckets_is_refused(spark):
     path = new_folder(spark, "table")
-    append_bucketed(spark.createDataFrame([("a", 1)], SHAPE), path, ["code"], 1)
-    stored = read_bucketed(spark, path, SHAPE)
-    replace_buckets(stored.where("code != 'a'"), path, ["code"], stored, 1)
-    assert read_bucketed(spark, path, SHAPE).count() == 0
+    df = spark.createDataFrame([(f"{i:06d}", i) for i in range(100)], SHAPE)
+    append_bucketed(df, path, ["code"], 4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        replace_buckets(spark, path, SHAPE, ["code"], df, lambda r: r, 16)
+    with pytest.raises(ValueError, match="4 buckets"):
+        append_bucketed(df, path, ["code"], 16)
+    assert read_bucketed(spark, path, SHAPE).count() == 100
 
 
-def test_replace_table_from_itself(spark, rows):
+def test_a_replacement_reads_only_the_buckets_it_touches(spark):
     path = new_folder(spark, "table")
-    append_bucketed(spark.createDataFrame([("a", 1), ("b", 2)], SHAPE), path, ["code"], 4)
-    replace_table(read_bucketed(spark, path, SHAPE).where("v > 1"), path, ["code"], 4)
-    assert rows(read_bucketed(spark, path, SHAPE)) == [("b", 2)]
+    append_bucketed(spark.createDataFrame([(f"{i:06d}", i) for i in range(100)], SHAPE), path, ["code"], 16)
+    touched = spark.createDataFrame([("000003",)], ["code"])
+    seen = []
+
+    def change(rows):
+        seen.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    replace_buckets(spark, path, SHAPE, ["code"], touched, change, 16)
+    assert "PartitionFilters: [isnotnull(bucket" in seen[0]
+    with pytest.raises(ValueError, match="no touched key"):
+        replace_buckets(spark, path, SHAPE, ["code"], touched, lambda r: r.withColumn("code", F.lit("000009")), 16)
+
+
+def test_replacing_every_row_of_a_bucket_empties_it(spark):
+    path = new_folder(spark, "table")
+    append_bucketed(spark.createDataFrame([("a", 1)], SHAPE), path, ["code"], 1)
+    touched = spark.createDataFrame([("a",)], ["code"])
+    replace_buckets(spark, path, SHAPE, ["code"], touched, lambda r: r.where("code != 'a'"), 1)
+    assert read_bucketed(spark, path, SHAPE).count() == 0
+    append_bucketed(spark.createDataFrame([("a", 2)], SHAPE), path, ["code"], 1)
+    assert read_bucketed(spark, path, SHAPE).count() == 1
 
 
 def test_csv_export_per_key_in_order(spark, tmp_path):

@@ -123,15 +123,21 @@ def test_snapshot_of_an_empty_store(spark, rows):
 
 def test_status_round(spark, rows):
     df = spark.createDataFrame(
-        [("000020", "00", None), ("20", "00", ""), ("000030", "01", None), ("000040", "00", "20240101")],
+        [
+            ("000020", "00", None),
+            ("20", "00", ""),
+            ("000030", "01", None),
+            ("000035", None, None),
+            ("000040", "00", "20240101"),
+        ],
         "code string, price_change string, etlcheck string",
     )
     same, changed = listing.split_pending(df)
     assert {r["code"] for r in same.collect()} == {"000020", "20"}
-    assert {r["code"] for r in changed.collect()} == {"000030"}
+    assert {r["code"] for r in changed.collect()} == {"000030", "000035"}
     done = listing.mark_done(df, spark.createDataFrame([("000020",), ("000020",)], ["code"]), "code", F.lit("20240102"))
     assert rows(done.select("code", "etlcheck")) == sorted(
-        [("000020", "20240102"), ("20", ""), ("000030", None), ("000040", "20240101")]
+        [("000020", "20240102"), ("20", ""), ("000030", None), ("000035", None), ("000040", "20240101")]
     )
 
 
@@ -149,8 +155,30 @@ def test_consolidated_tables_keep_codes_and_drop_copies(spark, rows):
     for code, data in {"000020": [(1,), (1,), (2,)], "000030": [(1,)]}.items():
         spark.createDataFrame(data, "v int").write.parquet(f"{root}/{code}.parquet")
     assert rows(consolidate.consolidated(spark, root, "v int")) == [(1, "000020"), (1, "000030"), (2, "000020")]
-    only = spark.createDataFrame([("000030",)], ["code"])
-    assert rows(consolidate.consolidated(spark, root, "v int", only)) == [(1, "000030")]
+    only = consolidate.consolidated(spark, root, "v int", ["000030"])
+    assert rows(only) == [(1, "000030")]
+    assert all("000030.parquet" in path for path in only.inputFiles())
+
+
+def test_consolidated_plain_files_and_encoded_codes(spark, rows, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for code in ("005930", "가나 B+", "a.b%"):
+        pq.write_table(pa.table({"v": pa.array([1, 1], pa.int32())}), f"{tmp_path}/{code}.parquet")
+    spark.createDataFrame([(2,)], "v int").write.parquet(f"{tmp_path}/folder 다.parquet")
+    found = consolidate.consolidated(spark, str(tmp_path), "v int")
+    assert rows(found) == sorted([(1, "005930"), (1, "가나 B+"), (1, "a.b%"), (2, "folder 다")])
+
+
+def test_consolidating_twice_inserts_once(spark, rows):
+    root = new_folder(spark, "tables")
+    spark.createDataFrame([(1,)], "v int").write.parquet(f"{root}/a.parquet")
+    target = ("consolidated_twice", new_folder(spark, "target"))
+    consolidate.consolidate_into(spark, *target, root, "v int")
+    spark.createDataFrame([(2,)], "v int").write.parquet(f"{root}/b.parquet")
+    assert rows(consolidate.consolidate_into(spark, *target, root, "v int")) == [(1, "a"), (2, "b")]
+    assert rows(consolidate.consolidate_into(spark, *target, root, "v int")) == [(1, "a"), (2, "b")]
 
 
 # ---- events
@@ -281,8 +309,8 @@ def daily(spark):
             for (code, day), close in service.items()
             if any(code == c and a <= day <= b for c, a, b in windows)
         ]
-        failed = [(c,) for c, _, _ in windows if c == "down"]
-        return prices(spark, found), spark.createDataFrame(failed, "code string")
+        failed = [(c, a) for c, a, _ in windows if c == "down"]
+        return prices(spark, found), spark.createDataFrame(failed, "code string, `from` date")
 
     return listed, stored, fetch, service, asked
 
@@ -313,3 +341,45 @@ def test_second_daily_run_adds_nothing(spark, daily):
     after = first.kept.unionByName(first.added)
     again = daily_update(listed.where("price_change = '00'"), after, fetch, D("2024-01-04"))
     assert again.added.count() == 0 and again.rebased.count() == 0
+
+
+def test_failed_windows_leave_no_hole_and_no_code_without_history(spark, rows):
+    """Codes: one fails in its second of three windows, one announced rebase and one found one fail too."""
+    from candlemill.plans.daily import daily_update
+
+    last = D("2024-03-15")
+    days = [D("2024-01-01") + datetime.timedelta(n) for n in range((last - D("2024-01-01")).days + 1)]
+    listed = spark.createDataFrame(
+        [("gap", days[0], "00", None), ("told", days[0], "01", None), ("found", days[0], "00", None)],
+        "code string, listed_day date, price_change string, etlcheck string",
+    )
+    old = [(c, day, 10) for c in ("gap", "told", "found") for day in days[:5]]
+    service = [(c, day, 10 if c == "gap" else 5) for c in ("gap", "told", "found") for day in days]
+    runs = {"n": 0}
+
+    def fetch(requests):
+        windows = requests.collect()
+        whole = {c for c, *_ in windows if sum(w["code"] == c for w in windows) == 3}
+        bad = {
+            (w["code"], w["from"])
+            for w in windows
+            if runs["n"] == 0 and w["from"] > days[0] and w["to"] < last and (w["code"] != "found" or w["code"] in whole)
+        }
+        served = [
+            row
+            for row in service
+            for w in windows
+            if row[0] == w["code"] and w["from"] <= row[1] <= w["to"] and (w["code"], w["from"]) not in bad
+        ]
+        return prices(spark, served), spark.createDataFrame(sorted(bad), "code string, `from` date")
+
+    first = daily_update(listed, prices(spark, old), fetch, last)
+    stored = first.kept.unionByName(first.added)
+    found = {code: [(d, x) for c, d, x in rows(stored) if c == code] for code in ("gap", "told", "found")}
+    assert [d for d, _ in found["gap"]] == days[: len(found["gap"])] and len(days) > len(found["gap"]) >= 5
+    assert {x for _, x in found["told"]} == {10} and len(found["told"]) == 5
+    assert rows(first.listing.select("etlcheck").distinct()) == [(None,)]
+    runs["n"] = 1
+    second = daily_update(first.listing, stored, fetch, last)
+    assert rows(second.kept.unionByName(second.added)) == sorted(service)
+    assert rows(second.listing.select("etlcheck").distinct()) == [("20240315",)]

@@ -4,6 +4,7 @@ import collections
 import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,38 +95,46 @@ def skewed(seed=1, n=3_000):
     return data
 
 
-def test_lists_hold_every_value_in_bounded_chunks(spark):
+def in_order(values):
+    return sorted(values, key=lambda v: (v is not None, v))
+
+
+@pytest.mark.parametrize("max_len", [3, 50, 10_000])
+def test_lists_are_the_values_in_order_cut_alike(spark, max_len):
     data = skewed()
-    df = spark.createDataFrame(data, "k string, v int")
-    lists = grouping.lists_per_key(df, "k", "v", max_len=50).collect()
-    found = collections.Counter((row["k"], v) for row in lists for v in row["v"])
-    assert found == collections.Counter(data)
-    assert max(len(row["v"]) for row in lists) < 300
-    assert len([row for row in lists if row["k"] == "hot"]) > 5
-
-
-def test_short_groups_are_one_sorted_list(spark, rows):
-    df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2), ("a", 1)], ["k", "v"])
-    assert rows(grouping.lists_per_key(df, "k", "v")) == [("a", 0, [1, 1, 3]), ("b", 0, [2])]
-
-
-def test_cogroup_of_both_sides(spark, rows):
-    left = spark.createDataFrame([("k1", "v1"), ("k1", "v0"), ("k2", "v2")], ["k", "l"])
-    right = spark.createDataFrame([("k1", 4), ("k3", 6)], ["k", "r"])
-    assert rows(grouping.cogroup_lists(left, right, "k", "l", "r")) == [
-        ("k1", 0, ["v0", "v1"], [4]),
-        ("k2", 0, ["v2"], []),
-        ("k3", 0, [], [6]),
-    ]
+    df = spark.createDataFrame(data, "k string, v int").repartition(5)
+    found = {}
+    for row in grouping.lists_per_key(df, "k", "v", max_len).collect():
+        found.setdefault(row["k"], {})[row["chunk"]] = row["v"]
+    for key in {k for k, _ in data}:
+        values = in_order([v for k, v in data if k == key])
+        wanted = {at // max_len: values[at : at + max_len] for at in range(0, len(values), max_len)}
+        assert found[key] == wanted
 
 
-def test_cogroup_of_a_hot_key_loses_nothing(spark):
+def test_grouped_values(spark):
     data = skewed(2)
-    left = spark.createDataFrame(data, "k string, l int")
-    right = spark.createDataFrame(data[:1000], "k string, r int")
-    groups = grouping.cogroup_lists(left, right, "k", "l", "r", max_len=40).collect()
-    assert collections.Counter((g["k"], v) for g in groups for v in g["l"]) == collections.Counter(data)
-    assert collections.Counter((g["k"], v) for g in groups for v in g["r"]) == collections.Counter(data[:1000])
+    found = grouping.grouped_values(spark.createDataFrame(data, "k string, v int"), "k", "v").collect()
+    assert {(r["k"], r["v"]): r["copies"] for r in found} == collections.Counter(data)
+
+
+def test_cogroup_of_both_sides(spark):
+    left, right = skewed(2), [*skewed(4)[:1000], ("only right", 1), ("only right", 1)]
+    frames = (spark.createDataFrame(data, "k string, v int") for data in (left, right))
+    found = grouping.cogrouped_values(*frames, "k", "v").collect()
+    assert {(r["k"], r["v"]): r["left_copies"] for r in found if r["left_copies"]} == collections.Counter(left)
+    assert {(r["k"], r["v"]): r["right_copies"] for r in found if r["right_copies"]} == collections.Counter(right)
+
+
+def test_combine_by_key_joins_nan_keys_and_any_number_held_gives_the_same(spark, rows):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1), (nan, 2), (1.0, 3), (nan, 4), (None, 5), (-0.0, 6), (0.0, 7)], "k double, v int").repartition(3)
+    state = T.StructType([T.StructField("total", T.LongType())])
+    for held in (1, 2, 50_000):
+        sums = grouping.combine_by_key(
+            df, "k", "v", lambda v: (v,), lambda a, v: (a[0] + v,), lambda a, b: (a[0] + b[0],), state, max_held=held
+        )
+        assert sorted((str(r["k"]), r["total"]) for r in sums.collect()) == [("0.0", 13), ("1.0", 3), ("None", 5), ("nan", 7)]
 
 
 def test_combine_by_key_of_a_hot_key(spark):

@@ -6,7 +6,6 @@ import pytest
 
 import __spark_entry__ as contract
 from candlemill.operators.ewm import ewm_means
-from candlemill.operators.grouping import lists_per_key
 from candlemill.operators.keyed import delete_ranges, drop_listed, keep_listed, subtract_rows, top_per_key
 from candlemill.plans.ingest import purge_old, rows_after_stored
 from candlemill.registry.base import daily_series, table
@@ -61,7 +60,6 @@ HOT_JOINS = {
         df, "code", "day", df.selectExpr("code", "day as `from`", "date_add(day, 1) as to").where("v % 50 = 0")
     ),
     "subtract_rows": lambda df: subtract_rows(df.select("code"), df.select("code").where("code > 1000")),
-    "lists_per_key": lambda df: lists_per_key(df, "code", "v", max_len=1000),
 }
 
 
@@ -71,9 +69,20 @@ def test_a_hot_key_is_split(hot, name):
     assert "SortMergeJoin(skew=true)" in plan
 
 
-def test_chunks_of_a_hot_key_are_spread(hot):
-    plan = executed_plan_of(lists_per_key(hot, "code", "v", max_len=1000))
-    assert "REPARTITION_BY_COL" in plan
+def test_top_per_key_limits_before_the_shuffle_for_any_n(spark, smallest):
+    events = table(spark, smallest, "events").select("user_id", "event_id", "value")
+    plan = plan_of(top_per_key(events, ["user_id"], [events["value"].desc(), events["event_id"]], 5000))
+    assert plan.count("Window [") == 2 and "pmod(xxhash64" in plan
+
+
+def test_latest_per_key_scans_once_and_limits_before_the_shuffle(spark, smallest):
+    plan = plan_of(contract.queries()["latest_per_key"](spark, smallest))
+    assert plan.count("FileScan") == 1 and plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
+
+
+def test_insert_ignore_reads_the_range_of_the_batch(spark, smallest):
+    plan = plan_of(contract.queries()["insert_ignore"](spark, smallest))
+    assert "GreaterThanOrEqual(l_orderkey" in plan and "LessThanOrEqual(l_orderkey" in plan
 
 
 def test_top_per_key_limits_before_the_shuffle(spark, smallest):
