@@ -45,7 +45,7 @@ WIDTH = 2.2
 PROBES = 150
 SEED = 7
 #: Vectors in a shard, and queries that are compared with them at a time.
-SHARD_ROWS = 16_384
+SHARD_ROWS = 65_536
 QUERY_BLOCK = 128
 #: Scores this close to the last one that counts are worked out exactly.
 CLOSE = 1e-9
@@ -161,6 +161,11 @@ def _best(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, allowed: np
         yield at, near[order], scores[order]
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows."""
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), -1)
+
+
 def compared(most: int):
     """The function for two cogrouped sides: vectors of a shard and the queries that visit it."""
     kind = pa.schema([("query", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
@@ -170,17 +175,18 @@ def compared(most: int):
         if left.num_rows and right.num_rows:
             ids = left["id"].to_numpy()
             buckets, bucket = np.unique(left["key"].to_numpy(), return_inverse=True)
-            vectors = np.array(left["vector"].to_pylist(), float)
+            vectors = _matrix(left["vector"])
             names = right["id"].to_numpy()
-            wanted = np.array(right["vector"].to_pylist(), float)
-            visits = right["keys"].to_pylist()
+            wanted = _matrix(right["vector"])
+            visits = right["keys"].combine_chunks()
             for start in range(0, len(names), QUERY_BLOCK):
                 block = slice(start, start + QUERY_BLOCK)
                 visited = np.zeros((len(names[block]), len(buckets)), bool)
-                for row, keys in enumerate(visits[block]):
-                    if keys is None:  # a search of everything
+                for row, keys in enumerate(visits[start : start + QUERY_BLOCK]):
+                    if not keys.is_valid:  # a search of everything
                         visited[row] = True
                     else:
+                        keys = keys.values.to_numpy()
                         at = np.searchsorted(buckets, keys)
                         at[at == len(buckets)] = 0
                         visited[row, at[buckets[at] == keys]] = True
@@ -281,7 +287,7 @@ def nearest(
             "vector",
         )
         asking = short.select(
-            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("string").alias("place"),
+            F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda n: n.cast("string"))).alias("place"),
             "length",
             "id",
             "vector",
