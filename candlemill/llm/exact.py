@@ -82,7 +82,7 @@ def deduplicated(df: DataFrame, index: DigestIndex, batch: str, text: str = "tex
     index.add(groups.select(DIGEST, "keeper", F.lit(batch).alias("batch")))
     fate = groups.select(DIGEST, "group_size").join(index.rows().hint("merge"), DIGEST)
     fate = fate.select(DIGEST, "group_size", F.col("keeper").alias("_llm_keeper"), F.col("batch").alias("_llm_batch"))
-    joined = match_keyed(rows.drop("group_size") if "group_size" in df.columns else rows, fate, [DIGEST], "inner")
+    joined = match_keyed(rows.drop("group_size"), fate, [DIGEST], "inner")
     kept = (F.col("_llm_batch") == batch) & F.col("_llm_keeper").eqNullSafe(F.col("_llm_place"))
     return with_columns(
         joined, {"keep_id": F.col("_llm_keeper.id"), "group_size": F.col("group_size"), "kept": kept}

@@ -84,7 +84,8 @@ def time_of(share: Column, knots: Sequence[tuple[float, float]]) -> Column:
         slope = (w1 - w0) / (t1 - t0)
         rest = wanted - F.lit(done)
         root = F.sqrt(F.greatest(F.lit(0.0), F.lit(w0 * w0) + F.lit(2 * slope) * rest))
-        inside = F.least(F.lit(t1), F.lit(t0) + F.lit(2.0) * rest / (F.lit(w0) + root))
+        # A schedule that starts from zero has neither words nor weight there.
+        inside = F.least(F.lit(t1), F.lit(t0) + F.coalesce(F.try_divide(F.lit(2.0) * rest, F.lit(w0) + root), F.lit(0.0)))
         done += area
         here = wanted <= F.lit(done) if t1 < knots[-1][0] else F.lit(True)
         found = F.when(here, inside) if found is None else found.when(here, inside)
@@ -113,7 +114,7 @@ def assigned(
         df,
         {"size": F.regexp_count(whole_text(text), F.lit(WORD)).cast("long"), "_llm_source": key, "_llm_order": order},
     ).withColumn("_llm_block", F.substring("_llm_order", 1, BLOCK_DIGITS))
-    rows = rows.drop(*[name for name in ("source_size", "target") if name in df.columns])
+    rows = rows.drop("source_size", "target")
     blocks = rows.groupBy("_llm_source", "_llm_block").agg(F.sum("size").alias("_llm_words"))
     targets = source_targets(blocks.groupBy("_llm_source").agg(F.sum("_llm_words").alias("source_size")), weights, share, cap)
     in_source = Window.partitionBy("_llm_source").orderBy("_llm_block")
