@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import whole_text, with_columns
+from candlemill.llm.common import loads, whole_text, with_columns
 from candlemill.llm.components import components
 from candlemill.operators.keyed import match_keyed
 from candlemill.workspace import checkpointed
@@ -48,6 +48,7 @@ SEED = 42
 LARGEST = 4096
 #: Shingle hashes whose bits are counted at a time, and meetings compared at a time.
 COUNTED = 50_000
+LOAD_BYTES = 4_000_000
 MEETINGS = 100_000
 
 
@@ -74,7 +75,7 @@ def with_fingerprints(df: DataFrame, shingle: int, text: str = "text") -> DataFr
 
     @F.arrow_udf("long")
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in loads(batches, LOAD_BYTES):
             found = np.array([fingerprint(value.as_py(), shingle) for value in batch], np.uint64)
             yield pa.array(found.view(np.int64))
 
@@ -233,10 +234,10 @@ def links(prints: DataFrame, radius: int, largest: int = LARGEST) -> DataFrame:
         if crowded is None:
             return found
         children, masks = next_masks(masks, radius)
-        extended = F.create_map(*[x for mask, more in children.items() for x in (F.lit(mask), F.array(*map(F.lit, more)))])
-        members = match_keyed(keyed, crowded.select("mask", "key"), ["mask", "key"], "left_semi").select(
-            F.explode(F.element_at(extended, F.col("mask"))).alias("mask"), "print"
-        )
+        pairs = prints.sparkSession.createDataFrame([(m, c) for m, more in children.items() for c in more], "mask long, child long")
+        again = match_keyed(keyed, crowded.select("mask", "key"), ["mask", "key"], "left_semi")
+        # The radius and ``largest`` alone decide how many masks there are.
+        members = again.join(F.broadcast(pairs), "mask").select(F.col("child").alias("mask"), "print")
 
 
 def near_duplicates(

@@ -1,0 +1,93 @@
+"""SimHash groups against all pairs."""
+
+import collections
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from candlemill.llm import components, queries, simhash
+from llm_brute import brute_groups, brute_print
+
+
+def scattered(seed, count):
+    """Fingerprints in loose clusters."""
+    random = np.random.default_rng(seed)
+    centres = random.integers(0, 1 << 63, 6).tolist()
+    found = set()
+    while len(found) < count:
+        value = centres[random.integers(6)]
+        for bit in random.integers(0, 64, random.integers(0, 6)).tolist():
+            value ^= 1 << bit
+        found.add(value)
+    return sorted(found)
+
+
+@pytest.mark.parametrize(("radius", "largest"), [(0, 16), (1, 16), (2, 32), (2, 4096), (3, 4096)])
+def test_links_connect_what_all_pairs_connect(spark, radius, largest):
+    prints = scattered(radius, 200)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    links = simhash.links(spark.createDataFrame([(x,) for x in signed], "_llm_print long"), radius, largest)
+    roots = {row["node"]: row["root"] for row in components.components(links).collect()}
+    found = collections.defaultdict(set)
+    for at, value in enumerate(signed):
+        found[roots.get(value, value)].add(at)
+    wanted = collections.defaultdict(set)
+    for at, root in enumerate(brute_groups(prints, radius)):
+        wanted[root].add(at)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_masks_leave_no_pair_out():
+    masks = list(simhash.first_masks(2))
+    for a in range(0, 64, 3):
+        for b in range(a, 64, 5):
+            difference = (1 << a) | (1 << b)
+            assert any(not difference & (mask % (1 << 64)) for mask in masks)
+
+
+def test_components_of_a_long_chain(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (103, 102), (5, 5), (0, 1)]
+    found = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(61)} | {100: 100, 101: 100, 102: 102, 103: 102}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_odd_texts(documents, odd_texts):
+    texts = [*odd_texts, "WORD", "two words", "Two WORDS"]
+    rows = [*enumerate(texts), (None, "alone"), (2, texts[8])]
+    found = simhash.near_duplicates(documents(rows)).collect()
+    prints = [brute_print(text) for _, text in rows]
+    assert sorted(r["fingerprint"] for r in found) == sorted(f"{p:016x}" for p in prints)
+    groups = brute_groups(prints, 2)
+    least = {g: min((rows[i][0] for i in range(len(rows)) if groups[i] == g and rows[i][0] is not None), default=None) for g in groups}
+    wanted = collections.Counter((rows[i][0], f"{prints[i]:016x}", least[groups[i]]) for i in range(len(rows)))
+    assert collections.Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in found) == wanted
+
+
+def test_one_row_of_each_group_stays(documents, words):
+    base = words(300, 1)
+    rows = [(i, f"{base} tail{i % 3}") for i in range(10)] + [(20, words(50, 2)), (20, words(50, 2)), (None, words(50, 2)), (None, words(40, 3))]
+    df = documents(rows, component_id=F.lit("old"), id=F.lit("x"))
+    kept = simhash.without_near_duplicates(df)
+    assert kept.columns == df.columns
+    groups = brute_groups([brute_print(text) for _, text in rows], 2)
+    wanted = [min((rows[i][0] for i in range(len(rows)) if groups[i] == g and rows[i][0] is not None), default=None) for g in set(groups)]
+    assert sorted(map(str, wanted)) == sorted(str(r["doc_id"]) for r in kept.collect())
+
+
+def test_empty_table(documents):
+    assert simhash.near_duplicates(documents([])).count() == 0
+    assert simhash.without_near_duplicates(documents([])).count() == 0
+
+
+def test_query(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    prints = [brute_print(row["text"]) for row in documents]
+    groups = brute_groups(prints, 2)
+    ids = collections.defaultdict(list)
+    for row, group in zip(documents, groups):
+        ids[group].append(row["doc_id"])
+    wanted = {row["doc_id"]: (f"{p:016x}", min(ids[g])) for row, p, g in zip(documents, prints, groups)}
+    found = queries.QUERIES["op9_simhash"](spark, sf_dir).collect()
+    assert {row["doc_id"]: (row["fingerprint"], row["component_id"]) for row in found} == wanted

@@ -1,0 +1,88 @@
+"""Repeated word sequences against a count of all windows."""
+
+import collections
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from candlemill.llm import queries, substrings
+
+
+def brute(texts, window):
+    """(n_words, n_removed, kept) of each text."""
+    split = [(text or "").encode().split() for text in texts]
+    seen = collections.Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    found = []
+    for w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                gone[i : i + window] = [True] * window
+        found.append((len(w), sum(gone), b" ".join(x for x, out in zip(w, gone) if not out).decode()))
+    return found
+
+
+def result(df, window):
+    rows = substrings.without_repeats(df, window).select("doc_id", "n_words", "n_removed", "kept").collect()
+    return collections.Counter(tuple(row) for row in rows)
+
+
+def expected(rows, window):
+    return collections.Counter((row[0], *out) for row, out in zip(rows, brute([row[1] for row in rows], window)))
+
+
+@pytest.mark.parametrize("window", [2, 3, 4, 7, 35])
+def test_shared_passages(documents, words, window):
+    passage, other = words(window + 5, 1), words(window, 2)
+    rows = [(i, " ".join([words(i % 9, 100 + i), passage if i % 3 else other, words(i % 5, 200 + i)])) for i in range(40)]
+    rows += [(100, passage), (101, words(window - 1, 3)), (102, words(window - 1, 3)), (103, words(3 * window, 4))]
+    rows += [(104, " ".join([words(window, 5)] * 2)), (105, "w " * (window + 3)), (106, "v " * (window - 1))]
+    assert result(documents(rows), window) == expected(rows, window)
+
+
+def test_odd_texts(documents, odd_texts):
+    rows = list(enumerate(odd_texts)) + [(None, "lonely"), (3, odd_texts[8]), (3, odd_texts[8])]
+    assert result(documents(rows), 5) == expected(rows, 5)
+
+
+def test_overlap_with_itself(documents):
+    rows = [(1, "a b a b a b a"), (2, "c d e f g")]
+    assert result(documents(rows), 3) == expected(rows, 3)
+
+
+def test_small_loads_and_buckets_change_nothing(documents, words):
+    passage = words(12, 1)
+    rows = [(i, " ".join([words(7, 10 + i), passage, words(11, 50 + i)])) for i in range(30)]
+    df = documents(rows)
+    plain = substrings.distinct_texts(df, 6)
+    split = substrings.distinct_texts(df, 6, load_words=40, bucket_bytes=64)
+    names = ["n_words", "n_removed", "kept"]
+    assert sorted(map(tuple, plain.select(names).collect())) == sorted(map(tuple, split.select(names).collect()))
+
+
+def test_spans_and_clashing_columns(documents):
+    df = documents([(1, "x a b c y"), (2, "a b c z")], kept=F.lit(1), N_WORDS=F.lit("old"), note=F.lit("n"))
+    rows = {row["doc_id"]: row for row in substrings.without_repeats(df, 3).collect()}
+    assert [tuple(span) for span in rows[1]["spans"]] == [(1, 4)]
+    assert (rows[1]["kept"], rows[2]["kept"], rows[1]["note"], rows[1]["n_words"]) == ("x y", "z", "n", 5)
+
+
+def test_empty_table(documents):
+    assert substrings.without_repeats(documents([])).count() == 0
+
+
+def test_query(spark, smallest):
+    documents = spark.read.parquet(f"{smallest}/documents.parquet").select("doc_id", "text").collect()
+    out = brute([row["text"] for row in documents], 35)
+    wanted = {row["doc_id"]: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for row, (n, gone, kept) in zip(documents, out)}
+    found = queries.QUERIES["op1_substring_dedup"](spark, smallest).collect()
+    assert {row["doc_id"]: tuple(row)[1:] for row in found} == wanted
+    assert any(gone for _, gone, _ in wanted.values())
+
+
+def test_rests_round_trip():
+    rests = np.sort(np.random.default_rng(1).integers(0, 1 << 32, 1000, dtype=np.uint32))
+    assert (substrings.unpacked_rests(substrings.packed_rests(rests)) == rests).all()
+    assert len(substrings.unpacked_rests(substrings.packed_rests(rests[:0]))) == 0

@@ -1,0 +1,107 @@
+"""URL rules and host reputation."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlemill.llm import queries, urls
+
+URLS = {
+    "https://A.Example.ORG/es/1?x=/en": ("a.example.org", "/es/1"),
+    "http://example.org": ("example.org", ""),
+    "http://example.org?q=1": ("example.org", ""),
+    "http://example.org#/en/1": ("example.org", ""),
+    "ftp://x.com/de/a#b?c": ("x.com", "/de/a"),
+    "http://x.com//fr/": ("x.com", "//fr/"),
+    "no scheme/en": ("", ""),
+    "": ("", ""),
+    None: ("", ""),
+    "a://b://c/d": ("b:", "//c/d"),
+    "s://ÄB.com/\nline": ("Äb.com", "/\nline"),
+    "line\nbreak://h.org/p": ("h.org", "/p"),
+    "http://h.org:80/p": ("h.org:80", "/p"),
+}
+
+
+def pages(spark, texts, **extra):
+    df = spark.createDataFrame([(i, url) for i, url in enumerate(texts)], "page_id long, url string")
+    for name, column in extra.items():
+        df = df.withColumn(name, column)
+    return df
+
+
+def outcomes(spark, rows):
+    return spark.createDataFrame(rows, "host string, bad int")
+
+
+def test_hosts_and_paths(spark):
+    host, path = urls.host_and_path("url")
+    found = pages(spark, list(URLS)).select("url", host.alias("host"), path.alias("path")).collect()
+    assert {row["url"]: (row["host"], row["path"]) for row in found} == URLS
+
+
+def test_domains_and_suffixes(spark):
+    domain, suffix = urls.domain_and_suffix(F.col("url"))
+    found = pages(spark, ["a.b.example.org", "x.com:81", "localhost", ""]).select("url", domain.alias("d"), suffix.alias("s")).collect()
+    assert {row["url"]: (row["d"], row["s"]) for row in found} == {
+        "a.b.example.org": ("example.org", "org"), "x.com:81": ("x.com", "com"), "localhost": ("localhost", "localhost"), "": ("", ""),
+    }
+
+
+@pytest.mark.parametrize(
+    ("url", "rule"),
+    [
+        ("http://a.example.org/en/12", "example.org/en/1"),
+        ("http://example.org/en/2", "org/"),
+        ("http://badexample.org/es/", "org/"),
+        ("http://example.org/es/x", "example.org/es/"),
+        ("http://example.org", None),
+        ("http://borg/", None),
+        ("http://org/x", "org/"),
+        ("http://q.com/de/", "com/de/"),
+        ("http://q.com/de", None),
+        ("http://q.com/fr/1", "com/fr/"),
+        (None, None),
+    ],
+)
+def test_longest_fitting_rule(spark, url, rule):
+    row = urls.judged(pages(spark, [url]), queries.RULES, outcomes(spark, [])).first()
+    assert row["rule"] == rule
+    verdicts = {name: verdict for verdict, name in queries.RULES}
+    assert row["verdict"] == (verdicts[rule] if rule else "allow")
+
+
+def test_shrinkage(spark):
+    labelled = [("bad.x.net", 1)] * 40 + [("good.x.net", 0)] * 60 + [("few.y.net", 1)] * 2 + [("z.com", 0)] * 30 + [("z.com", None)] * 9
+    hosts = ["bad.x.net", "good.x.net", "few.y.net", "z.com", "new.x.net", "new.org", ""]
+    found = {r["host"]: r for r in urls.reputation(spark.createDataFrame([(h,) for h in hosts], "host string"), outcomes(spark, labelled)).collect()}
+    rate = 42 / 132
+    assert set(found) == set(hosts)
+    assert found["new.org"]["bad_mean"] == pytest.approx(rate)
+    assert found["bad.x.net"]["bad_mean"] > found["few.y.net"]["bad_mean"] > rate > found["z.com"]["bad_mean"]
+    assert found["good.x.net"]["bad_mean"] < found["new.x.net"]["bad_mean"]
+    assert found["bad.x.net"]["bad_bound"] > found["few.y.net"]["bad_bound"]
+    assert all(r["bad_bound"] <= r["bad_mean"] and not math.isnan(r["bad_bound"]) for r in found.values())
+
+
+def test_hosts_with_a_bad_record_are_blocked_where_no_rule_fits(spark):
+    labelled = outcomes(spark, [("bad.net", 1)] * 200 + [("fine.net", 0)] * 200 + [("bad.org", 1)] * 200)
+    found = urls.judged(pages(spark, ["http://bad.net/", "http://fine.net/", "http://bad.org/", "http://bad.org"]), queries.RULES, labelled)
+    assert [row["verdict"] for row in found.orderBy("page_id").collect()] == ["block", "allow", "allow", "block"]
+
+
+@pytest.mark.parametrize("rows", [[], [("a.net", 1)], [("a.net", 0)], [("a.net", None)], [(None, 1)]])
+def test_little_evidence_repeated_rows_and_clashing_columns(spark, rows):
+    df = pages(spark, ["http://a.net/1", "http://a.net/1", None], host=F.lit("old"), N=F.lit(1), bad_mean=F.lit("x"), suffix=F.lit("s"))
+    found = urls.judged(df, queries.RULES, outcomes(spark, rows)).collect()
+    assert sorted(row["host"] for row in found) == ["", "a.net", "a.net"]
+    assert {row["suffix"] for row in found} == {"s"}
+    assert urls.judged(pages(spark, []), queries.RULES, outcomes(spark, rows)).count() == 0
+
+
+def test_outcomes_come_from_the_number_in_the_url(spark):
+    df = pages(spark, ["http://a.net/en/12/", "http://a.net/en/13.html?x", "http://b.net/en/14#top", "http://b.net/x", None])
+    labels = spark.createDataFrame([(12, 1, 0), (13, 0, 0), (14, 1, 1), (99, 0, 0)], "doc_id long, quality int, toxic int")
+    found = queries.page_outcomes(df, labels).collect()
+    assert sorted(map(tuple, found)) == [("a.net", 0), ("a.net", 1), ("b.net", 1)]
