@@ -111,6 +111,19 @@ def top(stats: DataFrame, measure: str, ties: Sequence[str], n: int = TOP) -> Da
     return stats.orderBy(F.col(measure).desc(), *ties).limit(n)
 
 
+def mart(stats: DataFrame, keys: Sequence[str], loaded_at: Column) -> DataFrame:
+    """A mart as it is published: ``id`` (a digest of the key) and ``@timestamp`` in front.
+
+    The digest of a row stays the same from run to run, so publishing again replaces documents.
+    """
+    text = F.concat_ws("\u001f", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in keys])
+    return stats.select(F.md5(text.cast("binary")).alias("id"), loaded_at.alias("@timestamp"), *stats.columns)
+
+
+def publish_mart(stats: DataFrame, keys: Sequence[str], sink: IndexSink, resource: str, loaded_at: Column) -> None:
+    sink.write(mart(stats, keys, loaded_at), resource)
+
+
 def stamped(df: DataFrame, loaded_at: Column) -> DataFrame:
     """Add the load time; the caller says what it is."""
     return df.withColumn("@timestamp", loaded_at)

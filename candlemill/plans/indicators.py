@@ -7,6 +7,7 @@ Columns per span ``w``: ``eavg_close_w``, ``eavg_volume_w`` and ``disparity_w``
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from candlemill.functions import compact_date, parse_compact_date, percent_of
 from candlemill.operators.ewm import ewm_means, ewm_states, mean_name, state_schema
 from candlemill.operators.keyed import drop_listed, keep_listed, one_row_per_key
+from candlemill.workspace import written
 
 # The spans of the stored indicators and the stored column names.
 SPANS = (5, 20, 60, 112, 224, 448)
@@ -106,6 +108,40 @@ def indicators_rebased(
     return drop_listed(existing, CODE, rebased).select(fresh.columns).unionByName(fresh)
 
 
+@dataclass(frozen=True)
+class IndicatorUpdate:
+    """What an indicator run has to store."""
+
+    replaced: DataFrame  # codes whose stored indicators are void
+    added: DataFrame  # indicator rows to append after that
+    states: DataFrame  # the states to go on from next time
+
+
+def indicators_daily(
+    series: DataFrame,
+    arrived: DataFrame,
+    states: DataFrame,
+    rebased: DataFrame,
+    spans: Sequence[int] = SPANS,
+) -> IndicatorUpdate:
+    """One run: codes with later rows go on from their state, late and rebased ones are built anew.
+
+    ``series`` is the whole stored history with the ``arrived`` rows in it; only
+    the codes to build anew are read of it.  ``rebased`` are codes whose history
+    was fetched again.
+    """
+    late = late_codes(arrived, states)
+    replaced = written(late.unionByName(rebased.select(CODE)).distinct(), "replaced")
+    anew = keep_listed(series, CODE, replaced)
+    on = drop_listed(arrived, CODE, replaced)
+    before = drop_listed(states, CODE, replaced)
+    return IndicatorUpdate(
+        replaced=replaced,
+        added=indicators(on, spans, before).unionByName(indicators(anew, spans)),
+        states=indicator_states(on, spans, before).unionByName(indicator_states(anew, spans)),
+    )
+
+
 def stored_layout(df: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
     """Indicators as stored: text dates and 32-bit floats, 20 columns."""
     columns = [compact_date(F.col(DAY)).alias("stockdate"), F.col(CODE).cast("string").alias("stockcode")]

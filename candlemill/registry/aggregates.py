@@ -11,6 +11,10 @@ from candlemill.plans.textstats import lines_with, word_count
 from candlemill.registry.base import query, table
 
 
+# Relative error that the sketch is asked for.
+APPROXIMATION = 0.05
+
+
 @query("agg_count", "select count(*) as n from lineitem")
 def _agg_count(spark, d):
     return table(spark, d, "lineitem").agg(F.count("*").alias("n"))
@@ -61,9 +65,14 @@ def _agg_count_distinct_all(spark, d):
     return table(spark, d, "lineitem").agg(F.count_distinct("l_partkey").alias("parts"))
 
 
-@query("agg_approx_distinct")
+@query("agg_approx_distinct", "select count(distinct l_orderkey) as exact, true as held from lineitem")
 def _agg_approx_distinct(spark, d):
-    return table(spark, d, "lineitem").agg(F.approx_count_distinct("l_orderkey", 0.05).alias("orders"))
+    """The sketch is held against the exact count: three times its stated error at most."""
+    found = table(spark, d, "lineitem").agg(
+        F.approx_count_distinct("l_orderkey", APPROXIMATION).alias("guess"), F.count_distinct("l_orderkey").alias("exact")
+    )
+    held = F.abs(F.col("guess") - F.col("exact")) <= 3 * APPROXIMATION * F.col("exact")
+    return found.select("exact", held.alias("held"))
 
 
 @query("agg_distinct", "select distinct l_returnflag, l_linestatus, l_linenumber from lineitem")
@@ -159,15 +168,34 @@ def _agg_summary(spark, d):
     )
 
 
-@query("partition_sizes")
+@query("partition_sizes", "select count(*) as total, true as within from lineitem")
 def _partition_sizes(spark, d):
-    return partition_sizes(table(spark, d, "lineitem").repartition(10, "l_suppkey"))
+    """Sizes of ten partitions: they add up, and every partition is one of the ten."""
+    sizes = partition_sizes(table(spark, d, "lineitem").repartition(10, "l_suppkey"))
+    within = F.every(F.col("partition").between(0, 9) & (F.col("rows") > 0)) & (F.count("*") <= 10)
+    return sizes.agg(F.sum("rows").alias("total"), within.alias("within"))
 
 
-@query("hash_bucket")
+@query("hash_bucket", "select count(*) as total, count(distinct l_suppkey) as keys, true as within from lineitem")
 def _hash_bucket(spark, d):
+    """Twenty buckets by hash: they add up, every bucket is in range, and a key is in one bucket."""
     bucket = F.pmod(F.hash("l_suppkey"), F.lit(20)).alias("bucket")
-    return table(spark, d, "lineitem").groupBy(bucket).agg(F.count("*").alias("n"))
+    sizes = table(spark, d, "lineitem").groupBy(bucket).agg(F.count("*").alias("n"), F.count_distinct("l_suppkey").alias("keys"))
+    return sizes.agg(
+        F.sum("n").alias("total"), F.sum("keys").alias("keys"), F.every(F.col("bucket").between(0, 19)).alias("within")
+    )
+
+
+@query(
+    "agg_quartiles",
+    """select 'l_quantity' as "column", quantile_disc(l_quantity, 0.25) as q1, quantile_disc(l_quantity, 0.5) as median,
+              quantile_disc(l_quantity, 0.75) as q3 from lineitem
+       union all select 'l_discount', quantile_disc(l_discount, 0.25), quantile_disc(l_discount, 0.5),
+                        quantile_disc(l_discount, 0.75) from lineitem""",
+)
+def _agg_quartiles(spark, d):
+    """Columns with few values, where the approximation has no room to differ."""
+    return column_summary(table(spark, d, "lineitem"), ["l_quantity", "l_discount"]).select("column", "q1", "median", "q3")
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candlemill.functions import clean_event_time
 from candlemill.plans.events import FLAT, NESTED, daily_stats, parsed, refined, repo_stats, top, user_stats
 from candlemill.registry.base import KINDS, RAW_EVENTS, REFINED_EVENTS, query, raw_events
-from candlemill.sources.files import read_json
+from candlemill.sources.files import archive_hours, read_archive_day, read_json
 from candlemill.workspace import new_folder
 
 
@@ -34,6 +34,14 @@ USER_STATS = f"""
 """
 
 
+DAILY_STATS = f"""
+    select cast(created_at as date) as day, count(distinct user_name) as distinct_user_cnt,
+           count(distinct repo_url) as distinct_repo_cnt, {COMMITS},
+           {_counts("push", "pr", "issue", "issue_comment", "release")}
+    from ({REFINED_EVENTS}) group by 1
+"""
+
+
 @query("events_refine", REFINED_EVENTS)
 def _events_refine(spark, d):
     return _flat_comment(refined(raw_events(spark, d)))
@@ -70,6 +78,24 @@ def _src_json_schema(spark, d):
     )
 
 
+ARCHIVE_DAY = "2024-01-15"
+
+
+@query("archive_day", f"select * from ({REFINED_EVENTS}) where cast(created_at as date) = date '{ARCHIVE_DAY}'")
+def _archive_day(spark, d):
+    """Hourly files of a day and the next one; one day is read back."""
+    root = new_folder(spark, "archive")
+    events = raw_events(spark, d)
+    for day in (ARCHIVE_DAY, "2024-01-16"):
+        of_day = events.where(F.substring("created_at", 1, 10) == day)
+        for hour, path in enumerate(archive_hours(root, day, "json")):
+            if hour % 12 == 0:  # a file for each half of the day will do
+                of_day.where(F.floor(F.substring("created_at", 12, 2).cast("int") / 12) == hour // 12).write.option(
+                    "compression", "gzip"
+                ).json(path)
+    return _flat_comment(refined(read_archive_day(spark, root, ARCHIVE_DAY, NESTED, partitions=4)))
+
+
 @query("repo_stats", REPO_STATS)
 def _repo_stats(spark, d):
     return repo_stats(refined(raw_events(spark, d)), KINDS)
@@ -80,13 +106,7 @@ def _user_stats(spark, d):
     return user_stats(refined(raw_events(spark, d)), KINDS)
 
 
-@query(
-    "daily_stats",
-    f"""select cast(created_at as date) as day, count(distinct user_name) as distinct_user_cnt,
-               count(distinct repo_url) as distinct_repo_cnt, {COMMITS},
-               {_counts("push", "pr", "issue", "issue_comment", "release")}
-        from ({REFINED_EVENTS}) group by 1""",
-)
+@query("daily_stats", DAILY_STATS)
 def _daily_stats(spark, d):
     return daily_stats(refined(raw_events(spark, d)), KINDS)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from candlemill.functions import clean_event_time, compact_date, last_segment, parse_compact_date, years_before
@@ -152,6 +153,27 @@ def _shout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _with_index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    index = TaskContext.get().partitionId()
+    for batch in batches:
+        yield batch.assign(index=index)
+
+
+@query(
+    "map_partitions_with_index",
+    "select lang, count(*) as n, cast(1 as bigint) as partitions, true as within from documents group by 1",
+)
+def _map_partitions_with_index(spark, d):
+    """Rows dealt by language carry the number of their partition: one for each language."""
+    documents = table(spark, d, "documents").select("lang").repartition(5, "lang")
+    indexed = documents.mapInPandas(_with_index, "lang string, index int")
+    return indexed.groupBy("lang").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("index").alias("partitions"),
+        F.every(F.col("index").between(0, 4)).alias("within"),
+    )
+
+
 @query(
     "map_partitions",
     "select doc_id, upper(lang) as lang, cast(len(string_split(text, ' ')) as bigint) as words from documents",

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from candlemill.plans.events import publish, refined
+from candlemill.plans.events import daily_stats, publish, publish_mart, refined, repo_stats, user_stats
 from candlemill.plans.ingest import rows_after_stored
-from candlemill.registry.base import DAILY_SERIES, REFINED_EVENTS, daily_series, query, raw_events, table
+from candlemill.registry.base import DAILY_SERIES, KINDS, REFINED_EVENTS, daily_series, query, raw_events, table
+from candlemill.registry.events import DAILY_STATS, REPO_STATS, USER_STATS
 from candlemill.sinks.index import IndexSink
 from candlemill.sinks.tables import append_bucketed, read_bucketed, replace_buckets
 from candlemill.workspace import new_folder
@@ -39,6 +41,26 @@ def _sink_replace_buckets(spark, d):
     return read_bucketed(spark, path, SERIES)
 
 
+LOADED = "2024-02-01 00:00:00"
+
+
+def _mart_query(name: str, stats, keys: list[str], sql: str, id_sql: str):
+    @query(name, f"select md5({id_sql}) as id, timestamp '{LOADED}' as loaded_at, * from ({sql})")
+    def published(spark, d):
+        """The mart, read back from the index output."""
+        resource = new_folder(spark, "mart")
+        counted = stats(refined(raw_events(spark, d)), KINDS)
+        sink = IndexSink(hosts="localhost", id_column="id", format="json")
+        publish_mart(counted, keys, sink, resource, F.lit(LOADED).cast("timestamp_ntz"))
+        shape = [T.StructField("id", T.StringType()), T.StructField("@timestamp", T.TimestampNTZType()), *counted.schema]
+        return spark.read.schema(T.StructType(shape)).json(resource).withColumnRenamed("@timestamp", "loaded_at")
+
+
+_mart_query("mart_repos", repo_stats, ["repo_url"], REPO_STATS, "repo_url")
+_mart_query("mart_users", user_stats, ["user_name"], USER_STATS, "user_name")
+_mart_query("mart_days", daily_stats, ["day"], DAILY_STATS, "cast(day as varchar)")
+
+
 @query(
     "sink_index_json",
     f"""select id, user_name, repo_name, timestamp '2024-02-01 00:00:00' as loaded_at from ({REFINED_EVENTS})""",

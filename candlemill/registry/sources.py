@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.registry.base import query, table
+from candlemill.registry.base import TABLES, query, table
 from candlemill.sinks.tables import export_csv, save_bucketed
 from candlemill.sources.catalog import table_list
 from candlemill.sources.files import expired_files
@@ -83,20 +83,32 @@ def _bucketed_join(spark, d):
 
 @query(
     "catalog_tables",
-    """select 'nation' as name, count(*) as n from nation union all select 'orders', count(*) from orders
-       union all select 'lineitem', count(*) from lineitem union all select 'events', count(*) from events""",
+    " union all ".join(
+        f"select 'candlemill_view_{name}' as name, 'TEMPORARY' as table_type, true as temporary, count(*) as n from {name}"
+        for name in TABLES
+    ),
 )
 def _catalog_tables(spark, d):
-    wanted = ("nation", "orders", "lineitem", "events")
-    for name in wanted:
+    """The listing of the session's views, each with the rows that it gives."""
+    for name in TABLES:
         table(spark, d, name).createOrReplaceTempView(f"candlemill_view_{name}")
-    listed = {row["name"] for row in table_list(spark).where("temporary").collect()}
-    counts = [
-        spark.sql(f"SELECT '{name}' AS name, count(*) AS n FROM candlemill_view_{name}")
-        for name in wanted
-        if f"candlemill_view_{name}" in listed
-    ]
-    return functools.reduce(DataFrame.unionByName, counts)
+    listed = table_list(spark).where(F.col("temporary") & F.col("name").startswith("candlemill_view_"))
+    counts = [spark.sql(f"SELECT 'candlemill_view_{name}' AS name, count(*) AS n FROM candlemill_view_{name}") for name in TABLES]
+    return listed.join(functools.reduce(DataFrame.unionByName, counts), "name")
+
+
+@query(
+    "src_csv_inferred",
+    """select 'int' as key_type, 'string' as name_type, 'int' as size_type, 'double' as price_type, count(*) as n,
+              cast(sum(p_size) as bigint) as sizes from part""",
+)
+def _src_csv_inferred(spark, d):
+    """Types are found by a pass over the data."""
+    folder = new_folder(spark, "csv")
+    table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice").write.option("header", "true").csv(folder)
+    found = spark.read.options(header="true", inferSchema="true").csv(folder)
+    types = {name: F.lit(kind) for name, kind in zip(("key_type", "name_type", "size_type", "price_type"), dict(found.dtypes).values())}
+    return found.agg(F.count("*").alias("n"), F.sum("p_size").alias("sizes")).withColumns(types)
 
 
 @query("sql_over_view", "select distinct p_brand, p_type from part where p_size > 10")
@@ -110,8 +122,8 @@ def _sql_over_view(spark, d):
     "select count(*) as n from (select p_partkey, p_type from part group by 1, 2) where p_type > 'M'",
 )
 def _sql_group_then_filter(spark, d):
-    table(spark, d, "part").createOrReplaceTempView("candlemill_view_part")
-    grouped = spark.sql("SELECT p_partkey, p_type FROM candlemill_view_part GROUP BY p_type, p_partkey")
+    table(spark, d, "part").createOrReplaceTempView("candlemill_grouped_part")
+    grouped = spark.sql("SELECT p_partkey, p_type FROM candlemill_grouped_part GROUP BY p_type, p_partkey")
     return grouped.where("p_type > 'M'").agg(F.count("*").alias("n"))
 
 
