@@ -59,7 +59,7 @@ SUBSTRINGS = r"""
 """
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", SUBSTRINGS)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     results = substrings.distinct_texts(documents, WINDOW).select(
@@ -175,7 +175,63 @@ def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return numbered.where(F.col("doc_id").isNotNull()).join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("host", "bad")
 
 
-@query("op10_url_filter")
+def _rule_sql(field: int) -> str:
+    """The longest fitting rule, or its verdict, as a CASE from long to short."""
+    whens = []
+    for verdict, rule in sorted(RULES, key=lambda r: (len(r[1]), r[1]), reverse=True):
+        host, slash, path = rule.partition("/")
+        fits = f"(host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{slash + path}')"
+        whens.append(f"when {fits} then '{(verdict, rule)[field]}'")
+    return f"case {' '.join(whens)} end"
+
+
+def _strength_sql(level: str) -> str:
+    """The moment estimate of a prior's strength over the groups of a level."""
+    chance = "(r.rate * (1 - r.rate))"
+    beyond = (
+        f"(sum(bad * bad / n) - sum(bad) * sum(bad) / sum(n) - {chance} * (count(*) - 1))"
+        f" / ({chance} * (sum(n) - sum(n * n) / sum(n) - (count(*) - 1)))"
+    )
+    room = f"{chance} * (sum(n) - sum(n * n) / sum(n) - (count(*) - 1)) > 0"
+    return f"""
+        select case when count(*) < 2 or {chance} = 0 then {urls.STRONGEST}
+                    when {room} and {beyond} > 0 then least({urls.STRONGEST}, greatest({urls.WEAKEST}, 1 / ({beyond}) - 1))
+                    else {urls.STRONGEST} end as s
+        from {level} cross join rate r group by r.rate
+    """
+
+
+REPUTATION = rf"""
+    with urls as (select page_id, coalesce(regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1), '') as rest from pages),
+    parts as (select page_id,
+                     translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from urls),
+    labelled as (select host, try_cast(regexp_extract(path, '/(\d{{1,18}})(?:\.html)?/?$', 1) as bigint) as doc_id from parts),
+    counted as (select host, cast(count(*) as double) as n, cast(sum(greatest(1 - quality, toxic)) as double) as bad
+                from labelled join labels using (doc_id) where quality is not null or toxic is not null group by host),
+    named as (select *, string_split(regexp_replace(host, ':\d*$', ''), '.') as labels from counted),
+    hosts as (select host, n, bad, array_to_string(labels[-2:], '.') as domain, labels[-1] as suffix from named),
+    domains as (select domain, suffix, sum(n) as n, sum(bad) as bad from hosts group by 1, 2),
+    suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by 1),
+    rate as (select coalesce(sum(bad) / sum(n), {urls.NO_EVIDENCE}) as rate from suffixes),
+    s0 as ({_strength_sql("suffixes")}), s1 as ({_strength_sql("domains")}), s2 as ({_strength_sql("hosts")}),
+    levels as (select p.*, (r.rate * coalesce(s0.s, 1) + coalesce(x.bad, 0)) / (coalesce(x.n, 0) + coalesce(s0.s, 1)) as m0,
+                      coalesce(d.n, 0) as n1, coalesce(d.bad, 0) as b1, coalesce(h.n, 0) as n2, coalesce(h.bad, 0) as b2,
+                      coalesce(s1.s, 1) as s1, coalesce(s2.s, 1) as s2
+               from (select *, string_split(regexp_replace(host, ':\d*$', ''), '.') as labels from parts) p
+               cross join rate r left join s0 on true left join s1 on true left join s2 on true
+               left join suffixes x on x.suffix = p.labels[-1]
+               left join domains d on d.domain = array_to_string(p.labels[-2:], '.')
+               left join hosts h on h.host = p.host),
+    means as (select *, ((m0 * s1 + b1) / (n1 + s1) * s2 + b2) / (n2 + s2) as mean from levels)
+    select page_id, host, path, {_rule_sql(1)} as rule,
+           coalesce({_rule_sql(0)}, case when mean - {urls.DEVIATIONS} * sqrt(mean * (1 - mean) / (s2 + n2 + 1)) > {urls.LIMIT}
+                                    then 'block' else 'allow' end) as verdict
+    from means
+"""
+
+
+@query("op10_url_filter", REPUTATION)
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     outcomes = page_outcomes(pages, table(spark, sf_dir, "labels"))

@@ -34,7 +34,7 @@ Rules = Sequence[tuple[str, str]]
 
 #: Rate of bad pages above which a host is blocked, and how many standard
 #: deviations below the posterior mean must still be above it.
-LIMIT = 0.5
+LIMIT = 0.25
 DEVIATIONS = 1.645
 NO_EVIDENCE = 0.1
 #: Strengths of a prior, in pages, are held between these.
