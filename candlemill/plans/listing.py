@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions import is_blank
+from candlemill.workspace import checkpointed
 
 # What makes a listed security an ordinary share, and "no change".
 CODE_LENGTH = 6
@@ -41,6 +42,11 @@ def fresh_snapshot(snapshot: DataFrame, source: DataFrame, as_of: str) -> DataFr
     return snapshot.where(is_fresh).unionByName(renewed.where(~is_fresh))
 
 
+def save_snapshot(snapshot: DataFrame, path: str) -> None:
+    """Overwrite the JSON snapshot at ``path``, which ``snapshot`` may have been read from."""
+    checkpointed(snapshot).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def pending(listing: DataFrame, status: str = "etlcheck") -> DataFrame:
     """Codes not processed yet."""
     return listing.where(is_blank(F.col(status)))

@@ -25,9 +25,10 @@ from candlemill.plans.ingest import (
     rows_after_stored,
     without_rebased,
 )
-from candlemill.plans.listing import fresh_snapshot, mark_done
+from candlemill.plans.listing import fresh_snapshot, mark_done, save_snapshot
 from candlemill.registry.base import DAILY_SERIES, daily_series, query, table
 from candlemill.sources.fetch import fetch_windows
+from candlemill.sources.files import read_json
 from candlemill.workspace import new_folder, written
 
 AS_OF = datetime.date(2002, 1, 1)
@@ -306,6 +307,20 @@ _snapshot_query("listing_snapshot_fresh", "20240101", "'20240101'")
 _snapshot_query("listing_snapshot_stale", "20240102", "cast(null as varchar)")
 
 
+@query(
+    "listing_snapshot_json",
+    "select p_partkey, p_name, '20240103' as etldate, cast(null as varchar) as etlcheck from part",
+)
+def _listing_snapshot_json(spark, d):
+    """The snapshot as JSON: yesterday's is read, replaced by today's and read back."""
+    folder = new_folder(spark, "listing")
+    source = table(spark, d, "part").select("p_partkey", "p_name")
+    source.withColumns({"etldate": F.lit("20240102"), "etlcheck": F.lit("20240102")}).write.json(folder)
+    shape = "p_partkey bigint, p_name string, etldate string, etlcheck string"
+    save_snapshot(fresh_snapshot(read_json(spark, folder, shape), source, "20240103"), folder)
+    return read_json(spark, folder, shape)
+
+
 # Codes as a listing may have them; paths encode the blank, the plus sign and the letters.
 CODES = {"F": "005930", "O": "가나 B+", "P": "P"}
 

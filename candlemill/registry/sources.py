@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from candlemill.registry.base import TABLES, query, table
@@ -46,6 +47,37 @@ def _src_inline_rows(spark, d):
     return orders.join(labels, "o_orderstatus", "left").drop("o_orderstatus")
 
 
+@query(
+    "src_rows_of_all_kinds",
+    """select o_orderkey, case o_orderstatus when 'F' then 1 when 'O' then 2 when 'P' then 3 end as place,
+              o_orderstatus = 'F' as closed from orders""",
+)
+def _src_rows_of_all_kinds(spark, d):
+    """The same small table from Row objects, from mappings and from pandas."""
+    data = [("F", 1, True), ("O", 2, False), ("P", 3, False)]
+    names = ["o_orderstatus", "place", "closed"]
+    kinds = [
+        spark.createDataFrame([Row(**dict(zip(names, row))) for row in data]),
+        spark.createDataFrame([dict(zip(names, row)) for row in data]).select(*names),
+        spark.createDataFrame(pd.DataFrame(data, columns=names)),
+    ]
+    same = functools.reduce(DataFrame.intersect, kinds).withColumn("place", F.col("place").cast("int"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return orders.join(same, "o_orderstatus", "left").drop("o_orderstatus")
+
+
+@query("drop_table", "select 'nation' as name, count(*) as n, true as created, true as dropped from nation")
+def _drop_table(spark, d):
+    """A catalog table is created, counted and dropped."""
+    name = f"dropped_{uuid.uuid4().hex}"
+    save_bucketed(table(spark, d, "nation"), name, new_folder(spark, "dropped"), "n_nationkey", 2)
+    created, n = spark.catalog.tableExists(name), spark.read.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(
+        [("nation", n, created, not spark.catalog.tableExists(name))], "name string, n bigint, created boolean, dropped boolean"
+    )
+
+
 @query(
     "src_range_sum",
     """select cast(sum(id) as bigint) as total, count(*) as n from (
