@@ -35,10 +35,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import whole_text, with_columns
+from candlemill.llm.common import loads, modest_batches, whole_text, with_columns
 
-#: Characters of a corpus, and of the parts that long texts are cut into.
-CORPUS_CHARS = 8_000_000
+#: Bytes of a corpus, and characters of the parts that long texts are cut into.
+CORPUS_BYTES = 2_000_000
 PART_CHARS = 1_000_000
 #: Behind it the split pattern starts a new match, whatever follows.
 _EDGE = regex.compile(r"(?<=\S)(?=\s)")
@@ -161,7 +161,7 @@ class Replay:
             sizes = lengths[sequence]
             total = int(sizes.sum())
             inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            encoded.append(ids[np.repeat(begins[sequence], sizes) + inside])
+            encoded.append(ids[np.repeat(begins[sequence], sizes) + inside].astype(np.int32))
         return encoded
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -181,20 +181,8 @@ def parts_of(text: str, size: int) -> Iterator[str]:
         yield text[start:]
 
 
-def _corpora(batch: list[str], size: int) -> Iterator[list[str]]:
-    corpus, held = [], 0
-    for text in batch:
-        corpus.append(text)
-        held += len(text)
-        if held >= size:
-            yield corpus
-            corpus, held = [], 0
-    if corpus:
-        yield corpus
-
-
 def encoded(
-    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", corpus_chars: int = CORPUS_CHARS
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", corpus_bytes: int = CORPUS_BYTES
 ) -> DataFrame:
     """``df`` with ``token_ids`` and ``n_tokens``.
 
@@ -205,13 +193,12 @@ def encoded(
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         replay, matches = Replay(entries), regex.compile(pattern)
-        for batch in batches:
-            found = [x for corpus in _corpora(batch.to_pylist(), corpus_chars) for x in replay.encode(corpus, matches)]
+        for corpus in loads(batches, corpus_bytes):
+            found = replay.encode(corpus.to_pylist(), matches)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            values = np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
 
-    done = with_columns(df, {"token_ids": ids(whole_text(text))})
+    done = with_columns(modest_batches(df), {"token_ids": ids.asNondeterministic()(whole_text(text))})
     return with_columns(done, {"n_tokens": F.size("token_ids").cast("long")})
 
 
@@ -224,11 +211,11 @@ def decoded(df: DataFrame, ranks_path: str, ids: str = "token_ids") -> DataFrame
         for batch in batches:
             yield pa.array([b"".join(entries[i] for i in row or ()) for row in batch.to_pylist()], pa.binary())
 
-    return with_columns(df, {"decoded": spelled(F.col(ids))})
+    return with_columns(modest_batches(df), {"decoded": spelled(F.col(ids))})
 
 
 def round_trip(
-    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", corpus_chars: int = CORPUS_CHARS
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", corpus_bytes: int = CORPUS_BYTES
 ) -> DataFrame:
     """``df`` with ``n_tokens`` and digests of the ids (little-endian, 32 bits) and of the bytes they decode to."""
     entries = read_ranks(ranks_path)
@@ -236,15 +223,14 @@ def round_trip(
     @F.arrow_udf("struct<n: long, ids: string, bytes: string>")
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         replay, matches = Replay(entries), regex.compile(pattern)
-        for batch in batches:
+        for corpus in loads(batches, corpus_bytes):
             rows = []
-            for corpus in _corpora(batch.to_pylist(), corpus_chars):
-                for found in replay.encode(corpus, matches):
-                    written = hashlib.sha256(found.astype("<u4").tobytes()).hexdigest()
-                    rows.append((len(found), written, hashlib.sha256(replay.decode(found)).hexdigest()))
+            for found in replay.encode(corpus.to_pylist(), matches):
+                written = hashlib.sha256(found.astype("<u4").tobytes()).hexdigest()
+                rows.append((len(found), written, hashlib.sha256(replay.decode(found)).hexdigest()))
             columns = [pa.array([row[at] for row in rows], kind) for at, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.StructArray.from_arrays(columns, ["n", "ids", "bytes"])
 
-    done = with_columns(df, {"_llm_digests": digests(whole_text(text))})
+    done = with_columns(modest_batches(df), {"_llm_digests": digests.asNondeterministic()(whole_text(text))})
     fields = {"n_tokens": "n", "ids_sha256": "ids", "decoded_sha256": "bytes"}
     return with_columns(done, {name: F.col(f"_llm_digests.{field}") for name, field in fields.items()}).drop("_llm_digests")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import loads, whole_text, with_columns
+from candlemill.llm.common import loads, modest_batches, whole_text, with_columns
 from candlemill.llm.components import components
 from candlemill.operators.keyed import match_keyed
 from candlemill.workspace import checkpointed
@@ -46,10 +46,11 @@ BITS = 64
 SEED = 42
 #: Distinct fingerprints that are compared in one group.
 LARGEST = 4096
-#: Shingle hashes whose bits are counted at a time, and meetings compared at a time.
+#: Shingle hashes whose bits are counted at a time, bytes of text, and meetings compared
+#: at a time (each of 64 pairs, all of which may be links).
 COUNTED = 50_000
 LOAD_BYTES = 4_000_000
-MEETINGS = 100_000
+MEETINGS = 10_000
 
 
 def fingerprint(text: str, shingle: int) -> int:
@@ -79,7 +80,7 @@ def with_fingerprints(df: DataFrame, shingle: int, text: str = "text") -> DataFr
             found = np.array([fingerprint(value.as_py(), shingle) for value in batch], np.uint64)
             yield pa.array(found.view(np.int64))
 
-    return with_columns(df, {"_llm_print": prints(whole_text(text))})
+    return with_columns(modest_batches(df), {"_llm_print": prints(whole_text(text))})
 
 
 def stretches(free: list[int], parts: int) -> list[list[int]]:
