@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import with_columns
+from candlemill.llm.common import loads, modest_batches, with_columns
 from candlemill.operators.keyed import top_per_key
 
 #: The bounded sample a dictionary is made of: so many different texts of a
@@ -37,6 +37,7 @@ DICTIONARY_BYTES = 128 << 10
 #: Bytes encoded at a time, and blanks behind a block: with them a few words are
 #: always encoded and never stored as they are, which would hide the difference.
 BLOCK = 8192
+LOAD_BYTES = 2_000_000
 PADDING = b" " * 96
 #: A lead below this share of the second size is a rejection.
 MARGIN = 0.02
@@ -96,9 +97,9 @@ def _encoders(dictionaries: dict[str, bytes]) -> list[zstandard.ZstdCompressor]:
 
 
 def _judged(text: str | None, names: list[str], encoders: list) -> tuple[str, float]:
-    words = plain(text) if text else b""
-    if not names or not regex.search(rb"\S", words) or not regex.search(r"\p{L}", text):
+    if not names or not text or not regex.search(r"\p{L}", text):
         return UNKNOWN, 0.0
+    words = plain(text)
     blocks = [words[at : at + BLOCK] + PADDING for at in range(0, len(words), BLOCK)]
     sizes = [sum(len(encoder.compress(block)) for block in blocks) for encoder in encoders]
     best = min(range(len(names)), key=sizes.__getitem__)
@@ -121,14 +122,15 @@ def identify(
     @F.arrow_udf("struct<lang: string, score: double>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoders = _encoders(dictionaries)
-        for batch in batches:
+        for batch in loads(batches, LOAD_BYTES):
             found = [_judged(value.as_py(), names, encoders) for value in batch]
             yield pa.StructArray.from_arrays(
                 [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 ["lang", "score"],
             )
 
-    judged = with_columns(df, {"_llm_judged": judge(F.col(text).cast("string"))})
+    # Otherwise a filter on the answer would be moved below and judge a second time.
+    judged = with_columns(modest_batches(df), {"_llm_judged": judge.asNondeterministic()(F.col(text).cast("string"))})
     lang, score = F.col("_llm_judged.lang"), F.col("_llm_judged.score")
     rejected = (lang == UNKNOWN) | (score < margin)
     return with_columns(judged, {"lang_pred": lang, "score": score, "rejected": rejected}).drop("_llm_judged")
