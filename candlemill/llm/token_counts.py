@@ -22,12 +22,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import whole_text, with_columns
+from candlemill.llm.common import loads, modest_batches, whole_text, with_columns
 
 MARK = "▁"
-#: Characters of a piece, and of a batch of pieces.
+#: Characters of a piece, and bytes of a batch.
 PIECE_CHARS = 50_000
-BATCH_CHARS = 1_000_000
+BATCH_BYTES = 1_000_000
 
 
 def cut(text: str, size: int) -> list[str]:
@@ -58,25 +58,14 @@ def loaded(model: bytes) -> sentencepiece.SentencePieceProcessor:
     return processor
 
 
-def _counted(processor, texts: list[str], piece_chars: int, batch_chars: int) -> list[int]:
+def _counted(processor, texts: list[str], piece_chars: int) -> list[int]:
+    pieces = [(owner, piece) for owner, text in enumerate(texts) for piece in cut(text, piece_chars)]
     counts = [0] * len(texts)
-    pieces, owners, held = [], [], 0
-
-    def flush() -> None:
-        for owner, ids in zip(owners, processor.encode(pieces, num_threads=1), strict=True):
+    # A batch is a few short texts or one long one, which is then encoded piece by piece.
+    groups = [pieces] if len(texts) > 1 else [[piece] for piece in pieces]
+    for group in groups:
+        for (owner, _), ids in zip(group, processor.encode([piece for _, piece in group], num_threads=1), strict=True):
             counts[owner] += len(ids)
-        pieces.clear()
-        owners.clear()
-
-    for owner, text in enumerate(texts):
-        for piece in cut(text, piece_chars):
-            pieces.append(piece)
-            owners.append(owner)
-            held += len(piece)
-            if held >= batch_chars:
-                flush()
-                held = 0
-    flush()
     return counts
 
 
@@ -86,7 +75,7 @@ def count_tokens(
     text: str = "text",
     limit: int = 4096,
     piece_chars: int = PIECE_CHARS,
-    batch_chars: int = BATCH_CHARS,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """``df`` with ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
@@ -98,8 +87,10 @@ def count_tokens(
     @F.arrow_udf("long")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = loaded(model)
-        for batch in batches:
-            yield pa.array(_counted(processor, batch.to_pylist(), piece_chars, batch_chars), pa.int64())
+        for batch in loads(batches, batch_bytes):
+            yield pa.array(_counted(processor, batch.to_pylist(), piece_chars), pa.int64())
 
-    counted = with_columns(df, {"n_bytes": F.octet_length(whole_text(text)).cast("long"), "n_tokens": tokens(whole_text(text))})
+    # Otherwise a filter on the count would be moved below and count a second time.
+    once = tokens.asNondeterministic()
+    counted = with_columns(modest_batches(df), {"n_bytes": F.octet_length(whole_text(text)).cast("long"), "n_tokens": once(whole_text(text))})
     return with_columns(counted, {"over_limit": F.col("n_tokens") > limit})
