@@ -36,14 +36,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import whole_text, with_columns
+from candlemill.llm.common import cuts, loads, modest_batches, whole_text, with_columns
 from candlemill.operators.keyed import match_keyed
 
 WINDOW = 35
-#: Words whose hashes a task combines before it sends them.
-LOAD_WORDS = 2_000_000
-#: Bytes of text for each bucket of hashes.
-BUCKET_BYTES = 8 << 20
+#: Words whose hashes a task combines before it sends them, and bytes of text for each
+#: bucket of hashes.  Both fit workers of some hundred megabytes; with larger ones,
+#: raise both, as a load sends a row to each bucket and large rows pack better.
+LOAD_WORDS = 1_500_000
+BUCKET_BYTES = 16 << 20
+#: Bytes of text that an Arrow function holds at a time.
+LOAD_BYTES = 4_000_000
 KEY = ["_llm_k1", "_llm_k2"]
 _SEED = 20_25
 
@@ -107,11 +110,13 @@ def _hits_table(hits: np.ndarray) -> dict:
 
 
 def _loads(batches: Iterator[pa.RecordBatch], words_of, most: int) -> Iterator[list]:
-    """Lists of (k1, k2, row, words) with about ``most`` words together."""
+    """Lists of (row, words) with about ``most`` words together; a row is (k1, k2, text, ..)."""
     load, held = [], 0
     for batch in batches:
-        for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+        for row in zip(*batch.columns, strict=True):
+            row = [value.as_py() for value in row]
             words = words_of(row)
+            row[2] = None  # the text is not needed any more
             load.append((row, words))
             held += len(words)
             if held >= most:
@@ -164,12 +169,11 @@ def _rows(distinct, times, anchors, k1, k2, places, hits, buckets) -> Iterator[p
     hits = hits[np.argsort(turn, kind="stable")]
     hit_cuts = _cuts(np.sort(turn), buckets)
     low = np.uint64(0xFFFFFFFF)
-    for bucket in range(buckets):
+    # An anchor's own probe is among the rests, so these two say which buckets have anything.
+    for bucket in np.flatnonzero(np.diff(cuts) + np.diff(hit_cuts)).tolist():
         a, b = cuts[bucket], cuts[bucket + 1]
         c, d = anchor_cuts[bucket], anchor_cuts[bucket + 1]
         e, f = hit_cuts[bucket], hit_cuts[bucket + 1]
-        if a == b and c == d and e == f:
-            continue
         columns["bucket"].append(bucket)
         columns["rests"].append(packed_rests(np.sort((repeated[a:b] & low).astype(np.uint32))))
         columns["ones"].append((anchors[c:d] & low).astype("<u4").tobytes())
@@ -251,11 +255,9 @@ def windows_of_hits(buckets: int, block: int, window: int, load_words: int):
             h1, h2, text_of, places, twice = h1[first], h2[first], text_of[first], places[first], twice[first]
             cuts = _cuts(bucket_of(h1, buckets), buckets)
             columns: dict[str, list] = {field.name: [] for field in _WINDOWS}
-            for bucket in range(buckets):
+            for bucket in np.flatnonzero(np.diff(cuts) + np.diff(hit_cuts)).tolist():
                 a, b = cuts[bucket], cuts[bucket + 1]
                 e, f = hit_cuts[bucket], hit_cuts[bucket + 1]
-                if a == b and e == f:
-                    continue
                 by_text = a + np.lexsort((places[a:b], text_of[a:b], twice[a:b]))
                 single = by_text[~twice[by_text]]
                 texts, owner = np.unique(text_of[single], return_inverse=True)
@@ -333,24 +335,29 @@ def _kept(window: int):
     @F.arrow_udf("struct<n_words: long, n_removed: long, spans: array<struct<first: int, stop: int>>, kept: string>")
     def keep(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         unpack = zstandard.ZstdDecompressor()
+
+        def kept_of(packed: bytes, copies: int, starts: list | None) -> dict:
+            words = unpack.decompress(packed).split()
+            if copies > 1 and len(words) >= window:
+                gone = np.ones(len(words), bool)
+            else:
+                gone = removed_words(len(words), np.array(starts or [], np.int64), window)
+            spans = np.flatnonzero(np.diff(np.r_[False, gone, False])).reshape(-1, 2).tolist()
+            left = [word for word, out in zip(words, gone.tolist(), strict=True) if not out] if spans else words
+            return {
+                "n_words": len(words),
+                "n_removed": int(gone.sum()),
+                "spans": [{"first": first, "stop": stop} for first, stop in spans],
+                "kept": b" ".join(left).decode(),
+            }
+
         kind = pa.struct(
             [("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))), ("kept", pa.string())]
         )
-        for packed, copies, places in batches:
-            rows = []
-            for data, times, starts in zip(packed, copies.to_pylist(), places.to_pylist(), strict=True):
-                words = unpack.decompress(data.as_py()).split()
-                if times > 1 and len(words) >= window:
-                    gone = np.ones(len(words), bool)
-                elif starts:
-                    gone = removed_words(len(words), np.array(starts, np.int64), window)
-                else:
-                    gone = np.zeros(len(words), bool)
-                edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-                spans = [{"first": a, "stop": b} for a, b in edges.reshape(-1, 2).tolist()]
-                kept = b" ".join([word for word, out in zip(words, gone.tolist(), strict=True) if not out]) if spans else b" ".join(words)
-                rows.append({"n_words": len(words), "n_removed": int(gone.sum()), "spans": spans, "kept": kept.decode()})
-            yield pa.array(rows, kind)
+        for batch in batches:
+            for at, length in cuts(batch[0], LOAD_BYTES // 4):
+                columns = (column.slice(at, length).to_pylist() for column in batch)
+                yield pa.array([kept_of(*row) for row in zip(*columns, strict=True)], kind)
 
     return keep
 
@@ -358,14 +365,14 @@ def _kept(window: int):
 def distinct_texts(df: DataFrame, window: int = WINDOW, text: str = "text", load_words: int = LOAD_WORDS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per different text (by its key): ``n_words``, ``n_removed``, ``spans`` of removed words and the ``kept`` text."""
     block = (window + 1) // 2
-    rows = keyed(df.select(F.col(f"`{text}`").alias("text")), "text").withColumn("text", whole_text("text"))
+    rows = keyed(modest_batches(df).select(F.col(f"`{text}`").alias("text")), "text").withColumn("text", whole_text("text"))
     size = df.agg(F.sum(F.octet_length(whole_text(text)))).first()[0] or 0
     buckets = int(max(8, size // bucket_bytes))
 
     @F.arrow_udf("binary")
     def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in loads(batches, LOAD_BYTES):
             yield pa.array([pack.compress(value.as_py().encode()) for value in batch], pa.binary())
 
     texts = rows.select(*KEY, packed("text").alias("packed")).groupBy(*KEY).agg(F.first("packed").alias("packed"), F.count("*").alias("copies"))
