@@ -52,6 +52,22 @@ def read_ranks(path: str) -> list[bytes]:
     return [entries[rank] for rank in range(len(entries))]
 
 
+class _Numbers(dict):
+    """Words by number, in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        return at
+
+
+def _once(parts: list[np.ndarray]) -> np.ndarray:
+    """Sorted positions of some sorted arrays, each once."""
+    if len(parts) == 1:
+        return parts[0]
+    every = np.sort(np.concatenate(parts))
+    return every[np.r_[True, every[1:] != every[:-1]]] if len(every) else every
+
+
 class Replay:
     """The merges of a vocabulary, applied to corpora of words."""
 
@@ -115,7 +131,7 @@ class Replay:
         file(inner)
         while waiting:
             rank = heapq.heappop(waiting)
-            at = np.unique(np.concatenate(index.pop(rank)))
+            at = _once(index.pop(rank))
             at = at[merge[at] == rank]
             if not len(at):
                 continue
@@ -133,7 +149,7 @@ class Replay:
             merge[at] = -1
             left = before[at]
             left = left[left >= 0]
-            touched = np.unique(np.concatenate([left, at[then >= 0]]))
+            touched = _once([left, at[then >= 0]])
             touched = touched[alive[touched]]
             merge[touched] = self._merge_of(symbol[touched], symbol[after[touched]])
             file(touched)
@@ -142,14 +158,14 @@ class Replay:
 
     def encode(self, texts: list[str], pattern) -> list[np.ndarray]:
         """Ids of each text."""
-        number: dict[str, int] = {}
+        number = _Numbers()
         sequences = []
         for text in texts:
             sequences.append(
                 np.concatenate(
                     [np.zeros(0, np.int64)]
                     + [
-                        np.fromiter((number.setdefault(word, len(number)) for word in pattern.findall(part)), np.int64)
+                        np.fromiter(map(number.__getitem__, pattern.findall(part)), np.int64)
                         for part in parts_of(text, PART_CHARS)
                     ]
                 )
