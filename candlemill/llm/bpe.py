@@ -230,6 +230,34 @@ def decoded(df: DataFrame, ranks_path: str, ids: str = "token_ids") -> DataFrame
     return with_columns(modest_batches(df), {"decoded": spelled(F.col(ids))})
 
 
+def encoded_and_decoded(
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", corpus_bytes: int = CORPUS_BYTES
+) -> DataFrame:
+    """``df`` with ``token_ids``, ``n_tokens``, and the number ``n_bytes`` and digest ``decoded_sha256`` of the bytes the ids decode to."""
+    entries = read_ranks(ranks_path)
+    kinds = {"ids": pa.list_(pa.int32()), "size": pa.int64(), "bytes": pa.string()}
+
+    @F.arrow_udf("struct<ids: array<int>, size: long, bytes: string>")
+    def both_ways(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        replay, matches = Replay(entries), regex.compile(pattern)
+        for corpus in loads(batches, corpus_bytes):
+            found = replay.encode(corpus.to_pylist(), matches)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            sizes, digests = [], []
+            for ids in found:
+                spelled = replay.decode(ids)
+                sizes.append(len(spelled))
+                digests.append(hashlib.sha256(spelled).hexdigest())
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+            columns = [ids, pa.array(sizes, kinds["size"]), pa.array(digests, kinds["bytes"])]
+            yield pa.StructArray.from_arrays(columns, fields=[pa.field(name, kind) for name, kind in kinds.items()])
+
+    done = with_columns(modest_batches(df), {"_llm_coded": both_ways.asNondeterministic()(whole_text(text))})
+    added = {"token_ids": "ids", "n_bytes": "size", "decoded_sha256": "bytes"}
+    done = with_columns(done, {name: F.col(f"_llm_coded.{field}") for name, field in added.items()}).drop("_llm_coded")
+    return with_columns(done, {"n_tokens": F.size("token_ids").cast("long")})
+
+
 def round_trip(
     df: DataFrame, ranks_path: str, pattern: str, text: str = "text", corpus_bytes: int = CORPUS_BYTES
 ) -> DataFrame:

@@ -43,9 +43,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, and how many bytes they decode to."""
-    done = bpe.encoded(docs, RANKS, public_tokenizers.PATTERN)
-    return done.select("doc_id", "lang", "source", "n_tokens", "token_ids")
+    """Token ids of every document of the mix, how many bytes they decode to, and the digest of those."""
+    done = bpe.encoded_and_decoded(docs, RANKS, public_tokenizers.PATTERN)
+    return done.select("doc_id", "lang", "source", "n_tokens", "token_ids", "n_bytes", "decoded_sha256")
 
 
 STAGES = [

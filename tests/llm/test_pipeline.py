@@ -1,6 +1,7 @@
 """The stages on a small fixture, against plain Python."""
 
 import collections
+import hashlib
 
 import public_tokenizers
 import pytest
@@ -84,6 +85,15 @@ def test_tokens(spark, corpus):
         assert row["token_ids"] == library.encode_ordinary(texts[row["doc_id"]])
 
 
+def test_tokens_decode_to_the_text(spark, corpus):
+    texts = {row["doc_id"]: (row["text"] or "").encode() for row in corpus.collect()}
+    found = stage(spark, "byte-level BPE encoding and decoding", corpus).collect()
+    assert len(found) == corpus.count()
+    for row in found:
+        text = texts[row["doc_id"]]
+        assert (row["n_bytes"], row["decoded_sha256"]) == (len(text), hashlib.sha256(text).hexdigest())
+
+
 def test_run(spark, smallest):
     found = corpus_pipeline.run(spark, smallest)
     rows = found.collect()
