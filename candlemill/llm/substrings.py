@@ -14,7 +14,8 @@ its copies are counted on the map side.  Probes travel as sorted 32-bit rests
 of hashes, an anchor with the key of its text and its number.  Within
 a task's load of texts equal hashes are combined first: what occurs twice there
 is a hit at once and sends its hash alone, so a passage that a third of all texts
-share sends one hash per load.  Buckets hold a fixed share of the hashes and
+share sends one hash per load, and each different text's hit anchors once per load,
+however many copies of it the load has; they are spread over the buckets.  Buckets hold a fixed share of the hashes and
 their number follows the input.  Rests of 32 bits may hit by chance; windows are
 told apart by 96 bits and their bucket.
 
@@ -126,6 +127,14 @@ def _loads(batches: Iterator[pa.RecordBatch], words_of, most: int) -> Iterator[l
         yield load
 
 
+def _hits_once(k1: np.ndarray, k2: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Each different hit once: copies of a text have the same."""
+    order = np.lexsort((places, k2, k1))
+    hits = np.zeros(len(order), _HIT)
+    hits["k1"], hits["k2"], hits["place"] = k1[order], k2[order], places[order]
+    return hits[np.r_[True, hits[1:] != hits[:-1]][: len(hits)]]
+
+
 def anchors_and_probes(buckets: int, block: int, load_words: int):
     """From (k1, k2, text) to rows per bucket: the probes, and the anchors that are not hits yet."""
 
@@ -149,8 +158,7 @@ def anchors_and_probes(buckets: int, block: int, load_words: int):
             known = times[np.searchsorted(distinct, anchors)] > 1
             k1 = np.array([row[0] for row, _ in load], np.int64)
             k2 = np.array([row[1] for row, _ in load], np.int64)
-            hits = np.zeros(int(known.sum()), _HIT)
-            hits["k1"], hits["k2"], hits["place"] = k1[text_of[known]], k2[text_of[known]], places[known]
+            hits = _hits_once(k1[text_of[known]], k2[text_of[known]], places[known])
             yield from _rows(distinct, times, anchors[~known], k1[text_of[~known]], k2[text_of[~known]], places[~known], hits, buckets)
 
     return send
@@ -165,7 +173,7 @@ def _rows(distinct, times, anchors, k1, k2, places, hits, buckets) -> Iterator[p
     order = np.argsort(anchors, kind="stable")
     anchors, k1, k2, places = anchors[order], k1[order], k2[order], places[order]
     anchor_cuts = _cuts(bucket_of(anchors, buckets), buckets)
-    turn = np.abs(hits["k1"] % buckets)
+    turn = (hits["k1"] % buckets + hits["place"]) % buckets  # a text's hits go to many buckets
     hits = hits[np.argsort(turn, kind="stable")]
     hit_cuts = _cuts(np.sort(turn), buckets)
     low = np.uint64(0xFFFFFFFF)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,23 @@ def test_query(spark, smallest):
     assert any(gone for _, gone, _ in wanted.values())
 
 
+def test_copies_send_each_hit_once_and_to_many_buckets(words):
+    text, other = words(40, 1), words(40, 2)
+    rows = [(7, 8, text)] * 200 + [(9, 10, other)] * 3 + [(11, 12, words(40, 3))]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["k1", "k2", "text"])
+    sent = pa.Table.from_batches(substrings.anchors_and_probes(16, 4, 1_000_000)(iter([batch])))
+    known = [np.frombuffer(data, substrings._HIT) for data in sent["known"].to_pylist()]
+    hits = [tuple(hit) for hit in np.concatenate(known).tolist()]
+    assert sorted(hits) == [(*key, place) for key in [(7, 8), (9, 10)] for place in range(10)]
+    assert sum((7 in part["k1"]) for part in known) == 10
+
+
+def test_copies_lose_all_words(documents, words):
+    copied, lone = words(60, 1), words(50, 2)
+    rows = [(i, copied) for i in range(300)] + [(300 + i, f"{words(9, 50 + i)} {copied}") for i in range(5)] + [(400, lone)]
+    assert result(documents(rows), 6) == expected(rows, 6)
+
+
 def test_rests_round_trip():
     rests = np.sort(np.random.default_rng(1).integers(0, 1 << 32, 1000, dtype=np.uint32))
     assert (substrings.unpacked_rests(substrings.packed_rests(rests)) == rests).all()
