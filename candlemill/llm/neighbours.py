@@ -5,6 +5,11 @@ the largest norm and given one more component that makes them unit vectors,
 while queries are normalised and get a zero.  The nearest lifted vector then has
 the largest inner product.
 
+One long vector would push all others to about the same distance from every
+query.  So the vectors of a length are split into bands of norm, each a factor
+``BAND`` wide and lifted by its own largest norm.  A query probes every band; a
+band of fewer than ``SPARSE_ROWS`` vectors is not hashed but compared as a whole.
+
 A table hashes a vector with several functions floor((a.v + b) / w), a Gaussian;
 together they name a bucket.  A query visits more buckets than its own:
 each function's value may move by one, and the sets of moves are taken in the
@@ -47,6 +52,9 @@ SEED = 7
 #: Vectors in a shard, and queries that are compared with them at a time.
 SHARD_ROWS = 65_536
 QUERY_BLOCK = 128
+#: Largest norm of a band over its smallest, and vectors below which a band is not hashed.
+BAND = 2**0.5
+SPARSE_ROWS = 256
 #: Scores this close to the last one that counts are worked out exactly.
 CLOSE = 1e-9
 
@@ -114,6 +122,36 @@ def _keys_of(tables, functions, width, seed, lift, cells):
     return buckets
 
 
+def norm_of(vector: str) -> Column:
+    """Length of a finite vector that is not zero; squares neither overflow nor vanish."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    squares = F.aggregate(
+        F.transform(vector, lambda x: x / largest), F.lit(0.0), lambda total, x: total + x * x
+    )
+    return F.least(largest * F.sqrt(squares), F.lit(1.7e308))
+
+
+def banded(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``classes`` (.., length, norm) with their ``band``, its largest norm ``lift`` and whether it is ``sparse``; and per
+    length the ``bands`` that are hashed and whether ``some_sparse``.
+
+    Doubles have some 4,200 bands at most, so these tables are small.
+    """
+    tops = checkpointed(classes.groupBy("length").agg(F.max("norm").alias("_top")))  # stored, so known to be small
+    # From the largest norm down, so that equal norms that differ by rounding stay together.
+    fall = -F.log(F.greatest(F.col("norm") / F.col("_top"), F.lit(1e-300))) / F.lit(float(np.log(BAND)))
+    rows = match_keyed(classes, tops, ["length"], "inner").withColumn("band", F.floor(fall).cast("int")).drop("_top")
+    bands = checkpointed(
+        rows.groupBy("length", "band")
+        .agg(F.max("norm").alias("lift"), F.count("*").alias("n"))
+        .select("length", "band", "lift", (F.col("n") < SPARSE_ROWS).alias("sparse"))
+    )
+    of_length = bands.groupBy("length").agg(
+        F.collect_list(F.when(~F.col("sparse"), F.col("band"))).alias("bands"), F.max("sparse").alias("some_sparse")
+    )
+    return match_keyed(rows, bands, ["length", "band"], "inner"), of_length
+
+
 def index_buckets(norm: float, tables: int, functions: int, width: float, seed: int):
     def lift(matrix: np.ndarray) -> np.ndarray:
         scaled = matrix / norm
@@ -243,6 +281,8 @@ def nearest(
         top_per_key(rows, ["class"], [F.col("id")], k + 1)
         .groupBy("class")
         .agg(F.min("id").alias("first"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))
+        .withColumn("norm", norm_of("vector"))
+        .withColumn("length", F.size("vector"))
     )
     asked = rows.where(is_query)
     targets = checkpointed(
@@ -251,13 +291,19 @@ def nearest(
         )
     )
     length = F.lit(1.0) * F.size("vector")
-    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    counted = classes.agg(F.count("*").alias("n"), F.max(F.sqrt(squares)).alias("norm")).first()
-    norm = (counted["norm"] or 1.0) * (1 + 1e-12)
-    shards = max(1, -(-counted["n"] // shard_rows))
+    shards = max(1, -(-classes.count() // shard_rows))
     shape = (tables, functions, width, seed)
 
-    bucketed = classes.select(F.col("first").alias("id"), "vector", F.inline(index_buckets(norm, *shape)("vector")))
+    rows_in_bands, of_length = banded(classes.select(F.col("first").alias("id"), "vector", "length", "norm"))
+    in_band = F.xxhash64(F.col("band"), F.col("key")).alias("key")
+    lifted = F.transform("vector", lambda x: x / F.col("lift"))
+    hashed = rows_in_bands.where(~F.col("sparse")).select(
+        "id", "vector", "band", F.inline(index_buckets(1 + 1e-12, *shape)(lifted))
+    )
+    whole = [F.lit(-1).alias("table"), F.lit(0).cast("long").alias("key")]  # the bucket of all sparse bands
+    bucketed = hashed.select("id", "vector", "table", in_band).unionByName(
+        rows_in_bands.where("sparse").select("id", "vector", *whole)
+    )
     crowded = bucketed.groupBy("table", "key").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows)
     hot = checkpointed(crowded.select("table", "key", F.ceil(F.col("n") / shard_rows).cast("int").alias("salts")))
     hot = None if hot.isEmpty() else hot
@@ -265,18 +311,20 @@ def nearest(
     index = _salted(hot, bucketed, F.col("id"), False).select(
         place.alias("place"), length.alias("length"), "key", "id", "vector"
     )
-    visits = _salted(
-        hot, targets.select("id", F.inline(probe_buckets(probes, *shape)("vector"))), F.col("id"), True
-    ).groupBy("id", place.alias("place")).agg(F.collect_list("key").alias("keys"))
+    asking = match_keyed(targets.withColumn("length", F.size("vector")), of_length, ["length"], "inner")
+    probed = asking.where(F.size("bands") > 0).select("id", "bands", F.inline(probe_buckets(probes, *shape)("vector")))
+    probed = probed.select("id", "table", "key", F.explode("bands").alias("band")).select("id", "table", in_band)
+    probed = probed.unionByName(asking.where("some_sparse").select("id", *whole))
+    visits = _salted(hot, probed, F.col("id"), True).groupBy("id", place.alias("place")).agg(F.collect_list("key").alias("keys"))
     visiting = match_keyed(visits, targets.select("id", "vector"), ["id"], "inner").select(
         "place", length.alias("length"), "id", "vector", "keys"
     )
     merged = checkpointed(_merged(_matched(index, visiting, k + 1), k))
 
     # Whoever found fewer classes than there are to find looks at all shards.
-    of_length = classes.groupBy(length.alias("length")).agg(F.count("*").alias("_n"))
+    there = classes.groupBy(length.alias("length")).agg(F.count("*").alias("_n"))
     found = merged.groupBy("query").agg(F.count("*").alias("_found")).withColumnRenamed("query", "id")
-    short = match_keyed(match_keyed(targets.withColumn("length", length), of_length, ["length"], "left"), found, ["id"], "left")
+    short = match_keyed(match_keyed(targets.withColumn("length", length), there, ["length"], "left"), found, ["id"], "left")
     short = checkpointed(short.where(F.coalesce("_found", F.lit(0)) < F.least(F.col("_n"), F.lit(k + 1))).select("id", "length", "vector"))
     if not short.isEmpty():
         everywhere = classes.select(

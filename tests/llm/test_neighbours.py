@@ -76,6 +76,30 @@ def test_recall_where_lengths_differ(spark, shard_rows):
         assert all(abs(score - float(matrix[q] @ matrix[i])) < 1e-9 for i, score in pairs)
 
 
+@pytest.mark.parametrize("norms", ["one long vector", "lognormal"])
+def test_recall_where_norms_are_skewed(spark, norms):
+    random = np.random.default_rng(11)
+    matrix = random.normal(size=(50_000, 64))
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    if norms == "lognormal":
+        matrix *= random.lognormal(sigma=0.7, size=(len(matrix), 1))
+    else:
+        matrix[17] *= 50
+    found = answers(neighbours.nearest(frame(spark, list(enumerate(matrix.tolist()))), F.col("id") % 1250 == 0))
+    hits = 0
+    for query in range(0, len(matrix), 1250):
+        scores = matrix @ matrix[query]
+        scores[query] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & {i for i, _ in found[query]})
+    assert hits >= 0.96 * 800
+
+
+def test_norms_at_the_ends_of_doubles(spark):
+    rows = [(i, [x, x]) for i, x in enumerate([1e-160, 3e-160, 1.0, 2.0, 1e150, 3e150])]
+    found = answers(neighbours.nearest(frame(spark, rows), F.col("id") == 2, k=3))
+    assert [i for i, _ in found[2]] == [5, 4, 3]
+
+
 def test_probes_come_in_order_of_their_cost():
     hashes = neighbours.Hashes(4, 2, 3, 1.0, 5)
     vector = np.array([[0.3, -0.2, 0.9, 0.1]])
