@@ -6,10 +6,25 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import bpe, exact, language, mixing, neighbours, sharding, simhash, substrings, token_counts, urls
+from candlemill.llm import (
+    bpe,
+    exact,
+    infilling,
+    language,
+    lines,
+    mixing,
+    neighbours,
+    periodic,
+    sharding,
+    simhash,
+    substrings,
+    token_counts,
+    urls,
+)
+from candlemill.llm.common import WORD
 from candlemill.registry.base import Query, table
 from candlemill.workspace import new_folder
 
@@ -236,3 +251,94 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     outcomes = page_outcomes(pages, table(spark, sf_dir, "labels"))
     return urls.judged(pages, RULES, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+INFILLING = r"""
+    with cut as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+                        sha256('7:' || coalesce(cast(doc_id as varchar), '')) as digits from documents),
+    drawn as (select *, len(lines) as n, cast('0x' || digits[1:8] as bigint) % (len(lines) + 1) as one,
+                     cast('0x' || digits[9:16] as bigint) % (len(lines) + 1) as two,
+                     cast('0x' || digits[17:24] as bigint) % 100 as chance, cast('0x' || digits[25:32] as bigint) % 100 as turn from cut),
+    parts as (select *, array_to_string(lines[1:least(one, two)], '') as prefix,
+                     array_to_string(lines[least(one, two) + 1:greatest(one, two)], '') as middle,
+                     array_to_string(lines[greatest(one, two) + 1:], '') as suffix,
+                     case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or chance >= 100
+                          then 'plain' when turn < 50 then 'spm' else 'psm' end as form from drawn)
+    select doc_id, cast(n as bigint) as n, form,
+           case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+           case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+           sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+           sha256(text) as restored_sha256
+    from parts
+"""
+
+
+def text_digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+@query("op11_infilling", INFILLING)
+def infilling_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = infilling.fill_in_middle(documents, seed=7, rate=100, spm=50)
+    back = infilling.restored(F.col("output"), F.col("form"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        text_digest(F.col("output")).alias("output_sha256"), text_digest(back).alias("restored_sha256"),
+    )
+
+
+SHARED_LINES = r"""
+    with split as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+    keyed as (select r, doc_id, unnest(range(1, len(lines) + 1)) as place, unnest(lines) as line from split),
+    keys as (select r, doc_id, place, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from keyed where length(line) >= 40),
+    shared as (select key, max(doc_id) as keeper from keys where length(key) >= 40 group by key
+               having count(distinct doc_id) + max(case when doc_id is null then 1 else 0 end) >= 5),
+    gone as (select r, list(place) as places from keys join shared using (key) where doc_id is distinct from keeper group by r)
+    select doc_id, cast(len(lines) as bigint) as n_lines, cast(coalesce(len(places), 0) as bigint) as n_dropped,
+           sha256(array_to_string(case when places is null then lines else list_filter(lines, lambda x, i: not list_contains(places, i)) end,
+                                  chr(10))) as kept_sha256
+    from split left join gone using (r)
+"""
+
+
+@query("op12_line_dedup", SHARED_LINES)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = lines.without_shared_lines(documents, least_chars=40, least_documents=5)
+    return done.select("doc_id", "n_lines", "n_dropped", text_digest(lines.kept_text()).alias("kept_sha256"))
+
+
+def with_loops(documents: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by id, repeat a stretch of their words up to the end."""
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words, rest = F.col("_llm_words"), F.floor(drawn / 10)
+    begin = F.pmod(rest, F.size(words))
+    period = F.floor((F.size(words) - begin) / (3 + F.pmod(rest, F.lit(8)))) + 1
+    looped = F.transform(words, lambda word, i: F.get(words, F.when(i < begin, i).otherwise(begin + F.pmod(i - begin, period)).cast("int")))
+    # Only a tenth of the texts have words here, so only they are split.
+    split = F.when(drawn % 10 == 0, F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)))
+    return documents.withColumn("_llm_words", split).select(
+        "doc_id", F.when(F.size(words) > 0, F.array_join(looped, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+@query("op13_periodic_runs")
+def periodic_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_loops(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(documents, least=6, exponent=4)
+    # The longest run: of ties the one that starts first, then the one of the smallest period.
+    longest = F.array_min(F.transform("runs", lambda run: F.struct((-run["length"]).alias("l"), run["start"].alias("s"), run["period"].alias("p"))))
+    lines_of_runs = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("_llm_longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("_llm_longest.s").alias("start"),
+        (-F.col("_llm_longest.l")).alias("length"),
+        F.col("_llm_longest.p").alias("period"),
+        F.floor(-1000 * F.col("_llm_longest.l") / F.col("_llm_longest.p")).alias("exponent_milli"),
+        text_digest(F.array_join(lines_of_runs, "")).alias("runs_sha256"),
+        text_digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )

@@ -1,0 +1,99 @@
+"""Shared lines against the definition."""
+
+import collections
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlemill.llm import lines, queries
+
+BLANKS = " \t\n\x0b\x0c\r"
+CASE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least_chars=40, least_documents=5):
+    """(doc_id, n_lines, n_dropped, kept) of each row."""
+    split = [(row[0], [(line, line.strip(BLANKS).translate(CASE)) for line in (row[1] or "").split("\n")]) for row in rows]
+    holders = collections.defaultdict(set)
+    for doc, parts in split:
+        for _, key in parts:
+            if len(key) >= least_chars:
+                holders[key].add(doc)
+    keeper = {k: max(docs, key=lambda d: (d is not None, d)) for k, docs in holders.items() if len(docs) >= least_documents}
+    found = []
+    for doc, parts in split:
+        kept = [line for line, key in parts if key not in keeper or keeper[key] == doc]
+        found.append((doc, len(parts), len(parts) - len(kept), "\n".join(kept)))
+    return collections.Counter(found)
+
+
+def result(df, least_chars=40, least_documents=5):
+    done = lines.without_shared_lines(df, least_chars, least_documents)
+    return collections.Counter(map(tuple, done.select("doc_id", "n_lines", "n_dropped", lines.kept_text()).collect()))
+
+
+@pytest.fixture
+def corpus(words):
+    shared = [words(12, i) for i in range(6)]
+    rows = []
+    for i in range(120):
+        here = [shared[(i * 7 + j) % 6].upper() if i % 4 == 0 else f"\t {shared[(i * 5 + j * j) % 6]} \r" for j in range(i % 5)]
+        here += [words(10, 500 + i), "", "short line"] + [shared[0]] * (i % 3)
+        rows.append((i, "\n".join(here)))
+    return rows
+
+
+@pytest.mark.parametrize(("chars", "docs"), [(40, 5), (1, 2), (40, 1), (60, 30)])
+def test_definition(documents, corpus, chars, docs):
+    found = result(documents(corpus), chars, docs)
+    assert found == brute(corpus, chars, docs)
+    assert sum(row[2] for row in found) > 0 or docs == 1
+
+
+def test_threshold_and_code_points(documents):
+    line, wide = "x" * 40, "é😀" * 20
+    rows = [(i, f"{line}\n{wide}\n{'y' * 39}\n{line}") for i in range(4)] + [(9, wide), (9, wide.replace("é", "É"))]
+    found = result(documents(rows))
+    assert found == brute(rows)
+    assert found[(9, 1, 0, wide)] == 1 and found[(0, 4, 1, f"{line}\n{'y' * 39}\n{line}")] == 1
+
+
+def test_nulls_repeated_rows_and_odd_texts(documents, odd_texts, words):
+    shared = words(20, 7)
+    rows = list(enumerate(odd_texts)) + [(None, f"{shared}\na"), (None, shared), (3, shared), (3, shared), (20, f"b\n{shared}\n{shared}"), (21, None)]
+    rows += [(30 + i, shared) for i in range(2)]
+    assert result(documents(rows)) == brute(rows)
+
+
+def test_a_document_of_one_line_loses_it(documents, words):
+    rows = [(i, words(15, 1)) for i in range(50)]
+    found = result(documents(rows))
+    assert found == brute(rows) and found[(0, 1, 1, "")] == 1
+
+
+def test_stretches_and_clashing_columns(documents, words):
+    shared = words(15, 1)
+    rows = [(i, f"a\n{shared}\n{shared}\nb\n{shared}") for i in range(6)]
+    df = documents(rows, N_LINES=F.lit("old"), dropped=F.lit(1), note=F.lit("n"))
+    found = {row["doc_id"]: row for row in lines.without_shared_lines(df).collect()}
+    assert [tuple(s) for s in found[0]["dropped"]] == [(1, 3), (4, 5)]
+    assert (found[0]["n_lines"], found[0]["note"], found[5]["dropped"]) == (5, "n", [])
+
+
+def test_empty_table(documents):
+    assert lines.without_shared_lines(documents([])).count() == 0
+
+
+def test_first_occurrences_come_from_sorted_ranges(documents, corpus):
+    rows = lines.occurrences(documents(corpus), "text", "doc_id", 40)
+    plan = lines.shared_keys(rows, 5)._jdf.queryExecution().executedPlan().toString()
+    # One exchange of the rows, by range; the window and the counts of the slices follow without another.
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_query(spark, smallest):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{smallest}/documents.parquet").collect()]
+    wanted = collections.Counter({(*row[:3], hashlib.sha256(row[3].encode()).hexdigest()): n for row, n in brute(rows).items()})
+    assert collections.Counter(map(tuple, queries.QUERIES["op12_line_dedup"](spark, smallest).collect())) == wanted
