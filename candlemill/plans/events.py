@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions import clean_event_time, last_segment
+from candlemill.operators.heavy import top_keys
 from candlemill.sinks.index import IndexSink
 
 # ---- Fixed values: schemas of the nested parts, the bot login, the event types.
@@ -106,11 +107,46 @@ def daily_stats(events: DataFrame, kinds: Mapping[str, str] = KINDS) -> DataFram
     )
 
 
+# Of a sketch: 2 ** SKETCH_BITS registers, and how many standard errors a bound allows for.
+SKETCH_BITS = 14
+DEVIATIONS = 4
+SKETCHED = {"users": "user_name", "repos": "repo_url"}
+
+
+def daily_sketches(events: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """Per day a mergeable sketch of its users and one of its repositories.
+
+    A sketch has a bounded size however many events a day has, and is made on the map side.
+    """
+    day = F.to_date("created_at").alias("day")
+    return events.groupBy(day).agg(*[F.hll_sketch_agg(column, F.lit(bits)).alias(name) for name, column in SKETCHED.items()])
+
+
+def distinct_over(sketches: DataFrame, period: Column, bits: int = SKETCH_BITS) -> DataFrame:
+    """Distinct users and repositories of longer periods from stored daily sketches, without any event.
+
+    ``error`` bounds how far a guess is off, as a share of the count: ``DEVIATIONS`` times
+    the standard error of merged sketches.
+    """
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name) for name in SKETCHED]
+    error = DEVIATIONS * 1.04 / 2 ** (bits / 2)
+    return sketches.groupBy(period.alias("period")).agg(*merged).withColumn("error", F.lit(error))
+
+
 def top(stats: DataFrame, measure: str, ties: Sequence[str], n: int = TOP) -> DataFrame:
     """The ``n`` rows with the largest ``measure``; ``ties`` decide equal ones."""
     return stats.orderBy(F.col(measure).desc(), *ties).limit(n)
 
 
+def top_repositories(events: DataFrame, kinds: Mapping[str, str], kind: str, n: int = TOP) -> DataFrame:
+    """``top`` of ``repo_stats`` by events of one kind, without counting all repositories.
+
+    A bounded summary per task finds the repositories that can be among the first; only their events are counted.
+    """
+    of_kind = events.where(_of(kinds, kind)).select("repo_url", "repo_name")
+    return top_keys(of_kind, ["repo_url", "repo_name"], n, name=f"{kind}_count")
+
+
 def mart(stats: DataFrame, keys: Sequence[str], loaded_at: Column) -> DataFrame:
     """A mart as it is published: ``id`` (a digest of the key) and ``@timestamp`` in front.
 

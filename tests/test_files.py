@@ -48,8 +48,9 @@ def test_written_tables_have_no_lineage(spark):
 
 
 def test_missing_json(spark, tmp_path):
-    assert files.read_json(spark, f"{tmp_path}/none*.json", "a int").columns == ["a"]
-    assert files.read_json(spark, f"{tmp_path}/none*.json", "a int").count() == 0
+    rows, errors = files.read_json(spark, f"{tmp_path}/none*.json", "a int")
+    assert (rows.columns, errors.columns) == (["a"], ["path", "line", "kept"])
+    assert (rows.count(), errors.count()) == (0, 0)
     with pytest.raises(AnalysisException):
         files.read_json(spark, f"{tmp_path}/none*.json")
 
@@ -60,15 +61,57 @@ def test_archive_day_reads_hours_0_to_23(spark, tmp_path):
             out.write(json.dumps(RECORD) + "\n")
     with gzip.open(f"{tmp_path}/2024-05-20-0.json.gz", "wt") as out:
         out.write(json.dumps(RECORD) + "\n")
-    day = files.read_archive_day(spark, str(tmp_path), "2024-05-19", NESTED, partitions=4)
-    assert day.count() == 24
+    day, errors = files.read_archive_day(spark, str(tmp_path), "2024-05-19", NESTED, partitions=4)
+    assert (day.count(), errors.count()) == (24, 0)
     assert day.rdd.getNumPartitions() == 4
 
 
 def test_quoted_id_under_a_number_schema_is_null(spark, tmp_path):
     (tmp_path / "one.json").write_text('{"id":"5"}\n')
-    assert files.read_json(spark, str(tmp_path), "id long").first()["id"] is None
-    assert files.read_json(spark, str(tmp_path), "id string").first()["id"] == "5"
+    rows, errors = files.read_json(spark, str(tmp_path), "id long")
+    assert [row["id"] for row in rows.collect()] == [None]
+    assert [(row["line"], row["kept"]) for row in errors.collect()] == [('{"id":"5"}', True)]
+    rows, errors = files.read_json(spark, str(tmp_path), "id string")
+    assert (rows.first()["id"], errors.count()) == ("5", 0)
+
+
+BROKEN_LINES = [
+    '{"a":1,"b":{"c":"x"}}', '{"a":2,"b":{"c"', "", "   ", '[{"a":3},{"a":4}]', "null", "7", "not json",
+    ' {"a":5,"b":{"c":null}}', '{"a":"six","b":{"c":"y"}}', '{"b":"flat"}', "{}", '{"a":7} trailing',
+]
+
+
+def _write_lines(path, lines):
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_broken_lines_are_told(spark, tmp_path):
+    _write_lines(tmp_path / "one.json", BROKEN_LINES)
+    _write_lines(tmp_path / "two.json", ['{"a":9}', '{"a":'])
+    rows, errors = files.read_json(spark, str(tmp_path), "a int, b struct<c: string>")
+    assert sorted((r["a"], r["b"] and r["b"]["c"]) for r in rows.where("a is not null").collect()) == [(1, "x"), (5, None), (7, None), (9, None)]
+    assert rows.where("a is null").count() == 3  # the text for a number, the flat b, the empty object
+    told = {row["line"].strip(): row["kept"] for row in errors.collect()}
+    assert told == {
+        '{"a":2,"b":{"c"': False, '[{"a":3},{"a":4}]': False, "null": False, "7": False, "not json": False,
+        '{"a":"six","b":{"c":"y"}}': True, '{"b":"flat"}': True, '{"a":': False,
+    }
+    assert rows.select("a").count() == rows.count() == 7 and errors.count() == 8
+    counted = {row["path"].rsplit("/", 1)[1]: (row["lines"], row["lost"]) for row in files.errors_per_file(errors).collect()}
+    assert counted == {"one.json": (7, 5), "two.json": (1, 1)}
+
+
+def test_inferred_schema_comes_from_whole_lines(spark, tmp_path):
+    _write_lines(tmp_path / "one.json", ['{"a":1}', '{"a":2,"b":', '{"a":3,"c":"z"}'])
+    rows, errors = files.read_json(spark, str(tmp_path))
+    assert sorted(map(tuple, rows.select("a", "c").collect()), key=str) == [(1, None), (3, "z")]
+    assert [row["line"] for row in errors.collect()] == ['{"a":2,"b":']
+
+
+def test_schema_with_odd_names(spark, tmp_path):
+    _write_lines(tmp_path / "one.json", ['{"a b":1,"@x":"y","path":"p"}'])
+    rows, _ = files.read_json(spark, str(tmp_path), "`a b` int, `@x` string, path string")
+    assert tuple(rows.first()) == (1, "y", "p")
 
 
 def test_expired_files_by_name(spark, tmp_path):
@@ -269,3 +312,15 @@ def test_landed_files_are_published_once(spark, tmp_path):
 
     assert land("2024-05-19-0.json", RECORD) == ["1"]
     assert land("2024-05-19-1.json", {**RECORD, "id": "2"}) == ["1", "2"]
+
+
+def test_broken_lines_of_a_stream_are_kept(spark, tmp_path):
+    landed, resource, checkpoint, errors = (str(tmp_path / name) for name in ("in", "out", "state", "errors"))
+    (tmp_path / "in").mkdir()
+    sink = IndexSink("host-a", "id", format="json")
+    for number, line in enumerate([json.dumps(RECORD), '{"id": "9", "ty', "\n"]):
+        (tmp_path / "in" / f"2024-05-19-{number}.json").write_text(line + "\n")
+        publish_landed(spark, landed, sink, resource, checkpoint, "2024-05-19 00:00:00", errors).awaitTermination(60)
+    assert [row["id"] for row in spark.read.json(resource).collect()] == ["1"]
+    told = spark.read.parquet(errors).where("line is not null").collect()
+    assert [(row["line"], row["kept"], row["path"].rsplit("/", 1)[1]) for row in told] == [('{"id": "9", "ty', False, "2024-05-19-1.json")]
