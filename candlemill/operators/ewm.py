@@ -18,6 +18,10 @@ whole long series:
    already have, so the rows themselves are shuffled once.
 
 ``block_days`` is lowered where ``r**-block_days`` would leave the double range.
+
+The summaries can be stored: folded in order they give the state at any block's
+end, and two of them in sequence make one.  A row that comes late thus asks for
+its own block and the rows behind it, never for the blocks in front.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import math
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,6 +129,32 @@ def _summaries(
     return ends.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_blocks"))
 
 
+def _running(
+    series: DataFrame, key: str, day: str, layout: _Layout, block_days: int, carried: DataFrame | None, more: Sequence[str] = ()
+) -> DataFrame:
+    """``series`` with ``_block``, its running sums and ``_start``, the state its block starts from."""
+    positioned = _positions(series, key, day, layout, block_days)
+    before = layout.fold("filter(_blocks, b -> b._block < here._block)")
+    starts = _summaries(positioned, key, day, layout, carried).selectExpr(
+        f"`{key}`", f"inline(transform(_blocks, here -> struct(here._block as _block, {before} as _start)))"
+    )
+    so_far = f"over (partition by `{key}`, _block order by `{day}` rows unbounded preceding)"
+    kept = [f"`{name}`" for name in series.columns]
+    running = positioned.selectExpr(
+        *kept, "_block", *more, *[f"sum({term}) {so_far} as `{name}`" for name, _, term in layout.sums]
+    )
+    return running.join(starts, [key, "_block"])
+
+
+def _means_of(layout: _Layout) -> list[str]:
+    means = []
+    for value in layout.values:
+        for w in layout.spans:
+            num, den = (f"(`{value}_{w}_{part}` + _start.`{value}_{w}_{part}`)" for part in ("num", "den"))
+            means.append(f"try_divide({num}, {den}) as `{mean_name(value, w)}`")
+    return means
+
+
 def ewm_means(
     series: DataFrame,
     key: str,
@@ -141,22 +171,104 @@ def ewm_means(
     for the rows before these ones.
     """
     layout = _Layout(values, spans)
+    running = _running(series, key, day, layout, _block_length(spans, block_days), carried)
+    return running.selectExpr(*[f"`{name}`" for name in series.columns], *_means_of(layout))
+
+
+BLOCK, LAST_DAY, END = "block", "last_day", "block_end"
+
+
+def _end_fields(layout: _Layout) -> list[str]:
+    return [f"decay_{w}" for w in layout.spans] + [name for name, _, _ in layout.sums]
+
+
+def block_of(day: str, spans: Sequence[int], block_days: int = BLOCK_DAYS) -> Column:
+    """The number of the block that a day is in."""
+    return F.expr(f"cast(unix_date(`{day}`) div {_block_length(spans, block_days)} as int)")
+
+
+def first_day_of(block: str, spans: Sequence[int], block_days: int = BLOCK_DAYS) -> Column:
+    """A day that none of the block's days is before (blocks of negative numbers count towards zero)."""
+    length = _block_length(spans, block_days)
+    return F.expr(f"date_from_unix_date(`{block}` * {length} - if(`{block}` <= 0, {length - 1}, 0))")
+
+
+def ewm_pass(
+    series: DataFrame,
+    key: str,
+    day: str,
+    values: Sequence[str],
+    spans: Sequence[int],
+    carried: DataFrame | None = None,
+    block_days: int = BLOCK_DAYS,
+) -> DataFrame:
+    """``ewm_means`` and the block summaries in one pass: with ``block``, and ``block_end`` on the last row of each block.
+
+    ``block_end`` has the decay over the rows of the block that are in ``series``,
+    and the sums at its end without what is ``carried``; it is NULL on other rows.
+    """
+    layout = _Layout(values, spans)
+    is_last = f"lead(1) over (partition by `{key}`, _block order by `{day}`) is null as _is_last"
+    running = _running(series, key, day, layout, _block_length(spans, block_days), carried, ["_pos", is_last])
+    ends = [f"{layout.power(w, '_pos')} as decay_{w}" for w in layout.spans]
+    ends += [f"`{name}` * {layout.power(w, '_pos')} as `{name}`" for name, w, _ in layout.sums]
+    return running.selectExpr(
+        *[f"`{name}`" for name in series.columns], *_means_of(layout), f"_block as {BLOCK}",
+        f"if(_is_last, struct({', '.join(ends)}), null) as {END}",
+    )
+
+
+def passed_blocks(passed: DataFrame, key: str, day: str) -> DataFrame:
+    """The block summaries of ``ewm_pass``: ``(key, block, last_day, block_end)``."""
+    return passed.where(F.col(END).isNotNull()).select(key, BLOCK, F.col(day).alias(LAST_DAY), END)
+
+
+def ewm_blocks(
+    series: DataFrame, key: str, day: str, values: Sequence[str], spans: Sequence[int], block_days: int = BLOCK_DAYS
+) -> DataFrame:
+    """The block summaries of whole series, to be stored: ``(key, block, last_day, block_end)``."""
+    layout = _Layout(values, spans)
     positioned = _positions(series, key, day, layout, _block_length(spans, block_days))
-    before = layout.fold("filter(_blocks, b -> b._block < here._block)")
-    starts = _summaries(positioned, key, day, layout, carried).selectExpr(
-        f"`{key}`", f"inline(transform(_blocks, here -> struct(here._block as _block, {before} as _start)))"
+    fields = [f"_decay_{w} as decay_{w}" for w in layout.spans] + [f"`{name}`" for name, _, _ in layout.sums]
+    ends = _block_ends(positioned, key, day, layout)
+    return ends.selectExpr(f"`{key}`", f"_block as {BLOCK}", f"_last as {LAST_DAY}", f"struct({', '.join(fields)}) as {END}")
+
+
+def block_schema(key: T.StructField, values: Sequence[str], spans: Sequence[int]) -> T.StructType:
+    """Schema of ``ewm_blocks``, for stored blocks that do not exist yet."""
+    end = T.StructType([T.StructField(name, T.DoubleType()) for name in _end_fields(_Layout(values, spans))])
+    return T.StructType([key, T.StructField(BLOCK, T.IntegerType()), T.StructField(LAST_DAY, T.DateType()), T.StructField(END, end)])
+
+
+def _folded(layout: _Layout, ends: str) -> str:
+    """Summaries in sequence as one."""
+    start = ", ".join([f"1D as decay_{w}" for w in layout.spans] + [f"0D as `{name}`" for name, _, _ in layout.sums])
+    step = [f"s.decay_{w} * b.{END}.decay_{w} as decay_{w}" for w in layout.spans]
+    step += [f"s.`{name}` * b.{END}.decay_{w} + b.{END}.`{name}` as `{name}`" for name, w, _ in layout.sums]
+    return f"aggregate({ends}, struct({start}), (s, b) -> struct({', '.join(step)}))"
+
+
+def states_of(blocks: DataFrame, key: str, values: Sequence[str], spans: Sequence[int]) -> DataFrame:
+    """What ``ewm_states`` gives for the rows behind ``blocks``; a series has a block per ``block_days`` days."""
+    layout = _Layout(values, spans)
+    in_order = F.sort_array(F.collect_list(F.struct(BLOCK, LAST_DAY, END))).alias("_blocks")
+    names = ", ".join(f"_state.`{name}` as `{name}`" for name, _, _ in layout.sums)
+    folded = blocks.groupBy(key).agg(in_order).selectExpr(
+        f"`{key}`", f"element_at(_blocks, -1).{LAST_DAY} as last_day", f"{_folded(layout, '_blocks')} as _state"
     )
-    so_far = f"over (partition by `{key}`, _block order by `{day}` rows unbounded preceding)"
-    kept = [f"`{name}`" for name in series.columns]
-    running = positioned.selectExpr(
-        *kept, "_block", *[f"sum({term}) {so_far} as `{name}`" for name, _, term in layout.sums]
+    return folded.selectExpr(f"`{key}`", "last_day", f"struct({names}) as state")
+
+
+def joined_blocks(
+    earlier: DataFrame, later: DataFrame, key: str, values: Sequence[str], spans: Sequence[int]
+) -> DataFrame:
+    """Stored blocks with those of later rows behind them; a block that both have becomes one."""
+    layout = _Layout(values, spans)
+    both = earlier.withColumn("_turn", F.lit(0)).unionByName(later.withColumn("_turn", F.lit(1)))
+    parts = both.groupBy(key, BLOCK).agg(F.sort_array(F.collect_list(F.struct("_turn", LAST_DAY, END))).alias("_parts"))
+    return parts.selectExpr(
+        f"`{key}`", BLOCK, f"element_at(_parts, -1).{LAST_DAY} as {LAST_DAY}", f"{_folded(layout, '_parts')} as {END}"
     )
-    means = []
-    for value in layout.values:
-        for w in layout.spans:
-            num, den = (f"(`{value}_{w}_{part}` + _start.`{value}_{w}_{part}`)" for part in ("num", "den"))
-            means.append(f"try_divide({num}, {den}) as `{mean_name(value, w)}`")
-    return running.join(starts, [key, "_block"]).selectExpr(*kept, *means)
 
 
 def ewm_states(

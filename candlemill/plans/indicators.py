@@ -14,8 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlemill.functions import compact_date, parse_compact_date, percent_of
-from candlemill.operators.ewm import ewm_means, ewm_states, mean_name, state_schema
-from candlemill.operators.keyed import drop_listed, keep_listed, one_row_per_key
+from candlemill.operators.ewm import (
+    BLOCK,
+    LAST_DAY,
+    block_of,
+    block_schema,
+    ewm_blocks,
+    ewm_means,
+    ewm_pass,
+    ewm_states,
+    first_day_of,
+    joined_blocks,
+    mean_name,
+    passed_blocks,
+    state_schema,
+    states_of,
+)
+from candlemill.operators.keyed import drop_listed, keep_listed, match_keyed, one_row_per_key
 from candlemill.workspace import written
 
 # The spans of the stored indicators and the stored column names.
@@ -77,6 +92,21 @@ def no_states(series: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
     return series.sparkSession.createDataFrame([], state_schema(series.schema[CODE], MEASURES, spans))
 
 
+def indicator_blocks(series: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
+    """The block summaries of whole series, which ``indicators_daily`` goes on from."""
+    return ewm_blocks(series, CODE, DAY, MEASURES, spans)
+
+
+def no_blocks(series: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
+    """An empty block table, for a first load."""
+    return series.sparkSession.createDataFrame([], block_schema(series.schema[CODE], MEASURES, spans))
+
+
+def block_states(blocks: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
+    """``indicator_states`` of the rows behind stored blocks, for ``indicators_resumed``."""
+    return states_of(blocks, CODE, MEASURES, spans)
+
+
 def late_codes(arrived: DataFrame, states: DataFrame) -> DataFrame:
     """Codes with an arrived row that is not after their stored state.
 
@@ -112,33 +142,66 @@ def indicators_rebased(
 class IndicatorUpdate:
     """What an indicator run has to store."""
 
-    replaced: DataFrame  # codes whose stored indicators are void
+    redone: DataFrame  # (code, since): stored indicators from that day on are void, all of them where it is NULL
     added: DataFrame  # indicator rows to append after that
-    states: DataFrame  # the states to go on from next time
+    blocks: DataFrame  # the block summaries to go on from next time
+
+
+def still_valid(existing: DataFrame, redone: DataFrame) -> DataFrame:
+    """The stored indicators that an update leaves as they are."""
+    since = redone.select(CODE, F.col("since").alias("_since"))
+    void = F.col("_since").isNull() | (F.col(DAY) >= F.col("_since"))
+    return match_keyed(existing, since, [CODE], "left_anti", void)
+
+
+def _redone(arrived: DataFrame, blocks: DataFrame, rebased: DataFrame, spans: Sequence[int]) -> DataFrame:
+    """``(code, since, block)`` of the codes whose rows must be read again, from a block on or (NULL) all."""
+    stored = blocks.groupBy(CODE).agg(F.max(LAST_DAY).alias("_stored"))
+    first = arrived.groupBy(CODE).agg(F.min(DAY).alias("since"))
+    late = first.join(stored, CODE).where(F.col("since") <= F.col("_stored")).select(CODE, "since")
+    late = drop_listed(late, CODE, rebased).withColumn(BLOCK, block_of("since", spans))
+    anew = rebased.select(CODE).distinct()
+    return late.unionByName(anew, allowMissingColumns=True)
 
 
 def indicators_daily(
     series: DataFrame,
     arrived: DataFrame,
-    states: DataFrame,
+    blocks: DataFrame,
     rebased: DataFrame,
     spans: Sequence[int] = SPANS,
 ) -> IndicatorUpdate:
-    """One run: codes with later rows go on from their state, late and rebased ones are built anew.
+    """One run: codes with later rows go on from their blocks, late ones from the block of
+    their first late row, rebased ones from the beginning.
 
-    ``series`` is the whole stored history with the ``arrived`` rows in it; only
-    the codes to build anew are read of it.  ``rebased`` are codes whose history
-    was fetched again.
+    ``series`` is the whole stored history with the ``arrived`` rows in it; of late
+    codes it is read from the earliest such block on, of rebased codes
+    whole.  ``rebased`` are codes whose history was fetched again.  Means and blocks
+    come from one pass, which is written once.
     """
-    late = late_codes(arrived, states)
-    replaced = written(late.unionByName(rebased.select(CODE)).distinct(), "replaced")
-    anew = keep_listed(series, CODE, replaced)
-    on = drop_listed(arrived, CODE, replaced)
-    before = drop_listed(states, CODE, replaced)
+    redone = written(_redone(arrived, blocks, rebased, spans), "redone")
+    late, anew = redone.where(F.col("since").isNotNull()), redone.where(F.col("since").isNull())
+    begins = late.select(CODE, F.col("since").alias("_since"), first_day_of(BLOCK, spans).alias("_begin"))
+    # One date, so that the scan of the history skips what is before it.
+    earliest = begins.agg(F.min("_begin")).first()[0]
+    recent = series.where(F.col(DAY) >= F.lit(earliest).cast("date"))
+    again = match_keyed(recent, begins, [CODE], "inner", F.col(DAY) >= F.col("_begin")).drop("_begin")
+    # Blocks that stand in front of the rows read here; all of them for codes that just go on.
+    touched = redone.select(CODE, F.col("since").isNull().alias("_all"), F.col(BLOCK).alias("_block"))
+    before = match_keyed(blocks, touched, [CODE], "left_anti", F.col("_all") | (F.col(BLOCK) >= F.col("_block")))
+    rows = (
+        drop_listed(arrived, CODE, redone)
+        .unionByName(keep_listed(series, CODE, anew))
+        .select(series.columns)
+        .unionByName(again, allowMissingColumns=True)
+    )
+    passed = written(ewm_pass(rows, CODE, DAY, MEASURES, spans, states_of(before, CODE, MEASURES, spans)), "indicators")
+    # Rows of a block in front of its first late row were read for their sums only.
+    fresh = passed.where(F.col("_since").isNull() | (F.col(DAY) >= F.col("_since")))
     return IndicatorUpdate(
-        replaced=replaced,
-        added=indicators(on, spans, before).unionByName(indicators(anew, spans)),
-        states=indicator_states(on, spans, before).unionByName(indicator_states(anew, spans)),
+        redone=redone.select(CODE, "since"),
+        added=_finished(fresh, spans),
+        blocks=joined_blocks(before, passed_blocks(passed, CODE, DAY), CODE, MEASURES, spans),
     )
 
 

@@ -9,10 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from candlemill.functions import percent_of
-from candlemill.operators.keyed import drop_listed
 from candlemill.operators.ewm import ewm_means, grouped_ewm, mean_name
 from candlemill.plans.indicators import (
     SPANS,
+    block_states,
+    indicator_blocks,
     indicator_columns,
     indicator_states,
     indicators,
@@ -20,6 +21,7 @@ from candlemill.plans.indicators import (
     indicators_incremental,
     indicators_rebased,
     indicators_resumed,
+    still_valid,
 )
 from candlemill.registry.base import DAILY_SERIES, daily_series, query, table
 from candlemill.workspace import written
@@ -122,15 +124,15 @@ LATE = "code % 5 = 0 and day between date '2000-02-01' and date '2000-02-29'"
 
 
 def _daily_indicators(spark, d):
-    """(existing indicators, the update) of a second run with later, late and rebased rows."""
-    old = daily_series(spark, d)
+    """(existing indicators, series, the update) of a second run with later, late and rebased rows."""
+    old = written(daily_series(spark, d), "series")
     changed = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("code"))
     first = old.where((F.col("day") <= F.lit(STORED_UNTIL)) & ~F.expr(LATE))
     doubled = old.join(changed, "code", "left_semi").withColumn("close", F.col("close") * 2)
-    series = old.join(changed, "code", "left_anti").unionByName(doubled)
+    series = written(old.join(changed, "code", "left_anti").unionByName(doubled), "series")
     arrived = series.join(first, ["code", "day"], "left_anti")
-    states = written(indicator_states(first), "states")
-    return indicators(first), series, indicators_daily(series, arrived, states, changed)
+    blocks = written(indicator_blocks(first), "blocks")
+    return indicators(first), series, indicators_daily(series, arrived, blocks, changed)
 
 
 REBASED_SERIES = f"""
@@ -141,7 +143,7 @@ REBASED_SERIES = f"""
 @query("indicators_daily", _indicators_sql(source=REBASED_SERIES))
 def _indicators_daily(spark, d):
     existing, _, update = _daily_indicators(spark, d)
-    return _rounded_indicators(drop_listed(existing, "code", update.replaced).unionByName(update.added))
+    return _rounded_indicators(still_valid(existing, update.redone).unionByName(update.added))
 
 
 @query("indicators_daily_states", f"select code, max(day) as last_day from ({DAILY_SERIES}) group by 1")
@@ -151,10 +153,41 @@ def _indicators_daily_states(spark, d):
     # Sums in another order differ in the last bits: what both say about the mean of span 5.
     mean = "state.close_5_num / state.close_5_den"
     whole = indicator_states(series).selectExpr("code", "last_day", f"{mean} as _whole")
-    both = update.states.selectExpr("code", "last_day", f"{mean} as _here").join(whole, ["code", "last_day"])
+    both = block_states(update.blocks).selectExpr("code", "last_day", f"{mean} as _here").join(whole, ["code", "last_day"])
     return both.where("abs(_here - _whole) <= 1e-9 * abs(_whole) + 1e-9").select("code", "last_day")
 
 
+# One day of every third code comes when everything else is stored.
+LATE_DAY = "code % 3 = 0 and day = date '2001-03-05'"
+
+
+def _late_update(spark, d):
+    """(existing indicators, the update) when single rows come late."""
+    series = written(daily_series(spark, d), "series")
+    stored = series.where(f"not ({LATE_DAY})")
+    blocks = written(indicator_blocks(stored), "blocks")
+    nothing = series.limit(0).select("code")
+    return indicators(stored), indicators_daily(series, series.where(LATE_DAY), blocks, nothing)
+
+
+@query("indicators_late", _indicators_sql())
+def _indicators_late(spark, d):
+    """Stored indicators with those since the late rows replaced: as if nothing had been late."""
+    existing, update = _late_update(spark, d)
+    return _rounded_indicators(still_valid(existing, update.redone).unionByName(update.added))
+
+
+@query(
+    "indicators_late_rows",
+    f"""with s as ({DAILY_SERIES}) select code, day from s
+        join (select code, min(day) as since from s where {LATE_DAY} group by 1) using (code) where day >= since""",
+)
+def _indicators_late_rows(spark, d):
+    """What the late rows make anew: the days of their codes from them on, nothing else."""
+    _, update = _late_update(spark, d)
+    return update.added.select("code", "day")
+
+
 def _ewm_query(value: str):
     @query(f"ewm_{value}", _means_sql([f"round({_mean(value, w)} + {NUDGE}, 3) as ewm_{value}_{w}" for w in SPANS]))
     def means(spark, d):

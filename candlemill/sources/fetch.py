@@ -17,6 +17,53 @@ from candlemill.workspace import written
 CALLS_PER_BATCH = 64
 
 
+def _outcome(requests: DataFrame, schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("request", requests.schema),
+            T.StructField("error", T.StringType()),
+            T.StructField("rows", T.ArrayType(schema)),
+        ]
+    )
+
+
+def _caller(fetch: Callable[[Mapping], Mapping[str, Sequence]], item: pa.StructType, pause: float):
+    """One paced call: (error or None, rows)."""
+
+    def call(request: dict) -> tuple[str | None, pa.Array]:
+        time.sleep(pause)
+        try:
+            answer = fetch(request)
+            columns = [pa.array(answer[field.name], type=field.type) for field in item]
+            return None, pa.StructArray.from_arrays(columns, fields=list(item))
+        except Exception as failure:  # noqa: BLE001 - any failure becomes an error row
+            return f"{type(failure).__name__}: {failure}", pa.array([], type=item)
+
+    return call
+
+
+def _told(asked: pa.RecordBatch, outcomes: list[tuple[str | None, pa.Array]], arrow: pa.Schema) -> pa.RecordBatch:
+    """The requests of some calls with what came of them."""
+    errors, answers = zip(*outcomes, strict=True)
+    ends = [0]
+    for answer in answers:
+        ends.append(ends[-1] + len(answer))
+    rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(answers))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(asked.to_struct_array(), type=arrow.field("request").type),
+            pa.array(errors, type=pa.string()),
+            rows.cast(arrow.field("rows").type),
+        ],
+        schema=arrow,
+    )
+
+
+def _rows_and_errors(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = outcomes.where(F.col("error").isNull()).select(F.inline("rows"))
+    return rows, outcomes.where(F.col("error").isNotNull()).select("request.*", "error")
+
+
 def fetch_windows(
     requests: DataFrame,
     fetch: Callable[[Mapping], Mapping[str, Sequence]],
@@ -33,45 +80,66 @@ def fetch_windows(
     The outcome is written once to the shared folder: reading both results calls
     the service once.
     """
-    outcome = T.StructType(
-        [
-            T.StructField("request", requests.schema),
-            T.StructField("error", T.StringType()),
-            T.StructField("rows", T.ArrayType(schema)),
-        ]
-    )
+    outcome = _outcome(requests, schema)
     arrow = to_arrow_schema(outcome)
-    item = arrow.field("rows").type.value_type
-
-    def call(request: dict) -> tuple[str | None, pa.Array]:
-        time.sleep(pause)
-        try:
-            answer = fetch(request)
-            columns = [pa.array(answer[field.name], type=field.type) for field in item]
-            return None, pa.StructArray.from_arrays(columns, fields=list(item))
-        except Exception as failure:  # noqa: BLE001 - any failure becomes an error row
-            return f"{type(failure).__name__}: {failure}", pa.array([], type=item)
+    call = _caller(fetch, arrow.field("rows").type.value_type, pause)
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, CALLS_PER_BATCH):
                 asked = batch.slice(start, CALLS_PER_BATCH)
-                errors, answers = zip(*(call(request) for request in asked.to_pylist()))
-                ends = [0]
-                for answer in answers:
-                    ends.append(ends[-1] + len(answer))
-                rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(answers))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(asked.to_struct_array(), type=arrow.field("request").type),
-                        pa.array(errors, type=pa.string()),
-                        rows.cast(arrow.field("rows").type),
-                    ],
-                    schema=arrow,
-                )
+                yield _told(asked, [call(request) for request in asked.to_pylist()], arrow)
 
     spread = requests if parallelism is None else requests.repartition(parallelism)
-    outcomes = written(spread.mapInArrow(per_partition, outcome), "fetched")
-    rows = outcomes.where(F.col("error").isNull()).select(F.inline("rows"))
-    errors = outcomes.where(F.col("error").isNotNull()).select("request.*", "error")
-    return rows, errors
+    return _rows_and_errors(written(spread.mapInArrow(per_partition, outcome), "fetched"))
+
+
+def walk_windows(
+    requests: DataFrame,
+    fetch: Callable[[Mapping], Mapping[str, Sequence]],
+    schema: T.StructType,
+    key: str,
+    order: str,
+    pause: float = 1.0,
+    parallelism: int | None = None,
+    most_empty: int = 1,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(rows, errors, calls)``: the windows of each key from the newest back, until too many were empty.
+
+    A key's windows are asked for one after the other, the largest ``order`` first;
+    with the ``most_empty + 1``-th window without rows the walk of the key ends and
+    its older windows are never asked for.  A call that fails is an error row and
+    no empty window.  ``calls`` has the number of calls of each key.  All windows
+    of a key are in one task, since each call depends on the last ones; a task
+    holds a batch of requests and the answers to a few calls, and walks its keys in turn.
+    A NULL key is a key; of equal ``order`` the other columns decide.
+    """
+    outcome = _outcome(requests, schema)
+    arrow = to_arrow_schema(outcome)
+    call = _caller(fetch, arrow.field("rows").type.value_type, pause)
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walking, empty = object(), 0
+        for batch in batches:
+            places, outcomes = [], []
+            for place, request in enumerate(batch.to_pylist()):
+                if request[key] != walking:
+                    walking, empty = request[key], 0
+                if empty > most_empty:
+                    continue
+                error, rows = call(request)
+                empty += error is None and len(rows) == 0
+                places.append(place)
+                outcomes.append((error, rows))
+                if len(places) == CALLS_PER_BATCH:
+                    yield _told(batch.take(places), outcomes, arrow)
+                    places, outcomes = [], []
+            if places:
+                yield _told(batch.take(places), outcomes, arrow)
+
+    rest = [F.col(f"`{name}`") for name in requests.columns if name not in (key, order)]
+    dealt = requests.repartition(key) if parallelism is None else requests.repartition(parallelism, key)
+    newest_first = dealt.sortWithinPartitions(F.col(key), F.col(order).desc(), *rest)
+    outcomes = written(newest_first.mapInArrow(per_partition, outcome), "walked")
+    rows, errors = _rows_and_errors(outcomes)
+    return rows, errors, outcomes.groupBy(F.col(f"request.`{key}`").alias(key)).agg(F.count("*").alias("calls"))

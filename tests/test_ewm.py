@@ -6,8 +6,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from candlemill.operators import ewm
 from candlemill.operators.ewm import ewm_means, ewm_states, grouped_ewm, mean_name
 from candlemill.plans import indicators as ind
+from candlemill.workspace import written
 
 START = datetime.date(2001, 3, 1)
 
@@ -212,3 +214,80 @@ def test_rebased_codes_are_computed_again(spark):
     found = ind.indicators_rebased(changed, existing, rebased, [5])
     wanted = ind.indicators(changed, [5])
     assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+# ---- stored blocks
+
+
+def _whole(spark, seed, codes=5):
+    series = frame(spark, random_series(seed, codes=codes, missing=0)).select("code", "day", "close", "volume")
+    return series.withColumn("close", ind.F.col("close").cast("long")).withColumn("volume", ind.F.col("volume").cast("long"))
+
+
+def _near(a, b):
+    """Indicator rows that agree up to the last digits."""
+    a, b = (sorted((row["code"], row["day"], *[-1.0 if x is None else x for x in row[2:]]) for row in df.collect()) for df in (a, b))
+    assert [row[:2] for row in a] == [row[:2] for row in b]
+    for one, other in zip(a, b):
+        assert list(one[2:]) == pytest.approx(list(other[2:]), rel=1e-9)
+
+
+def test_one_pass_gives_means_and_blocks(spark):
+    series = _whole(spark, 21)
+    layout = ("code", "day", ["close", "volume"], [5, 20])
+    passed = ewm.ewm_pass(series, *layout, block_days=100)
+    means = ewm_means(series, *layout, block_days=100)
+    assert sorted(map(repr, passed.select(means.columns).collect())) == sorted(map(repr, means.collect()))
+    blocks = ewm.passed_blocks(passed, "code", "day")
+    wanted = ewm.ewm_blocks(series, *layout, block_days=100)
+    shape = ewm.block_schema(series.schema["code"], ["close", "volume"], [5, 20])
+    assert wanted.schema.simpleString() == blocks.schema.simpleString() == shape.simpleString()
+    for one, other in zip(*(sorted(df.collect(), key=lambda r: r[:2]) for df in (blocks, wanted))):
+        assert one[:3] == other[:3] and list(one["block_end"]) == pytest.approx(list(other["block_end"]), rel=1e-9)
+    states = {row["code"]: row for row in ewm_states(series, *layout).collect()}
+    for row in ewm.states_of(wanted, "code", ["close", "volume"], [5, 20]).collect():
+        assert row["last_day"] == states[row["code"]]["last_day"]
+        assert list(row["state"]) == pytest.approx(list(states[row["code"]]["state"]), rel=1e-9)
+
+
+@pytest.mark.parametrize("seed", [31])
+def test_runs_with_late_later_and_rebased_rows(spark, monkeypatch, seed):
+    """Rows come in four runs, at random; after each the indicators are those of all rows so far."""
+    monkeypatch.setattr(ewm, "_block_length", lambda spans, wanted: 64)
+    stretch = ind.F.expr(f"pmod(xxhash64(code, datediff(day, date '2000-01-01') div 9, {seed}), 4)")
+    every = written(_whole(spark, seed, codes=4).withColumn("run", stretch), "every")
+    blocks, stored = ind.no_blocks(every.drop("run"), [5, 20]), None
+    for run in range(4):
+        rebased = every.where("code = '000002'").select("code").distinct() if run == 2 else every.limit(0).select("code")
+        if run == 2:
+            every = written(every.withColumn("close", ind.F.expr("if(code = '000002', close * 3, close)")), "every")
+        series = written(every.where(f"run <= {run}").drop("run"), "series")
+        update = ind.indicators_daily(series, every.where(f"run = {run}").drop("run"), blocks, rebased, [5, 20])
+        stored = update.added if stored is None else ind.still_valid(stored, update.redone).unionByName(update.added)
+        stored, blocks = written(stored, "stored"), written(update.blocks, "blocks")
+        _near(stored, ind.indicators(series, [5, 20]))
+        assert blocks.count() == blocks.select("code", "block").distinct().count()
+
+
+def test_a_late_row_reads_no_earlier_block(spark, tmp_path):
+    """The history before the late row's block is neither in the plan's range nor needed."""
+    days = [datetime.date(1990, 1, 1) + datetime.timedelta(n) for n in range(0, 9000, 3)]
+    path = str(tmp_path / "series")
+    rows = [("a", day, n % 50 + 1, 5) for n, day in enumerate(days)] + [("b", day, n % 7 + 1, 5) for n, day in enumerate(days)]
+    series = spark.createDataFrame(rows, "code string, day date, close bigint, volume bigint")
+    series.repartitionByRange(4, "day").write.parquet(path)
+    late = datetime.date(2010, 1, 4)
+    stored = spark.read.parquet(path).where(f"not (code = 'a' and day = date '{days[2440]}')")
+    arrived = spark.read.parquet(path).where(f"code = 'a' and day = date '{days[2440]}'")
+    assert days[2440] >= late and arrived.count() == 1
+    blocks = written(ind.indicator_blocks(stored, [5]), "blocks")
+    begin = ewm.first_day_of("block", [5])
+    first_read = arrived.select(ewm.block_of("day", [5]).alias("block")).select(begin.alias("d")).first()["d"]
+    # What lies in front of the block is gone: the run does not miss it.
+    recent = str(tmp_path / "recent")
+    spark.read.parquet(path).where(ind.F.col("day") >= ind.F.lit(first_read)).write.parquet(recent)
+    update = ind.indicators_daily(spark.read.parquet(recent), arrived, blocks, arrived.limit(0).select("code"), [5])
+    _near(update.added, ind.indicators(spark.read.parquet(path), [5]).where(f"code = 'a' and day >= date '{days[2440]}'"))
+    again = spark.read.parquet(path).where(ind.F.col("day") >= ind.F.lit(first_read))
+    assert f"GreaterThanOrEqual(day,{first_read})" in again._jdf.queryExecution().executedPlan().toString()
+    assert 0 < (first_read - days[0]).days and first_read <= days[2440]
