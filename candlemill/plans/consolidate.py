@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.operators.keyed import drop_listed
+from candlemill.operators.keyed import subtract_rows
 from candlemill.workspace import written
 
 
@@ -38,13 +38,22 @@ def consolidated(
 
 
 def consolidate_into(
-    spark: SparkSession, name: str, path: str, root: str, schema: T.StructType | str, codes: Sequence[str] | None = None, code: str = "code"
+    spark: SparkSession,
+    name: str,
+    path: str,
+    root: str,
+    schema: T.StructType | str,
+    codes: Sequence[str] | None = None,
+    code: str = "code",
 ) -> DataFrame:
-    """Create the catalog table ``name`` at ``path`` if it is missing and insert the tables it has no rows of."""
+    """Create the catalog table ``name`` at ``path`` if it is missing and insert the rows it does not have.
+
+    Rows compare as a whole, so days that a per-code table gained since the last run
+    are inserted, and running it again inserts nothing.
+    """
     shape = spark.createDataFrame([], schema).schema.add(code, T.StringType())
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in shape)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
-    stored = spark.read.table(name)
-    fresh = drop_listed(consolidated(spark, root, schema, codes, code), code, stored.select(code))
+    fresh = subtract_rows(consolidated(spark, root, schema, codes, code), spark.read.table(name))
     written(fresh, "consolidated").write.mode("append").insertInto(name)
     return spark.read.table(name)

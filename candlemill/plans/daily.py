@@ -77,7 +77,8 @@ def daily_update(
     kept = without_rebased(stored, rebased, "code")
     unchanged = drop_listed(before_failures(rows, errors), "code", changed)
     renewed = drop_listed(drop_listed(rows, "code", found).unionByName(rows_again), "code", failed_codes)
-    fetched = unchanged.unionByName(renewed.join(rebased, "code", "left_semi"))
+    # Stored, as its first and last day are asked for before its rows.
+    fetched = written(unchanged.unionByName(renewed.join(rebased, "code", "left_semi")), "new")
     finished = drop_listed(todo.select("code"), "code", failed_codes)
     return DailyUpdate(
         rebased=rebased,

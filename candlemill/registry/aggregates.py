@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlemill.operators.grouping import combine_by_key, grouped_values, lists_per_key
-from candlemill.operators.profile import column_summary, counts_by, partition_sizes
+from candlemill.operators.profile import (
+    column_summary,
+    counts_by,
+    exact_summary,
+    hash_bucket_rows,
+    partition_rows,
+    partition_sizes,
+)
 from candlemill.plans.textstats import lines_with, word_count
 from candlemill.registry.base import query, table
 
@@ -75,6 +82,13 @@ def _agg_approx_distinct(spark, d):
     return found.select("exact", held.alias("held"))
 
 
+@query("agg_approx_distinct_rows")
+def _agg_approx_distinct_rows(spark, d):
+    """The sketch's own value for each flag and status; ``agg_approx_distinct`` holds it against the exact count."""
+    guess = F.approx_count_distinct("l_orderkey", APPROXIMATION).alias("orders")
+    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(guess)
+
+
 @query("agg_distinct", "select distinct l_returnflag, l_linestatus, l_linenumber from lineitem")
 def _agg_distinct(spark, d):
     return table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber").distinct()
@@ -168,6 +182,25 @@ def _agg_summary(spark, d):
     )
 
 
+@query("partition_size_rows")
+def _partition_size_rows(spark, d):
+    """Each of ten partitions with its rows; ``partition_sizes`` holds their sum and range against SQL."""
+    return partition_sizes(table(spark, d, "lineitem").repartition(10, "l_suppkey"))
+
+
+@query(
+    "partition_arrays",
+    """select cast(l_suppkey % 10 as integer) as partition,
+              row_number() over (partition by l_suppkey % 10 order by l_orderkey, l_linenumber) - 1 as place, l_orderkey, l_linenumber
+       from lineitem""",
+)
+def _partition_arrays(spark, d):
+    """What each of ten partitions holds, in its order."""
+    rows = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
+    dealt = rows.repartitionById(10, (F.col("l_suppkey") % 10).cast("int")).sortWithinPartitions("l_orderkey", "l_linenumber")
+    return partition_rows(dealt.select("l_orderkey", "l_linenumber"))
+
+
 @query("partition_sizes", "select count(*) as total, true as within from lineitem")
 def _partition_sizes(spark, d):
     """Sizes of ten partitions: they add up, and every partition is one of the ten."""
@@ -176,6 +209,13 @@ def _partition_sizes(spark, d):
     return sizes.agg(F.sum("rows").alias("total"), within.alias("within"))
 
 
+@query("hash_bucket_rows")
+def _hash_bucket_rows(spark, d):
+    """Each of twenty buckets; ``hash_bucket`` holds their sums and range against SQL."""
+    found = hash_bucket_rows(table(spark, d, "lineitem"), ["l_suppkey"], 20)
+    return found.select("bucket", "rows", "keys", F.col("first.l_suppkey").alias("first"), F.col("last.l_suppkey").alias("last"))
+
+
 @query("hash_bucket", "select count(*) as total, count(distinct l_suppkey) as keys, true as within from lineitem")
 def _hash_bucket(spark, d):
     """Twenty buckets by hash: they add up, every bucket is in range, and a key is in one bucket."""
@@ -186,15 +226,32 @@ def _hash_bucket(spark, d):
     )
 
 
+QUARTILED = ("l_quantity", "l_discount", "l_extendedprice", "l_orderkey")
+
+
 @query(
     "agg_quartiles",
+    " union all ".join(
+        f"""select '{name}' as "column", cast(quantile_disc({name}, 0.25) as double) as q1,
+                   cast(quantile_disc({name}, 0.5) as double) as median, cast(quantile_disc({name}, 0.75) as double) as q3
+            from lineitem"""
+        for name in QUARTILED
+    ),
+)
+def _agg_quartiles(spark, d):
+    """Exact, in columns of few values and of nearly as many as rows."""
+    return exact_summary(table(spark, d, "lineitem"), QUARTILED).select("column", "q1", "median", "q3")
+
+
+@query(
+    "agg_quartiles_approx",
     """select 'l_quantity' as "column", quantile_disc(l_quantity, 0.25) as q1, quantile_disc(l_quantity, 0.5) as median,
               quantile_disc(l_quantity, 0.75) as q3 from lineitem
        union all select 'l_discount', quantile_disc(l_discount, 0.25), quantile_disc(l_discount, 0.5),
                         quantile_disc(l_discount, 0.75) from lineitem""",
 )
-def _agg_quartiles(spark, d):
-    """Columns with few values, where the approximation has no room to differ."""
+def _agg_quartiles_approx(spark, d):
+    """In one scan, by sketch: columns with few values, where the approximation has no room to differ."""
     return column_summary(table(spark, d, "lineitem"), ["l_quantity", "l_discount"]).select("column", "q1", "median", "q3")
 
 

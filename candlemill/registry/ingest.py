@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import json
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import functions as F
@@ -26,10 +25,13 @@ from candlemill.plans.ingest import (
     without_rebased,
 )
 from candlemill.plans.listing import fresh_snapshot, mark_done, save_snapshot
+from candlemill.plans.store import STEPS, PriceStore
 from candlemill.registry.base import DAILY_SERIES, daily_series, query, table
-from candlemill.sources.fetch import fetch_windows
+from candlemill.sinks.tables import KeyedTable
+from candlemill.sources.fetch import fetch_windows, walk_windows
 from candlemill.sources.files import read_json
-from candlemill.workspace import new_folder, written
+from candlemill.sources.footers import footer_aggregates, high_water_mark
+from candlemill.workspace import new_folder, new_table, written
 
 AS_OF = datetime.date(2002, 1, 1)
 LISTED = datetime.date(1995, 6, 1)
@@ -62,6 +64,14 @@ WINDOWS_OF_CODES = f"""
                  from (select code, min(day) as b, max(day) as e from s group by 1)))
 """
 
+PRICE_SERIES = T.StructType(
+    [
+        T.StructField("code", T.LongType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("close", T.LongType()),
+        T.StructField("volume", T.LongType()),
+    ]
+)
 PRICES = T.StructType(
     [
         T.StructField("code", T.LongType()),
@@ -81,7 +91,8 @@ def _answer(request: Mapping) -> dict[str, list]:
     return {"code": [request["code"]] * len(days), **lists}
 
 
-def _fetched(spark, d):
+def _requests(spark, d):
+    """A request for each window of each code, from its first to its last day."""
     series = daily_series(spark, d)
     spans = series.groupBy("code").agg(F.min("day").alias("b"), F.max("day").alias("e"))
     windows = cut_windows(spans, "b", F.col("e")).drop("e")
@@ -93,10 +104,13 @@ def _fetched(spark, d):
         .agg(F.collect_list(F.struct(F.col("day").cast("string").alias("day"), "close", "volume")).alias("days"))
         .select("code", "from", F.to_json("days").alias("answer"))
     )
-    requests = windows.join(answers, ["code", "from"], "left").select(
+    return windows.join(answers, ["code", "from"], "left").select(
         "code", F.col("from").cast("string").alias("from"), F.col("to").cast("string").alias("to"), "answer"
     )
-    return fetch_windows(requests, _answer, PRICES, pause=0.0, parallelism=8)
+
+
+def _fetched(spark, d):
+    return fetch_windows(_requests(spark, d), _answer, PRICES, pause=0.0, parallelism=8)
 
 
 @query("fetch_partitions", f"select * from ({DAILY_SERIES})")
@@ -135,6 +149,35 @@ def _windows_until_empty(spark, d):
     return until_second_empty(windows, ["user_id"], "m", "n")
 
 
+# Windows of a code, newest first, with the empty ones before each.
+WALKED = f"""{WINDOWS_OF_CODES},
+    filled as (select w.code, f, t, count(s.day) as n from w left join s on s.code = w.code and s.day between f and t group by 1, 2, 3),
+    walked as (select *, coalesce(sum(case when n = 0 then 1 else 0 end) over (
+                   partition by code order by f desc rows between unbounded preceding and 1 preceding), 0) as empties from filled)
+"""
+
+
+def _empty_or_days(request: Mapping) -> dict[str, list]:
+    """The stand-in service again, which here answers an empty window with no rows."""
+    return _answer({**request, "answer": request["answer"] or "[]"})
+
+
+def _walked(spark, d):
+    return walk_windows(_requests(spark, d), _empty_or_days, PRICES, "code", "from", pause=0.0, parallelism=8)
+
+
+@query("walk_rows", f"{WALKED} select s.* from s join walked w on w.code = s.code and s.day between f and t where empties <= 1")
+def _walk_rows(spark, d):
+    rows, _, _ = _walked(spark, d)
+    return rows.withColumn("day", F.to_date("day"))
+
+
+@query("walk_calls", f"{WALKED} select code, count(*) as calls from walked where empties <= 1 group by 1")
+def _walk_calls(spark, d):
+    """Calls of each code: none beyond its second empty window."""
+    return _walked(spark, d)[2]
+
+
 REBASED = "select s_suppkey from supplier where s_acctbal > 5000"
 
 # The service's answer in the daily run: every day, rebased codes at twice the price.
@@ -216,6 +259,48 @@ def _daily_retry_listing(spark, d):
     return _two_runs(spark, d).listing
 
 
+STORED_PRICES = "code bigint, day date, close bigint, volume bigint"
+
+
+def _stored_run(spark, d):
+    """A run that stops after each of its steps, and goes on as often."""
+    store = PriceStore(spark, new_folder(spark, "store"), STORED_PRICES, spans=(5, 20), buckets=8)
+    store.load(written(_half_stored(spark, d), "first"))
+    served = _served(spark, d)
+
+    def fetch(requests):
+        days = written(requests, "asked").select("code", F.explode(F.sequence("from", "to")).alias("day"))
+        return written(served.join(days, ["code", "day"], "left_semi"), "answered"), requests.limit(0)
+
+    def no_fetch(requests):
+        raise RuntimeError("a resumed run fetches nothing again")
+
+    for step in STEPS:
+        store.daily("run", _first_listing(spark, d), fetch if step == STEPS[0] else no_fetch, AS_OF, stop_after=step)
+    return store
+
+
+@query("stored_run_prices", SERVED)
+def _stored_run_prices(spark, d):
+    return _stored_run(spark, d).read("prices")
+
+
+def _stored_mean(value: str) -> str:
+    weight = "pow(1 - 2.0 / 21, t.rn - s.rn)"
+    return f"round(sum(s.{value} * {weight}) / sum({weight}) + 1e-7, 3)"
+
+
+@query(
+    "stored_run_indicators",
+    f"""with r as (select *, row_number() over (partition by code order by day) as rn from ({SERVED}))
+        select t.code, t.day, {_stored_mean("close")} as close_20, {_stored_mean("volume")} as volume_20
+        from r t join r s on s.code = t.code and s.rn <= t.rn group by 1, 2""",
+)
+def _stored_run_indicators(spark, d):
+    stored = _stored_run(spark, d).read("indicators")
+    return stored.select("code", "day", *[F.round(F.col(f"eavg_{v}_20") + 1e-7, 3).alias(f"{v}_20") for v in ("close", "volume")])
+
+
 def _rebased(spark, d):
     stored = daily_series(spark, d)
     return stored, rebased_codes(_served(spark, d), stored, "code", "day", "close")
@@ -273,6 +358,46 @@ def _append_new_prices(spark, d):
     return new_prices(series.where("day <= date '1999-12-31'"), series.unionByName(series))
 
 
+@query("insert_absent_bucketed", DAILY_SERIES)
+def _insert_absent_bucketed(spark, d):
+    """Batches that overlap, all days of each, go into a table bucketed and sorted by (code, day)."""
+    stored = KeyedTable(spark, new_table("prices"), new_folder(spark, "prices"), ("code", "day"), buckets=64)
+    series = written(daily_series(spark, d), "series")
+    for batch in ("code % 3 = 0", "code % 2 = 0", "true", "true"):
+        stored.insert(series.where(batch))
+    return stored.rows()
+
+
+@query("footer_bounds", f"select max(day) as mark, min(code) as first_code, count(*) as n from ({DAILY_SERIES})")
+def _footer_bounds(spark, d):
+    """The high-water mark and the row count of a stored table, from its footers."""
+    path = new_folder(spark, "series")
+    daily_series(spark, d).write.parquet(path)
+    return footer_aggregates(spark, path, {"mark": ("max", "day"), "first_code": ("min", "code"), "n": ("count", "*")})
+
+
+@query(
+    "footer_bounds_by_part",
+    f"select cast(code % 8 as bigint) as part, max(day) as mark, count(*) as n from ({DAILY_SERIES}) group by 1",
+)
+def _footer_bounds_by_part(spark, d):
+    path = new_folder(spark, "series")
+    daily_series(spark, d).withColumn("part", F.col("code") % 8).write.partitionBy("part").parquet(path)
+    shape = T.StructType([*PRICE_SERIES, T.StructField("part", T.LongType())])
+    return footer_aggregates(spark, path, {"mark": ("max", "day"), "n": ("count", "*")}, by=["part"], schema=shape)
+
+
+@query("append_above_mark", f"select * from ({DAILY_SERIES})")
+def _append_above_mark(spark, d):
+    """An increment: what is later than the stored table's mark, which only footers are read for."""
+    path = new_folder(spark, "series")
+    series = daily_series(spark, d)
+    series.where("day <= date '2000-06-30'").write.parquet(path)
+    mark = high_water_mark(spark, path, "day")
+    series.where(F.col("day") > F.lit(mark)).write.mode("append").parquet(path)
+    return spark.read.schema(PRICE_SERIES).parquet(path)
+
+
 @query(
     "rows_after_stored",
     f"""with s as ({DAILY_SERIES}),
@@ -317,8 +442,8 @@ def _listing_snapshot_json(spark, d):
     source = table(spark, d, "part").select("p_partkey", "p_name")
     source.withColumns({"etldate": F.lit("20240102"), "etlcheck": F.lit("20240102")}).write.json(folder)
     shape = "p_partkey bigint, p_name string, etldate string, etlcheck string"
-    save_snapshot(fresh_snapshot(read_json(spark, folder, shape), source, "20240103"), folder)
-    return read_json(spark, folder, shape)
+    save_snapshot(fresh_snapshot(read_json(spark, folder, shape)[0], source, "20240103"), folder)
+    return read_json(spark, folder, shape)[0]
 
 
 # Codes as a listing may have them; paths encode the blank, the plus sign and the letters.
@@ -363,6 +488,19 @@ def _consolidate_missing(spark, d):
 def _consolidate_insert(spark, d):
     """Two runs into one table: the first creates it, the second finds one code missing."""
     root, path = _per_code_tables(spark, d), new_folder(spark, "consolidated")
-    name = f"consolidated_{uuid.uuid4().hex}"
+    name = new_table("consolidated")
     consolidate_into(spark, name, path, root, SHAPE, [CODES["F"], CODES["O"]])
     return consolidate_into(spark, name, path, root, SHAPE)
+
+
+@query("consolidate_grown", ORDER_DAYS)
+def _consolidate_grown(spark, d):
+    """The per-code tables gain days between two runs: the second inserts just these."""
+    root, name, path = new_folder(spark, "per-code"), new_table("grown"), new_folder(spark, "grown")
+    orders = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"), "o_orderpriority", "o_orderstatus")
+    for days in ("day < date '1996-01-01'", "day >= date '1995-12-01'"):
+        for status, code in CODES.items():
+            rows = orders.where((F.col("o_orderstatus") == status) & F.expr(days)).drop("o_orderstatus")
+            rows.write.mode("append").parquet(f"{root}/{code}.parquet")
+        found = consolidate_into(spark, name, path, root, SHAPE)
+    return found

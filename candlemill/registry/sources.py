@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,7 +22,7 @@ from candlemill.sources.master import (
     read_main_market,
     read_second_market,
 )
-from candlemill.workspace import new_folder
+from candlemill.workspace import new_folder, new_table, written
 
 
 @query("src_csv_roundtrip", "select p_partkey, p_name, p_brand, p_size, p_retailprice from part")
@@ -66,16 +65,14 @@ def _src_rows_of_all_kinds(spark, d):
     return orders.join(same, "o_orderstatus", "left").drop("o_orderstatus")
 
 
-@query("drop_table", "select 'nation' as name, count(*) as n, true as created, true as dropped from nation")
+@query("drop_table", "select o_orderkey, o_custkey, o_orderstatus, true as dropped from orders")
 def _drop_table(spark, d):
-    """A catalog table is created, counted and dropped."""
-    name = f"dropped_{uuid.uuid4().hex}"
-    save_bucketed(table(spark, d, "nation"), name, new_folder(spark, "dropped"), "n_nationkey", 2)
-    created, n = spark.catalog.tableExists(name), spark.read.table(name).count()
+    """A catalog table is created, read and dropped; its rows were written elsewhere before."""
+    name = new_table("dropped")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    rows = written(save_bucketed(orders, name, new_folder(spark, "dropped"), "o_custkey", 4), "rows")
     spark.sql(f"DROP TABLE {name}")
-    return spark.createDataFrame(
-        [("nation", n, created, not spark.catalog.tableExists(name))], "name string, n bigint, created boolean, dropped boolean"
-    )
+    return rows.withColumn("dropped", F.lit(not spark.catalog.tableExists(name)))
 
 
 @query(

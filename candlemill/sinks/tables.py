@@ -11,12 +11,14 @@ that is left without rows gets one void row, which readers skip.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlemill.operators.keyed import one_row_per_key
 from candlemill.workspace import checkpointed
 
 BUCKET = "bucket"
@@ -139,3 +141,46 @@ def export_csv(df: DataFrame, path: str, key: str, order: str) -> None:
         .partitionBy(key)
         .csv(path)
     )
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """A catalog table of one row per key, bucketed and sorted by all of its key, that takes rows if absent.
+
+    The keys' buckets are how the table lies, so an insert shuffles and sorts the batch
+    only and reads the keys of the table where they are: a sort-merge anti-join
+    without an exchange on the table's side, however large the table or the days that a batch spans.
+    Give as many buckets as the session has shuffle partitions, or more: with fewer, Spark
+    may deal both sides anew.
+    """
+
+    spark: SparkSession
+    name: str
+    path: str
+    keys: tuple[str, ...]
+    buckets: int = BUCKETS
+
+    def rows(self) -> DataFrame | None:
+        """What is stored, or None before the first insert."""
+        return self.spark.read.table(self.name) if self.spark.catalog.tableExists(self.name) else None
+
+    def absent(self, batch: DataFrame) -> DataFrame:
+        """The rows of a batch whose key is not stored, one per key; a key with a NULL is never stored."""
+        fresh = one_row_per_key(batch.na.drop(subset=list(self.keys)), self.keys)
+        stored = self.rows()
+        if stored is None:
+            return fresh
+        return fresh.hint("merge").join(stored.select(*self.keys), list(self.keys), "left_anti")
+
+    def insert(self, batch: DataFrame) -> None:
+        """Append what is absent; the same batch again appends nothing."""
+        (
+            self.absent(batch)
+            .repartition(self.buckets, *self.keys)
+            .write.format("parquet")
+            .mode("append")
+            .option("path", self.path)
+            .bucketBy(self.buckets, *self.keys)
+            .sortBy(*self.keys)
+            .saveAsTable(self.name)
+        )

@@ -179,6 +179,9 @@ def test_consolidating_twice_inserts_once(spark, rows):
     spark.createDataFrame([(2,)], "v int").write.parquet(f"{root}/b.parquet")
     assert rows(consolidate.consolidate_into(spark, *target, root, "v int")) == [(1, "a"), (2, "b")]
     assert rows(consolidate.consolidate_into(spark, *target, root, "v int")) == [(1, "a"), (2, "b")]
+    spark.createDataFrame([(1,), (None,), (3,)], "v int").write.mode("append").parquet(f"{root}/a.parquet")
+    for _ in range(2):  # what a table gained is inserted, once
+        assert rows(consolidate.consolidate_into(spark, *target, root, "v int")) == [(None, "a"), (1, "a"), (2, "b"), (3, "a")]
 
 
 # ---- events
