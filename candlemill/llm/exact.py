@@ -1,21 +1,25 @@
 """Exact deduplication against a persistent digest index.
 
 The index is a catalog table with one row per known text, bucketed and sorted by
-the text's digest.  A batch is first reduced to one row per digest on the map
-side; those rows meet the index in a sort-merge anti-join that shuffles the
-batch only, and what is new is appended.  Every row of the batch then learns
+the text's digest.  The texts of a batch are read once: their digests are
+written, and everything else works on those rows.  A batch is first reduced to one row
+per digest on the map side; those rows meet the index in a sort-merge anti-join
+that shuffles the batch only, and what is new is appended.  Every row of the batch then learns
 from one small row per digest what became of it; that join is split where a
 digest is hot, so a text with a third of all rows is no obstacle.
 
+``deduplicated`` adds a batch to a lasting index, in which earlier batches win.
+``largest_stays`` works through one table in two batches, the larger ids first, so
+that the row with the largest id stays and the second half meets the first in the index.
+
 Adding a batch twice under the same name changes nothing, so a job that died
 half-way is simply run again.
 
 Defined results: NULL counts as the empty text.  Of equal texts in one batch the
 row with the largest id stays (a NULL id is the smallest); among repeated rows
 with that id, the one whose other columns hash highest, and of wholly equal rows
-the last one.  A text that an earlier batch brought is dropped, whatever its id.
-Further columns are kept, clashing names give way.  The batch must be a stored
-table: its rows have to come in the same order each time they are read.
+any one.  A text that an earlier batch brought is dropped, whatever its id.
+Further columns are kept, clashing names give way.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 
 from candlemill.llm.common import whole_text, with_columns
 from candlemill.operators.keyed import match_keyed
+from candlemill.workspace import written
 
 DIGEST = "text_sha256"
 BUCKETS = 64
@@ -53,12 +58,18 @@ class DigestIndex:
         """Known texts, or None where nothing was added yet."""
         return self.spark.read.table(self.name) if self.spark.catalog.tableExists(self.name) else None
 
+    def unknown(self, groups: DataFrame) -> DataFrame:
+        """The groups whose digest is not in the index; only they are shuffled, to its buckets."""
+        known = self.rows()
+        if known is None:
+            return groups
+        return groups.hint("merge").join(known.select(DIGEST), DIGEST, "left_anti")
+
     def add(self, groups: DataFrame) -> None:
         """Append the groups whose digest is not known."""
-        known = self.rows()
-        fresh = groups if known is None else groups.hint("merge").join(known.select(DIGEST), DIGEST, "left_anti")
         (
-            fresh.repartition(self.buckets, DIGEST)
+            self.unknown(groups)
+            .repartition(self.buckets, DIGEST)
             .write.format("parquet")
             .mode("append")
             .option("path", self.path)
@@ -68,16 +79,18 @@ class DigestIndex:
         )
 
 
-def deduplicated(df: DataFrame, index: DigestIndex, batch: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``df`` with ``text_sha256``, ``keep_id``, ``group_size`` (in this batch) and ``kept``.
-
-    ``batch`` names the rows that are added; rows of an earlier batch win.
-    """
-    others = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+def stamped(df: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True) -> DataFrame:
+    """``df`` with its digests and a place for each row, stored: the texts are read and hashed once."""
+    others = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns if keep_text or name != text])
     place = F.struct(
         F.col(f"`{doc_id}`").alias("id"), others.alias("hash"), F.monotonically_increasing_id().alias("number")
     )
     rows = with_columns(df, {DIGEST: digest_of(text), "_llm_place": place})
+    return written(rows if keep_text else rows.drop(text), "stamped")
+
+
+def judged(rows: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
+    """Stored rows of ``stamped``, added to the index, with ``keep_id``, ``group_size`` (in this batch) and ``kept``."""
     groups = rows.groupBy(DIGEST).agg(F.max("_llm_place").alias("keeper"), F.count("*").alias("group_size"))
     index.add(groups.select(DIGEST, "keeper", F.lit(batch).alias("batch")))
     fate = groups.select(DIGEST, "group_size").join(index.rows().hint("merge"), DIGEST)
@@ -87,3 +100,29 @@ def deduplicated(df: DataFrame, index: DigestIndex, batch: str, text: str = "tex
     return with_columns(
         joined, {"keep_id": F.col("_llm_keeper.id"), "group_size": F.col("group_size"), "kept": kept}
     ).drop("_llm_keeper", "_llm_batch", "_llm_place")
+
+
+def deduplicated(df: DataFrame, index: DigestIndex, batch: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``df`` with ``text_sha256``, ``keep_id``, ``group_size`` (in this batch) and ``kept``.
+
+    ``batch`` names the rows that are added; rows of an earlier batch win.
+    """
+    return judged(stamped(df, text, doc_id), index, batch)
+
+
+def largest_stays(
+    df: DataFrame, index: DigestIndex, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True
+) -> DataFrame:
+    """``df`` (without its texts, if they are not kept) with ``text_sha256``, ``keep_id``, ``group_size`` and ``kept``.
+
+    ``index`` is empty at first; ids are numbers.  The ids above the median go into it first, the rest
+    (NULL among them) meets them there; sizes count both halves.
+    """
+    rows = stamped(df, text, doc_id, keep_text)
+    id_of = F.col("_llm_place.id")
+    middle = rows.agg(F.percentile_approx(id_of, 0.5)).first()[0]
+    upper = F.coalesce(id_of > F.lit(middle), F.lit(False))
+    halves = [judged(rows.where(part), index, name) for part, name in ((upper, "larger ids"), (~upper, "other ids"))]
+    both = halves[0].unionByName(halves[1]).drop("group_size")
+    sizes = rows.groupBy(DIGEST).agg(F.count("*").alias("group_size"))
+    return match_keyed(both, sizes, [DIGEST], "inner")

@@ -33,6 +33,7 @@ from candlemill.operators.keyed import top_per_key
 SAMPLE_TEXTS = 256
 SAMPLE_CHARS = 2048
 SAMPLE_BYTES = 512
+SAMPLE_PARTS = 16
 DICTIONARY_BYTES = 128 << 10
 #: Bytes encoded at a time, and blanks behind a block: with them a few words are
 #: always encoded and never stored as they are, which would hide the difference.
@@ -59,7 +60,10 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, by
     labelled = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("hash"), F.col(text).cast("string").alias("text")
     )
-    chosen = top_per_key(labelled.select("lang", "hash").distinct(), ["lang"], [F.col("hash")], SAMPLE_TEXTS)
+    hashes = labelled.select("lang", "hash").distinct().withColumn("part", F.pmod("hash", F.lit(SAMPLE_PARTS)))
+    # First the smallest of each part, so that no task sees the candidates of a whole language.
+    few = top_per_key(hashes, ["lang", "part"], [F.col("hash")], SAMPLE_TEXTS).drop("part")
+    chosen = top_per_key(few, ["lang"], [F.col("hash")], SAMPLE_TEXTS)
     sample = (
         labelled.join(F.broadcast(chosen), ["lang", "hash"])
         .groupBy("lang", "hash")

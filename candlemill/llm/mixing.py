@@ -16,7 +16,7 @@ documents by range of position gives the training order.
 Running word counts need no pass over a whole source: the order is cut into
 blocks by the leading digits of the hash, blocks are summed on the map side, and
 the sums before a block are added to the running count inside it.  A source with
-a third of all rows is thereby spread over ``16 ** BLOCK_DIGITS`` groups.
+a third of all rows is thereby spread over many groups, whose number follows the row count.
 
 Defined results: a NULL text has no words and is never placed; a NULL source is
 a source of its own, last in order.  Rows equal in id and text stand next to
@@ -27,6 +27,7 @@ Further columns are kept, clashing names give way.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,7 +40,9 @@ WEIGHTS = (3, 1, 2)
 #: Schedules of the sources, repeating: knots (time, multiplier) from 0 to 1.
 #: The first comes in rising, the second is even, the third fades.
 SCHEDULES = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)))
-BLOCK_DIGITS = 3
+#: Leading digits of the hash that name a block: up to 16 ** 6 blocks a source, as many as hold ``BLOCK_ROWS`` rows.
+MOST_DIGITS = 6
+BLOCK_ROWS = 50_000
 
 
 def source_targets(
@@ -110,10 +113,12 @@ def assigned(
     # Sources as text keys that are never NULL: the NULL source sorts last.
     key = F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`").cast("string")), F.lit("~"))
     order = F.md5(F.concat(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("NULL")), F.lit(":"), whole_text(text)).cast("binary"))
+    # One more digit for each sixteenfold of the rows, three at least.
+    digits = min(MOST_DIGITS, max(3, math.ceil(math.log(max(1, df.count() / BLOCK_ROWS), 16)) + 1))
     rows = with_columns(
         df,
         {"size": F.regexp_count(whole_text(text), F.lit(WORD)).cast("long"), "_llm_source": key, "_llm_order": order},
-    ).withColumn("_llm_block", F.substring("_llm_order", 1, BLOCK_DIGITS))
+    ).withColumn("_llm_block", F.substring("_llm_order", 1, digits))
     rows = rows.drop("source_size", "target")
     blocks = rows.groupBy("_llm_source", "_llm_block").agg(F.sum("size").alias("_llm_words"))
     targets = source_targets(blocks.groupBy("_llm_source").agg(F.sum("_llm_words").alias("source_size")), weights, share, cap)
@@ -158,16 +163,27 @@ def assigned(
     ).drop(*[name for name in placed.columns if name.startswith("_llm_") and name not in df.columns])
 
 
-def curriculum(placed: DataFrame, columns: Sequence[str]) -> DataFrame:
+def head_words(text: Column, words: Column) -> Column:
+    """The beginning of a text up to the end of its so many-th word, blanks as they are."""
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.array_join(F.slice(pieces, 1, words), "")
+
+
+def curriculum(placed: DataFrame, columns: Sequence[str], text: str = "text") -> DataFrame:
     """The mix in training order: a row for each reading, sorted by ranges of position.
 
-    A document that is taken in part counts as read when at least half of it is.
+    The last reading of a document that is taken in part ends at the word up to
+    which it is taken, so a source's words in the mix are those it was given.
     """
-    whole = F.round(F.col("taken") / F.col("size")).cast("int")
+    left = (F.col("taken") - F.col("_llm_reading") * F.col("size")).cast("int")
+    # Few rows are cut: a source has one document that its target ends in.
+    read = F.when(left < F.col("size"), head_words(F.col(f"`{text}`"), left)).otherwise(F.col(f"`{text}`"))
+    kept = [read.alias(name) if name == text else F.col(f"`{name}`") for name in columns]
     return (
         placed.where(F.col("taken") > 0)
-        .withColumn("_llm_position", F.explode(F.slice("positions", 1, whole)))
+        .select("*", F.posexplode("positions").alias("_llm_reading", "_llm_position"))
+        .select(*kept, "_llm_position")
         .repartitionByRange("_llm_position")
         .sortWithinPartitions("_llm_position")
-        .select(*[F.col(f"`{name}`") for name in columns])
+        .drop("_llm_position")
     )

@@ -20,7 +20,8 @@ inner products, and the best of all tables are merged.
 Each different vector is indexed once, with its smallest ids, and each different
 query vector is searched once, so copies cost nothing.  Buckets are
 dealt to shards by their hash; a bucket with more than ``SHARD_ROWS`` vectors is
-salted over several.  Inside a shard, vectors meet the queries that visit their
+salted over several, and the queries that visit a shard are dealt to parts of
+``QUERY_PART``.  Inside a part, vectors meet the queries that visit their
 bucket, in blocks.  A query that found fewer than it should is compared with
 all shards, so small tables are searched exactly.
 
@@ -52,6 +53,8 @@ SEED = 7
 #: Vectors in a shard, and queries that are compared with them at a time.
 SHARD_ROWS = 65_536
 QUERY_BLOCK = 128
+#: Queries that one Python call holds, whatever share of them visits a place.
+QUERY_PART = 4096
 #: Largest norm of a band over its smallest, and vectors below which a band is not hashed.
 BAND = 2**0.5
 SPARSE_ROWS = 256
@@ -250,10 +253,20 @@ def _salted(hot: DataFrame | None, rows: DataFrame, spread: Column, replicate: b
     return joined.withColumn("salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("salts")
 
 
-def _matched(index: DataFrame, queries: DataFrame, most: int) -> DataFrame:
-    """(query, id, score): the best of each shard (place, length) for the queries there."""
+def _matched(index: DataFrame, queries: DataFrame, most: int, query_part: int = QUERY_PART) -> DataFrame:
+    """(query, id, score): the best of each shard (place, length) for the queries there.
+
+    The queries of a place are dealt to parts of ``query_part`` at most (a quarter less on
+    average, since they are dealt by hash), each of which meets the vectors of the place.
+    """
     place = ["place", "length"]
-    return index.groupBy(*place).cogroup(queries.groupBy(*place)).applyInArrow(
+    parts = queries.groupBy(*place).agg(F.ceil(F.count("*") * 1.25 / query_part).cast("int").alias("parts"))
+    parts = checkpointed(parts)
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    dealt = match_keyed(queries, parts, place, "inner").withColumn("part", part).drop("parts")
+    copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    copied = match_keyed(index, parts, place, "inner").withColumn("part", copies).drop("parts")
+    return copied.groupBy(*place, "part").cogroup(dealt.groupBy(*place, "part")).applyInArrow(
         compared(most), "query long, id long, score double"
     )
 

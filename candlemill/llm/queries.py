@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -26,7 +25,7 @@ from candlemill.llm import (
 )
 from candlemill.llm.common import WORD
 from candlemill.registry.base import Query, table
-from candlemill.workspace import new_folder
+from candlemill.workspace import new_folder, new_table, scratch, written, written_to
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -55,7 +54,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def new_index(spark: SparkSession) -> exact.DigestIndex:
     """An empty digest index of its own, so that a query never meets texts of another run."""
-    return exact.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", new_folder(spark, "digests"))
+    return exact.DigestIndex(spark, new_table("digests"), new_folder(spark, "digests"))
 
 
 # Every stretch of 35 words of a text by its place; those that start twice anywhere are repeats.
@@ -94,7 +93,12 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
-MIX = r"""
+# The integral of each schedule, inverted by hand: 0.5 + t, 1, and 1.5 - t up to the middle and from it.
+SCHEDULE_SQL = """case k % 3 when 0 then 2 * {y} / (0.5 + sqrt(0.25 + 2 * {y})) when 1 then {y}
+    else case when {y} <= 0.625 then 2 * {y} / (1.5 + sqrt(2.25 - 2 * {y}))
+         else 0.5 + 2 * ({y} - 0.625) / (1 + sqrt(1 - 2 * ({y} - 0.625))) end end"""
+
+MIX = rf"""
     with rows as (select doc_id, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
                          coalesce('s' || source, '~') as src,
                          md5(coalesce(cast(doc_id as varchar), 'NULL') || ':' || coalesce(text, '')) as h
@@ -109,27 +113,38 @@ MIX = r"""
                          / (sum(w) over () - coalesce(sum(w) over (order by most / w, encode(src)
                                     rows between unbounded preceding and 1 preceding), 0.0)) as lev from weighed),
     level as (select first(lev order by most / w, encode(src)) as lev from levels where lev * w <= most),
-    targets as (select src, source_size, least(most, coalesce((select lev from level) * w, most)) as target from levels),
+    targets as (select src, k, source_size, least(most, coalesce((select lev from level) * w, most)) as target from levels),
     running as (select r.*, coalesce(sum(size) over (partition by src order by h
                                     rows between unbounded preceding and 1 preceding), 0) as before from rows r),
-    placed as (select *, cast(floor(target + 0.5) as bigint) as total from running join targets using (src))
-    select doc_id, size, source_size, target,
-           cast(case when size = 0 then 0 else (total // source_size) * size
-                + least(size, greatest(0, total - (total // source_size) * source_size - before)) end as bigint) as taken
-    from placed
+    placed as (select *, cast(floor(target + 0.5) as bigint) as total from running join targets using (src)),
+    shared as (select *, cast(case when size = 0 then 0 else (total // source_size) * size
+                      + least(size, greatest(0, total - (total // source_size) * source_size - before)) end as bigint) as taken
+               from placed),
+    readings as (select *, cast(case when taken = 0 then 0 else (taken + size - 1) // size end as bigint) as readings from shared),
+    demand as (select *, before / total::double as y1, ((readings - 1) * source_size + before) / total::double as y2 from readings),
+    times as (select *, {SCHEDULE_SQL.format(y="y1")} as t1, {SCHEDULE_SQL.format(y="y2")} as t2 from demand)
+    select doc_id, size, source_size, target, taken, readings, case when readings > 0 then round(t1, 9) end as first_position,
+           case when readings > 0 then round(t2, 9) end as last_position
+    from times
 """
 
 
 @query("op4_source_mix", MIX)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken, and when the first and the last reading begin (``cap`` 2: there are no others), in training order."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    placed = mixing.assigned(documents).select("doc_id", "size", "source_size", "target", "taken", "positions")
-    return (
-        placed.withColumn("begin", F.coalesce(F.try_element_at("positions", F.lit(1)), F.lit(2.0)))
-        .repartitionByRange("begin")
-        .sortWithinPartitions("begin")
-        .select("doc_id", "size", "source_size", "target", "taken")
+    placed = mixing.assigned(documents)
+    order = F.xxhash64("doc_id", "text")  # documents that are never read stand behind all others, dealt by hash
+    mix = placed.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.size("positions").cast("long").alias("readings"),
+        F.round(F.get("positions", F.lit(0)), 9).alias("first_position"),
+        F.round(F.get("positions", F.size("positions") - 1), 9).alias("last_position"),
+        order.alias("_llm_order"),
     )
+    mix = written(mix, "mix")  # the ranges are sampled first, which would work the mix out twice
+    begin = F.coalesce("first_position", F.lit(2.0))
+    return mix.repartitionByRange(begin, "_llm_order").sortWithinPartitions(begin, "_llm_order").drop("_llm_order")
 
 
 @query("op5_feistel_shards")
@@ -159,10 +174,12 @@ def language_of(spark: SparkSession, sf_dir: str) -> DataFrame:
        from documents window w as (partition by coalesce(text, ''))""",
 )
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The larger half of the ids goes into an index, the rest meets it there; the index goes when the fates are written."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact.deduplicated(documents, new_index(spark), "documents").select(
-        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
-    )
+    path = new_folder(spark, "fates")
+    with scratch(spark):
+        fates = exact.largest_stays(documents, new_index(spark), keep_text=False)
+        return written_to(fates.select("doc_id", "keep_id", "group_size", "kept", "text_sha256"), path)
 
 
 @query("op8_byte_bpe")

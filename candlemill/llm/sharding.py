@@ -31,15 +31,23 @@ from pyspark.sql import functions as F
 
 from candlemill.llm.common import whole_text, with_columns
 
-#: Blocks that rows are numbered in; the table of their offsets has no more rows.
-BLOCKS = 4096
+#: Rows of a block that rows are numbered in, and the least and most blocks; the table of their
+#: offsets has no more rows than that, so it may go to every task.
+BLOCK_ROWS = 50_000
+BLOCKS, MOST_BLOCKS = 4096, 1 << 20
 ROUNDS = 6
 #: Walks are far shorter; a longer one raises an error instead of a wrong place.
 MOST_WALKS = 48
 
 
-def numbered(df: DataFrame, keys: list[Column], blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(rows: int) -> int:
+    """Blocks that so many rows are numbered in."""
+    return min(MOST_BLOCKS, max(BLOCKS, -(-rows // BLOCK_ROWS)))
+
+
+def numbered(df: DataFrame, keys: list[Column], blocks: int | None = None) -> DataFrame:
     """``df`` with ``_llm_number`` from 0 without gaps, and ``_llm_rows``, their count."""
+    blocks = blocks or blocks_for(df.count())
     rows = with_columns(df, {"_llm_hash": F.xxhash64(*keys)}).withColumn(
         "_llm_block", F.pmod("_llm_hash", F.lit(blocks)).cast("int")
     )

@@ -65,3 +65,32 @@ def test_empty_table_and_clashing_columns(spark, documents):
     df = documents([(1, "x"), (2, "x")], group_size=F.lit("old"), Kept=F.lit(1), note=F.lit("n"))
     rows = exact.deduplicated(df, queries.new_index(spark), "b").collect()
     assert sorted((r["doc_id"], r["group_size"], r["kept"], r["note"]) for r in rows) == [(1, 2, False, "n"), (2, 2, True, "n")]
+
+
+def test_the_second_half_meets_the_first_in_the_index(spark, documents, monkeypatch):
+    rows = [(i, f"t{i % 13}") for i in range(60)] + [(None, "t1"), (None, "alone"), (3, "t3"), (3, "t3"), (70, None), (1, "")]
+    seen = []
+    unknown = exact.DigestIndex.unknown
+    monkeypatch.setattr(exact.DigestIndex, "unknown", lambda self, groups: seen.append(unknown(self, groups)) or seen[-1])
+    index = queries.new_index(spark)
+    found = collections.Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact.largest_stays(documents(rows), index).collect())
+    groups = collections.defaultdict(list)
+    for doc, text in rows:
+        groups[text or ""].append(doc)
+    keeper = {text: max(ids, key=lambda i: (i is not None, i)) for text, ids in groups.items()}
+    assert collections.Counter((doc, keep, n) for doc, keep, n, _ in found.elements()) == collections.Counter(
+        (doc, keeper[text or ""], len(groups[text or ""])) for doc, text in rows
+    )
+    assert sum(n for (*_, kept), n in found.items() if kept) == len(groups)
+    assert all(doc == keep for doc, keep, _, kept in found if kept)
+    assert index.rows().count() == len(groups)
+    plan = seen[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan
+    assert {row["batch"] for row in index.rows().collect()} == {"larger ids", "other ids"}
+
+
+def test_the_query_leaves_nothing_behind(spark, smallest):
+    before = {table.name for table in spark.catalog.listTables()}
+    fates = queries.QUERIES["op7_exact_dedup"](spark, smallest)
+    assert {table.name for table in spark.catalog.listTables()} == before
+    assert fates.where("kept").count() == fates.select("text_sha256").distinct().count()

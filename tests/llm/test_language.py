@@ -1,6 +1,11 @@
 """Languages by compression: held-out accuracy, rejections, odd rows."""
 
+import collections
+import zlib
+
 import pytest
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from candlemill.llm import language, queries
@@ -57,3 +62,57 @@ def test_held_out_accuracy(spark, sf_dir):
     found = queries.QUERIES["op6_language"](spark, sf_dir).join(langs, "doc_id").where("held_out")
     right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
     assert n > 200 and right >= 0.97
+
+
+def sampled(rows):
+    """A dictionary per language: of its different texts those with the smallest hashes."""
+    by_lang = collections.defaultdict(dict)
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            h = xxhash.xxh64_intdigest(text.encode(), 42)
+            by_lang[lang][h - 2**64 if h >= 2**63 else h] = text
+    found = {}
+    for lang, texts in by_lang.items():
+        raw = b""
+        for h in sorted(texts)[: language.SAMPLE_TEXTS]:
+            words = language.plain(texts[h][: language.SAMPLE_CHARS])
+            if words:
+                raw = (raw + b" " + words[: language.SAMPLE_BYTES])[: language.DICTIONARY_BYTES]
+        found[lang] = raw
+    return found
+
+
+def sizes(text, dictionaries):
+    """Compressed bytes of a text under each dictionary, one block and one fresh compressor at a time."""
+    params = zstandard.ZstdCompressionParameters(
+        window_log=18, hash_log=16, chain_log=16, search_log=5, min_match=4, target_length=32,
+        strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
+    words, found = language.plain(text), {}
+    for lang, raw in dictionaries.items():
+        known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(compression_params=params)
+        found[lang] = 0
+        for at in range(0, len(words), language.BLOCK):
+            packed = zstandard.ZstdCompressor(compression_params=params, dict_data=known).compress(words[at : at + language.BLOCK] + language.PADDING)
+            found[lang] += len(packed)
+    return found
+
+
+def test_query_against_a_plain_loop(spark, smallest):
+    documents = spark.read.parquet(f"{smallest}/documents.parquet").collect()
+    learned = sampled([(r["text"], r["lang"]) for r in documents if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2])
+    assert learned == queries.learned_languages(spark.read.parquet(f"{smallest}/documents.parquet"))
+    found = {row["doc_id"]: row for row in queries.QUERIES["op6_language"](spark, smallest).collect()}
+    for row in documents:
+        pred, score = "und", 0.0
+        if row["text"] and any(c.isalpha() for c in row["text"]):
+            first, second = sorted((n, lang) for lang, n in sizes(row["text"], learned).items())[:2]
+            pred, score = first[1], 1 - first[0] / second[0]
+        assert (found[row["doc_id"]]["lang_pred"], found[row["doc_id"]]["score"]) == (pred, pytest.approx(score, abs=1e-12))
+
+
+def test_sample_of_a_language_with_many_texts(spark, speech):
+    rows = [(speech("aa", 12, i), "aa") for i in range(700)] + [(speech("bb", 12, i), "bb") for i in range(40)] + [(None, "aa"), ("x", None)]
+    df = spark.createDataFrame(rows * 2, "text string, lang string").repartition(7)
+    assert language.fit(df) == sampled(rows)

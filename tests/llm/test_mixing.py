@@ -69,15 +69,35 @@ def test_positions_follow_the_schedule(documents, words):
         assert below == pytest.approx(area / whole, abs=0.01)
 
 
-def test_curriculum_is_in_order_and_keeps_whole_documents(documents, words):
+def test_curriculum_reads_the_words_that_are_taken(documents, words):
     rows = rows_of(words)
     placed = mixing.assigned(documents(rows)).cache()
-    mix = mixing.curriculum(placed, ["doc_id", "text"]).collect()
-    times = collections.Counter(row["doc_id"] for row in mix)
+    mix = mixing.curriculum(placed, ["doc_id", "source", "text"]).collect()
+    read, texts = collections.defaultdict(list), {row[0]: row[1] for row in rows}
+    for row in mix:
+        read[row["doc_id"]].append(row["text"])
+    cut = 0
     for row in placed.collect():
-        assert abs(times[row["doc_id"]] * row["size"] - row["taken"]) <= row["size"] / 2
-    texts = {row[0]: row[1] for row in rows}
-    assert all(row["text"] == texts[row["doc_id"]] for row in mix)
+        whole, rest = divmod(row["taken"], max(1, row["size"]))
+        found = sorted(read[row["doc_id"]], key=len, reverse=True)
+        assert found[:whole] == [texts[row["doc_id"]]] * whole and len(found) == whole + bool(rest)
+        if rest:
+            assert found[-1] == " ".join(texts[row["doc_id"]].split(" ")[:rest])
+        cut += bool(rest)
+    assert 0 < cut <= len({row[3] for row in rows})
+
+
+def test_one_very_long_document_is_read_in_part(documents, words):
+    """A source that is one document gets exactly the words of its target, blanks as they are."""
+    long = "\n" + words(3000, 5).replace(" ", " \t", 1000) + " "
+    rows = [(i, words(10, i), "en", "a") for i in range(300)] + [(900, long, "en", "b")]
+    placed = mixing.assigned(documents(rows), share=0.2).cache()
+    mix = mixing.curriculum(placed, ["doc_id", "source", "text"]).collect()
+    for source in "ab":
+        taken = sum(row["taken"] for row in placed.where(F.col("source") == source).collect())
+        assert sum(len(row["text"].split()) for row in mix if row["source"] == source) == taken > 0
+    (part,) = [row["text"] for row in mix if row["source"] == "b"]
+    assert long.startswith(part) and part[-1] not in " \t\n" and len(part) < len(long) / 2
 
 
 def test_odd_rows(documents, odd_texts):

@@ -115,3 +115,27 @@ def test_query_recall(spark, sf_dir):
     assert found.keys() == wanted.keys()
     hits = sum(len({i for i, _ in found[q]} & {i for i, _ in wanted[q]}) for q in wanted)
     assert hits >= 0.9 * 20 * len(wanted)
+
+
+def test_no_call_gets_more_queries_than_a_part(spark, monkeypatch):
+    """One outlier norm: all queries visit the sparse bands, in parts."""
+    random = np.random.default_rng(5)
+    vectors = random.normal(size=(900, 6))
+    vectors[0] *= 50
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    wanted = answers(neighbours.nearest(frame(spark, rows), F.lit(True), k=5))
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(most, inner=neighbours.compared):
+        compare = inner(most)
+
+        def call(left, right):
+            assert right.num_rows <= 64, right.num_rows
+            calls.add(1)
+            return compare(left, right)
+
+        return call
+
+    monkeypatch.setattr(neighbours, "compared", counted)
+    monkeypatch.setattr(neighbours._matched, "__defaults__", (64,))
+    assert answers(neighbours.nearest(frame(spark, rows), F.lit(True), k=5)) == wanted

@@ -2,13 +2,16 @@
 
 import collections
 import hashlib
+import os
 
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlemill.llm import bpe, queries
+from candlemill.workspace import shared_root, written
 from llm_brute import brute_groups, brute_print
 
 
@@ -73,7 +76,8 @@ def test_mix(spark, corpus):
     for row in corpus.collect():
         size[row["doc_id"]] = len((row["text"] or "").split())
     taken = sum(len(row["text"].split()) for row in mix.collect())
-    assert taken == pytest.approx(1.5 * sum(size.values()), rel=0.05)
+    assert taken == pytest.approx(1.5 * sum(size.values()), abs=len({row["source"] for row in corpus.collect()}))
+    assert all(row["n_chars"] == len(row["text"]) for row in mix.collect())
     assert max(collections.Counter(row["doc_id"] for row in mix.collect()).values()) <= 2
 
 
@@ -105,3 +109,24 @@ def test_empty_documents(spark, documents):
     for _, function in corpus_pipeline.STAGES:
         docs = function(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_extra_and_clashing_columns_go(spark, documents, speech):
+    rows = [(i, speech("aa", 40, i % 7), "en", "s") for i in range(30)] + [(40, None, None, None), (None, speech("bb", 30, 3), "xx", None)]
+    names = ["lang_pred", "kept", "KEEP_ID", "fingerprint", "positions", "Size", "token_ids", "n_tokens"]
+    docs = documents(rows, **{name: F.lit("old") for name in names})
+    plain, wide = documents(rows), docs
+    for name, function in corpus_pipeline.STAGES:
+        plain, wide = function(spark, plain, ""), function(spark, wide, "")
+        assert wide.columns == plain.columns
+        assert collections.Counter(map(str, wide.collect())) == collections.Counter(map(str, plain.collect())), name
+        plain, wide = (written(df, "stage") for df in (plain, wide))
+
+
+def test_nothing_is_left_behind_but_the_result(spark, smallest):
+    root = shared_root(spark).removeprefix("file:")
+    before, tables = set(os.listdir(root)), {table.name for table in spark.catalog.listTables()}
+    found = corpus_pipeline.run(spark, smallest)
+    left = {name for name in set(os.listdir(root)) - before if "-" in name and name.split("-")[0].isalpha()}
+    assert len(left) == 1 and found.count() > 0
+    assert {table.name for table in spark.catalog.listTables()} == tables

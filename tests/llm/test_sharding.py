@@ -1,9 +1,12 @@
 """The permutation, its inverse, and places without gaps."""
 
 import collections
+import math
+import struct
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from candlemill.llm import queries, sharding
@@ -67,3 +70,50 @@ def test_query(spark, sf_dir):
     found = queries.QUERIES["op5_feistel_shards"](spark, sf_dir).collect()
     check(found, 16)
     assert sorted(row["number"] for row in found) == list(range(len(found)))
+
+
+def xx(*values, seed=42):
+    """Spark's xxhash64 of texts, 64-bit and (as a 1-tuple) 32-bit numbers: each value is seeded with the last hash."""
+    for value in values:
+        data = value.encode() if isinstance(value, str) else struct.pack("<i", *value) if isinstance(value, tuple) else struct.pack("<q", value)
+        seed = xxhash.xxh64_intdigest(data, seed % 2**64)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def placed(rows, shards, seed=2025, blocks=sharding.BLOCKS):
+    """(doc_id, crc, number, shard, slot) of each row, one number and one walk at a time."""
+    keyed = []
+    for doc, text in rows:
+        keys = ("NULL" if doc is None else str(doc), xx(text or ""), zlib.crc32((text or "").encode()))
+        keyed.append((xx(*keys) % blocks, xx(*keys), keys, doc))
+    n, found = len(rows), []
+    a = math.isqrt(n - 1) + 1
+    b = -(-n // a)
+    for number, (_, _, keys, doc) in enumerate(sorted(keyed, key=lambda row: row[:3])):
+        image = number
+        while True:
+            left, right = image % a, image // a
+            for turn in range(sharding.ROUNDS):
+                if turn % 2:
+                    right = (right + xx(left, (seed,), (turn,)) % b) % b
+                else:
+                    left = (left + xx(right, (seed,), (turn,)) % a) % a
+            image = right * a + left
+            if image < n:
+                break
+        found.append((doc, keys[2], number, image % shards, image // shards))
+    return collections.Counter(found)
+
+
+def test_places_against_a_plain_walk(spark, documents, odd_texts, smallest):
+    rows = list(enumerate(odd_texts)) + [(i, f"text {i % 50}") for i in range(20, 400)] + [(None, "x"), (None, None), (7, "x"), (7, "x")]
+    found = sharding.sharded(documents(rows), 5, seed=9).select("doc_id", "text_crc32", "number", "shard", "slot").collect()
+    assert collections.Counter(map(tuple, found)) == placed(rows, 5, 9)
+    rows = [tuple(r) for r in spark.read.parquet(f"{smallest}/documents.parquet").select("doc_id", "text").collect()]
+    found = queries.QUERIES["op5_feistel_shards"](spark, smallest).select("doc_id", "text_crc32", "number", "shard", "slot").collect()
+    assert collections.Counter(map(tuple, found)) == placed(rows, 16)
+
+
+def test_blocks_follow_the_rows():
+    assert sharding.blocks_for(10) == sharding.blocks_for(100_000_000) == sharding.BLOCKS
+    assert sharding.blocks_for(10**9) == 20_000 and sharding.blocks_for(10**15) == sharding.MOST_BLOCKS
