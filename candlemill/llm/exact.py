@@ -66,10 +66,11 @@ class DigestIndex:
         return groups.hint("merge").join(known.select(DIGEST), DIGEST, "left_anti")
 
     def add(self, groups: DataFrame) -> None:
-        """Append the groups whose digest is not known."""
+        """Append the groups whose digest is not known, one file for each bucket."""
+        bucket = F.pmod(F.hash(DIGEST), F.lit(self.buckets))  # how Spark numbers the buckets of a table
         (
             self.unknown(groups)
-            .repartition(self.buckets, DIGEST)
+            .repartitionById(self.buckets, bucket)
             .write.format("parquet")
             .mode("append")
             .option("path", self.path)
@@ -121,8 +122,14 @@ def largest_stays(
     rows = stamped(df, text, doc_id, keep_text)
     id_of = F.col("_llm_place.id")
     middle = rows.agg(F.percentile_approx(id_of, 0.5)).first()[0]
-    upper = F.coalesce(id_of > F.lit(middle), F.lit(False))
-    halves = [judged(rows.where(part), index, name) for part, name in ((upper, "larger ids"), (~upper, "other ids"))]
-    both = halves[0].unionByName(halves[1]).drop("group_size")
-    sizes = rows.groupBy(DIGEST).agg(F.count("*").alias("group_size"))
-    return match_keyed(both, sizes, [DIGEST], "inner")
+    upper = F.coalesce(id_of > F.lit(middle), F.lit(False)).alias("upper")
+    groups = rows.groupBy(DIGEST, upper).agg(F.max("_llm_place").alias("keeper"), F.count("*").alias("_llm_size"))
+    groups = written(groups, "groups")
+    for part, name in (("upper", "larger ids"), ("not upper", "other ids")):
+        index.add(groups.where(part).select(DIGEST, "keeper", F.lit(name).alias("batch")))
+    sizes = groups.groupBy(DIGEST).agg(F.sum("_llm_size").alias("_llm_size"))
+    fate = sizes.join(index.rows().hint("merge").select(DIGEST, F.col("keeper").alias("_llm_keeper")), DIGEST)
+    joined = match_keyed(rows, fate, [DIGEST], "inner")
+    # A place is one row's alone.
+    added = {"keep_id": F.col("_llm_keeper.id"), "group_size": F.col("_llm_size"), "kept": F.col("_llm_keeper").eqNullSafe(F.col("_llm_place"))}
+    return with_columns(joined, added).drop("_llm_keeper", "_llm_size", "_llm_place")
