@@ -121,11 +121,15 @@ def without_shared_lines(
 
 def kept_text(text: str = "text", dropped: str = "dropped") -> Column:
     """The lines of a text that stay, joined again."""
-    gone, lines = F.col(dropped), lines_of(text)
+    gone = F.col(dropped)
 
-    def stay(i: Column) -> Column:
-        begin = F.coalesce(F.get(gone, i - 1)["stop"], F.lit(0))
-        return F.slice(lines, begin + 1, F.coalesce(F.get(gone, i)["first"], F.size(lines)) - begin)
+    def joined(lines: Column) -> Column:
+        def stay(i: Column) -> Column:
+            begin = F.coalesce(F.get(gone, i - 1)["stop"], F.lit(0))
+            return F.slice(lines, begin + 1, F.coalesce(F.get(gone, i)["first"], F.size(lines)) - begin)
 
-    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), stay)), "\n")
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), stay)), "\n")
+
+    # The text is split once, not for each stretch.
+    kept = F.element_at(F.transform(F.array(lines_of(text)), joined), 1)
     return F.when(F.size(gone) == 0, whole_text(text)).otherwise(kept)
