@@ -260,6 +260,7 @@ def _matched(index: DataFrame, queries: DataFrame, most: int, query_part: int =
     average, since they are dealt by hash), each of which meets the vectors of the place.
     """
     place = ["place", "length"]
+    queries = checkpointed(queries)  # counted and dealt, but probed once
     parts = queries.groupBy(*place).agg(F.ceil(F.count("*") * 1.25 / query_part).cast("int").alias("parts"))
     parts = checkpointed(parts)
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
