@@ -1,7 +1,8 @@
 """Byte-level BPE by replaying the merges over a corpus of words.
 
-Every batch of texts is a corpus.  The split pattern cuts it into words, of which
-each different one is held once, as a row of linked symbols in flat arrays.  An
+The texts of a task are a corpus, worked through in loads.  The split pattern cuts
+them into words, of which each different one is held and merged once; the new words of a
+load are a row of linked symbols in flat arrays.  An
 inverted index from the rank of a pair's merge to the positions of that pair is
 then replayed in rank order: all positions of a rank are merged at once, only
 the pairs to the left and right of a merge are looked up anew, and what they can
@@ -9,12 +10,13 @@ become is filed under its rank.  Positions that were merged away or changed sinc
 filed are skipped.  Texts are the symbols of their words in sequence.
 
 This is the greedy rule of the library (the lowest rank first, the leftmost of
-equals), taken for all words of a batch together: words are independent, and a
+equals), taken for all words of a load together: words are independent, and a
 merge of rank r only ever has to wait for lower ranks of its own word.  As in
 the library, a word that is a vocabulary entry is that entry.
 
-Corpora are batches and not the whole table on purpose: looking the words of
+Corpora are tasks and not the whole table on purpose: looking the words of
 all texts up in a table of all words would shuffle every word of every text.
+What a task keeps of its words is bounded by ``KNOWN_BYTES``; beyond it, it begins anew.
 Long texts are cut in front of white space that follows other characters, where
 the pattern never matches across, so a batch's memory is bounded.
 
@@ -28,6 +30,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ from candlemill.llm.common import loads, modest_batches, whole_text, with_column
 #: Bytes of a corpus, and characters of the parts that long texts are cut into.
 CORPUS_BYTES = 2_000_000
 PART_CHARS = 1_000_000
+#: Bytes of different words that a task keeps with their ids.
+KNOWN_BYTES = 16 << 20
 #: Behind it the split pattern starts a new match, whatever follows.
 _EDGE = regex.compile(r"(?<=\S)(?=\s)")
 
@@ -71,7 +76,9 @@ def _once(parts: list[np.ndarray]) -> np.ndarray:
 class Replay:
     """The merges of a vocabulary, applied to corpora of words."""
 
-    def __init__(self, entries: list[bytes]):
+    def __init__(self, entries: list[bytes], known_bytes: int = KNOWN_BYTES):
+        self.known_bytes = known_bytes
+        self._forget()
         self.entries = entries
         self.rank = {entry: rank for rank, entry in enumerate(entries)}
         self.byte_rank = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
@@ -156,21 +163,36 @@ class Replay:
         counts = np.add.reduceat(alive, starts, dtype=np.int64) if size else np.zeros(0, np.int64)
         return symbol[alive], np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
+    def _forget(self) -> None:
+        """Begin a new corpus."""
+        self.number, self.held = _Numbers(), 0
+        self.ids, self.begins = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Merge new words and keep their ids behind those of the words before."""
+        ids, begins = self.encode_words(words)
+        self.ids = np.concatenate([self.ids, ids])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + begins[1:]])
+        self.held += sum(map(len, words))
+
     def encode(self, texts: list[str], pattern) -> list[np.ndarray]:
-        """Ids of each text."""
-        number = _Numbers()
+        """Ids of each text; words that earlier texts had are not merged again."""
+        if self.held > self.known_bytes:
+            self._forget()
+        before = len(self.number)
         sequences = []
         for text in texts:
             sequences.append(
                 np.concatenate(
                     [np.zeros(0, np.int64)]
                     + [
-                        np.fromiter(map(number.__getitem__, pattern.findall(part)), np.int64)
+                        np.fromiter(map(self.number.__getitem__, pattern.findall(part)), np.int64)
                         for part in parts_of(text, PART_CHARS)
                     ]
                 )
             )
-        ids, begins = self.encode_words([word.encode() for word in number])
+        self._learn([word.encode() for word in islice(self.number, before, None)])
+        ids, begins = self.ids, self.begins
         lengths = np.diff(begins)
         encoded = []
         for sequence in sequences:

@@ -76,3 +76,17 @@ def test_query(spark, smallest, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_words_are_merged_once_per_corpus(library, monkeypatch):
+    dice = random.Random(12)
+    vocabulary = ["".join(dice.choice("abcdeé") for _ in range(dice.randrange(1, 9))) for _ in range(300)]
+    loads = [[" ".join(dice.choice(vocabulary) for _ in range(80)) for _ in range(5)] for _ in range(12)]
+    for known, most in ((1 << 20, 1), (200, 12)):
+        replay, merged = bpe.Replay(bpe.read_ranks(queries.RANKS), known), []
+        encode_words = replay.encode_words
+        replay.encode_words = lambda words: merged.append(words) or encode_words(words)
+        for texts in loads:
+            assert [ids.tolist() for ids in replay.encode(texts, PATTERN)] == [library.encode_ordinary(text) for text in texts]
+        times = max(sum(word in words for words in merged) for word in set(sum(merged, [])))
+        assert times <= most and (known > 200 or times > 1)
