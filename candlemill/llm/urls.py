@@ -15,6 +15,7 @@ Defined results: a NULL url, or one without ``://``, has an empty host and path
 and counts as a host of its own.  Outcomes with a NULL label are left out.
 Without any outcome the rate is that of ``NO_EVIDENCE``.  Rows are judged one by
 one, so repeated rows count as often as they come; an empty table gives no rows.
+Very long urls are read whole: their hosts may be as long as they are.
 Further columns are kept, clashing names give way.
 """
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from candlemill.llm.common import with_columns
 from candlemill.operators.keyed import match_keyed
+from candlemill.workspace import checkpointed
 
 #: (verdict, rule) where a rule is host and path, such as ``example.org/es/``.
 Rules = Sequence[tuple[str, str]]
@@ -50,10 +52,25 @@ def host_and_path(url: str) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def domain_and_suffix(host: Column) -> tuple[Column, Column]:
-    """The last two labels and the last one of a host, without a port."""
+def domain_and_suffix(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, Column]:
+    """The registered domain and the suffix of a host, without a port.
+
+    The suffix is the longest one listed in ``suffixes`` (such as ``co.uk``), else the last
+    label; the domain has one label more.
+    """
     labels = F.split(F.regexp_replace(host, r":\d*$", ""), r"\.")
-    return F.array_join(F.slice(labels, -F.least(F.lit(2), F.size(labels)), 2), "."), F.element_at(labels, -1)
+
+    def tail(count: Column | int) -> Column:
+        most = F.least(F.lit(count) if isinstance(count, int) else count, F.size(labels))
+        return F.array_join(F.slice(labels, -most, most), ".")
+
+    if not suffixes:
+        return tail(2), tail(1)
+    listed = F.split(F.lit(" ".join(sorted(suffixes))), " ")
+    longest = max(suffix.count(".") + 1 for suffix in suffixes)
+    fitting = F.filter(F.sequence(F.lit(1), F.lit(longest)), lambda n: (n <= F.size(labels)) & F.array_contains(listed, tail(n)))
+    count = F.coalesce(F.array_max(fitting), F.lit(1))
+    return tail(count + 1), tail(count)
 
 
 def fitting_rule(host: Column, path: Column, rules: Rules) -> tuple[Column, Column]:
@@ -87,13 +104,14 @@ def _strength(level: DataFrame, mean: float) -> float:
     return STRONGEST if beyond <= 0 else min(STRONGEST, max(WEAKEST, 1.0 / beyond - 1.0))
 
 
-def reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
+def reputation(hosts: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     """``bad_mean`` and ``bad_bound`` (lower) for every row of ``hosts`` (``host``, each once).
 
-    ``outcomes`` has ``host`` and ``bad`` (0 or 1) for each labelled page.
+    ``outcomes`` has ``host`` and ``bad`` (0 or 1) for each labelled page.  The hosts with
+    outcomes are counted once and kept, as every level is made of them.
     """
-    domain, suffix = domain_and_suffix(F.col("host"))
-    counted = (
+    domain, suffix = domain_and_suffix(F.col("host"), suffixes)
+    counted = checkpointed(
         outcomes.where(F.col("bad").isNotNull())
         .groupBy("host")
         .agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
@@ -121,12 +139,17 @@ def reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
     return found.select("host", "bad_mean", (F.col("bad_mean") - DEVIATIONS * deviation).alias("bad_bound"))
 
 
-def judged(pages: DataFrame, rules: Rules, outcomes: DataFrame, url: str = "url", limit: float = LIMIT) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``bad_mean`` and ``bad_bound``."""
+def judged(
+    pages: DataFrame, rules: Rules, outcomes: DataFrame, url: str = "url", limit: float = LIMIT, suffixes: Sequence[str] = ()
+) -> DataFrame:
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``bad_mean`` and ``bad_bound``.
+
+    ``suffixes`` lists the suffixes of more than one label below which domains are registered.
+    """
     host, path = host_and_path(url)
     rows = with_columns(pages, {"host": host, "path": path})
     verdict, name = fitting_rule(F.col("host"), F.col("path"), rules)
-    known = reputation(rows.select("host").distinct(), outcomes)
+    known = reputation(rows.select("host").distinct(), outcomes, suffixes)
     found = match_keyed(rows.drop("bad_mean", "bad_bound"), known, ["host"], "left")
     own = F.when(F.col("bad_bound") > limit, "block").otherwise("allow")
     return with_columns(

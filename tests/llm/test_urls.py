@@ -105,3 +105,33 @@ def test_outcomes_come_from_the_number_in_the_url(spark):
     labels = spark.createDataFrame([(12, 1, 0), (13, 0, 0), (14, 1, 1), (99, 0, 0)], "doc_id long, quality int, toxic int")
     found = queries.page_outcomes(df, labels).collect()
     assert sorted(map(tuple, found)) == [("a.net", 0), ("a.net", 1), ("b.net", 1)]
+
+
+def test_listed_suffixes_of_several_labels(spark):
+    hosts = ["shop.a.co.uk:8080", "a.co.uk", "co.uk", "b.org", "x.city.kawasaki.jp", "uk", ""]
+    domain, suffix = urls.domain_and_suffix(F.col("host"), ["co.uk", "uk", "city.kawasaki.jp", "jp"])
+    found = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", domain.alias("d"), suffix.alias("s"))
+    assert {r["host"]: (r["d"], r["s"]) for r in found.collect()} == {
+        "shop.a.co.uk:8080": ("a.co.uk", "co.uk"), "a.co.uk": ("a.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "b.org": ("b.org", "org"),
+        "x.city.kawasaki.jp": ("x.city.kawasaki.jp", "city.kawasaki.jp"), "uk": ("uk", "uk"), "": ("", ""),
+    }
+
+
+def test_neighbours_below_a_listed_suffix_share_no_domain(spark):
+    """Without the list all of co.uk is one domain, and its bad part speaks for the rest."""
+    labelled = outcomes(spark, [("bad.co.uk", 1)] * 100 + [("z.com", 0)] * 100)
+    hosts = spark.createDataFrame([("new.co.uk",), ("sub.bad.co.uk",)], "host string")
+    plain = {r["host"]: r["bad_mean"] for r in urls.reputation(hosts, labelled).collect()}
+    listed = {r["host"]: r["bad_mean"] for r in urls.reputation(hosts, labelled, ["co.uk"]).collect()}
+    assert plain["new.co.uk"] == plain["sub.bad.co.uk"]
+    assert listed["sub.bad.co.uk"] > listed["new.co.uk"]
+
+
+def test_very_long_urls(spark):
+    long = "x" * 200_000
+    df = pages(spark, [f"http://{long}.info/{long}?{long}", f"http://a.example.org/es/{long}", f"{long}://b.net/#{long}"])
+    found = urls.judged(df, queries.RULES, outcomes(spark, [("b.net", 1)] * 300 + [("fine.com", 0)] * 3000)).orderBy("page_id").collect()
+    assert [(r["host"], r["rule"], r["verdict"]) for r in found] == [
+        (f"{long}.info", None, "allow"), ("a.example.org", "example.org/es/", "block"), ("b.net", None, "block"),
+    ]
+    assert found[0]["path"] == f"/{long}"
