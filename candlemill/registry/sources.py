@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from candlemill.operators.profile import partition_sizes
 from candlemill.registry.base import TABLES, query, table
 from candlemill.sinks.tables import export_csv, save_bucketed
 from candlemill.sources.catalog import table_list
@@ -248,3 +249,32 @@ def _expired_files(spark, d):
     events.repartition("day").write.partitionBy("day").json(folder)
     cutoff = F.date_sub(F.lit("2024-02-10").cast("date"), 30)
     return expired_files(spark, folder, cutoff).select("landed").distinct()
+
+
+def _layout(df):
+    """Partitions that have rows, and all rows."""
+    return partition_sizes(df).agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
+
+
+@query("layout_repartition", "select 12 as partitions, count(*) as rows from lineitem")
+def _layout_repartition(spark, d):
+    """Rows dealt in turn to twelve partitions."""
+    return _layout(table(spark, d, "lineitem").select("l_orderkey").repartition(12)).select(F.col("partitions").cast("int"), "rows")
+
+
+@query("layout_coalesce", "select 5 as partitions, count(*) as rows from lineitem")
+def _layout_coalesce(spark, d):
+    """The same partitions joined to five, without another shuffle."""
+    dealt = table(spark, d, "lineitem").select("l_orderkey").repartition(12)
+    return _layout(dealt.coalesce(5)).select(F.col("partitions").cast("int"), "rows")
+
+
+@query(
+    "layout_by_key",
+    "select l_suppkey, 1 as partitions, count(*) as rows from lineitem group by 1",
+)
+def _layout_by_key(spark, d):
+    """After a repartition by key, all rows of a key are in one partition."""
+    dealt = table(spark, d, "lineitem").select("l_suppkey").repartition(12, "l_suppkey")
+    of_keys = dealt.groupBy("l_suppkey", F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
+    return of_keys.groupBy("l_suppkey").agg(F.count("*").cast("int").alias("partitions"), F.sum("rows").alias("rows"))

@@ -173,10 +173,14 @@ class KeyedTable:
         return fresh.hint("merge").join(stored.select(*self.keys), list(self.keys), "left_anti")
 
     def insert(self, batch: DataFrame) -> None:
-        """Append what is absent; the same batch again appends nothing."""
+        """Append what is absent; the same batch again appends nothing.
+
+        Rows are dealt by the very bucket they go to, so an insert writes one file for each.
+        """
+        bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))  # how Spark numbers the buckets of a table
         (
             self.absent(batch)
-            .repartition(self.buckets, *self.keys)
+            .repartitionById(self.buckets, bucket)
             .write.format("parquet")
             .mode("append")
             .option("path", self.path)

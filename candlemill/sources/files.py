@@ -22,7 +22,8 @@ def split_records(lines: DataFrame, schema: T.StructType | str, line: str = "val
     shape = lines.sparkSession.createDataFrame([], schema).schema
     whole = T.StructType([*shape.fields, T.StructField(_BROKEN, T.StringType())])
     record = F.from_json(F.col(line), whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
-    told = lines.where(F.trim(line) != "").withColumn("_record", record)
+    # Out of a generator, the record is parsed once and not again in each condition.
+    told = lines.where(F.trim(line) != "").select("*", F.explode(F.array(record)).alias("_record"))
     # A top-level list would be read up to its first record only.
     single = F.ltrim(line).startswith("{") & F.col("_record").isNotNull()
     fits = F.col(f"_record.{_BROKEN}").isNull()

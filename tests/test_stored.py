@@ -181,6 +181,7 @@ def test_the_table_is_not_shuffled_for_an_insert(spark):
     left, _, right = join.rpartition("+- Sort")
     assert "Exchange" not in right and "FileScan" in right and "Exchange" in left
     assert stored.absent(days).count() == 0
+    assert len([name for name in os.listdir(stored.path.removeprefix("file:")) if name.endswith(".parquet")]) == 16
     stored.insert(spark.createDataFrame([(None, D("2000-01-01"), 1), (99, None, 1), (99, D("2000-01-01"), 1)], "code long, day date, id long"))
     assert stored.rows().count() == 3001
 
