@@ -133,18 +133,18 @@ MIX = rf"""
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken, and when the first and the last reading begin (``cap`` 2: there are no others), in training order."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    placed = mixing.assigned(documents)
-    order = F.xxhash64("doc_id", "text")  # documents that are never read stand behind all others, dealt by hash
+    # Documents that are never read stand behind all others, dealt by hash; the texts stay behind.
+    placed = mixing.assigned(documents.withColumn("_llm_hash", F.xxhash64("doc_id", "text")))
     mix = placed.select(
         "doc_id", "size", "source_size", "target", "taken",
         F.size("positions").cast("long").alias("readings"),
         F.round(F.get("positions", F.lit(0)), 9).alias("first_position"),
         F.round(F.get("positions", F.size("positions") - 1), 9).alias("last_position"),
-        order.alias("_llm_order"),
+        "_llm_hash",
     )
     mix = written(mix, "mix")  # the ranges are sampled first, which would work the mix out twice
     begin = F.coalesce("first_position", F.lit(2.0))
-    return mix.repartitionByRange(begin, "_llm_order").sortWithinPartitions(begin, "_llm_order").drop("_llm_order")
+    return mix.repartitionByRange(begin, "_llm_hash").sortWithinPartitions(begin, "_llm_hash").drop("_llm_hash")
 
 
 @query("op5_feistel_shards")
