@@ -14,7 +14,7 @@ from candlemill.sinks import jdbc as jdbc_sink
 from candlemill.sinks.index import IndexSink
 from candlemill.sinks.tables import append_bucketed, export_csv, read_bucketed, replace_buckets
 from candlemill.sources import catalog, fetch, files, jdbc, master
-from candlemill.streaming.events import publish_landed
+from candlemill.streaming.events import landed_events, publish_landed
 from candlemill.workspace import new_folder, shared_root, written
 
 D = datetime.date.fromisoformat
@@ -324,3 +324,14 @@ def test_broken_lines_of_a_stream_are_kept(spark, tmp_path):
     assert [row["id"] for row in spark.read.json(resource).collect()] == ["1"]
     told = spark.read.parquet(errors).where("line is not null").collect()
     assert [(row["line"], row["kept"], row["path"].rsplit("/", 1)[1]) for row in told] == [('{"id": "9", "ty', False, "2024-05-19-1.json")]
+
+
+def test_landed_events_as_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps({**RECORD, "id": str(number)}) for number in range(5)] + ["{", "[]"]
+    (tmp_path / "in" / "one.json").write_text("\n".join(lines))
+    events = landed_events(spark, str(tmp_path / "in"), files_per_trigger=1)
+    assert events.isStreaming
+    query = events.writeStream.format("memory").queryName("landed").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert sorted(row["id"] for row in spark.table("landed").collect()) == list("01234")
