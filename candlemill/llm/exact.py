@@ -11,6 +11,8 @@ digest is hot, so a text with a third of all rows is no obstacle.
 ``deduplicated`` adds a batch to a lasting index, in which earlier batches win.
 ``largest_stays`` works through one table in two batches, the larger ids first, so
 that the row with the largest id stays and the second half meets the first in the index.
+``kept_rows`` does the same where only the rows that stay are wanted: their texts are then
+reduced to one row per digest on the map side and shuffled once, never written in between.
 
 Adding a batch twice under the same name changes nothing, so a job that died
 half-way is simply run again.
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import whole_text, with_columns
-from candlemill.operators.keyed import match_keyed
+from candlemill.operators.keyed import match_keyed, top_per_key
 from candlemill.workspace import written
 
 DIGEST = "text_sha256"
@@ -111,6 +113,33 @@ def deduplicated(df: DataFrame, index: DigestIndex, batch: str, text: str = "tex
     return judged(stamped(df, text, doc_id), index, batch)
 
 
+def _add_halves(groups: DataFrame, index: DigestIndex) -> None:
+    """Groups of the larger ids go into the index first; the others meet them there."""
+    for part, name in (("upper", "larger ids"), ("not upper", "other ids")):
+        index.add(groups.where(part).select(DIGEST, "keeper", F.lit(name).alias("batch")))
+
+
+def _upper_half(id_of: Column, middle: int | None) -> Column:
+    return F.coalesce(id_of > F.lit(middle), F.lit(False)).alias("upper")
+
+
+def kept_rows(df: DataFrame, index: DigestIndex, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` that stay: of equal texts the one with the largest id, with ``text_sha256``.
+
+    ``index`` is empty at first; ids are numbers.  Of rows that are equal in all columns any one stays.
+    """
+    others = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    place = F.struct(F.col(f"`{doc_id}`").alias("id"), others.alias("hash"), F.lit(0).cast("long").alias("number"))
+    rows = with_columns(df, {DIGEST: digest_of(text), "_llm_place": place})
+    id_of = F.col("_llm_place.id")
+    middle = df.agg(F.percentile_approx(f"`{doc_id}`", 0.5)).first()[0]
+    _add_halves(written(rows.groupBy(DIGEST, _upper_half(id_of, middle)).agg(F.max("_llm_place").alias("keeper")), "groups"), index)
+    largest = top_per_key(rows, [DIGEST], [id_of.desc_nulls_last(), F.col("_llm_place.hash").desc()])
+    known = index.rows().hint("merge").select(DIGEST, F.col("keeper").alias("_llm_keeper"))
+    met = largest.join(known, DIGEST).where(F.col("_llm_keeper").eqNullSafe(F.col("_llm_place")))
+    return met.drop("_llm_keeper", "_llm_place")
+
+
 def largest_stays(
     df: DataFrame, index: DigestIndex, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True
 ) -> DataFrame:
@@ -122,11 +151,9 @@ def largest_stays(
     rows = stamped(df, text, doc_id, keep_text)
     id_of = F.col("_llm_place.id")
     middle = rows.agg(F.percentile_approx(id_of, 0.5)).first()[0]
-    upper = F.coalesce(id_of > F.lit(middle), F.lit(False)).alias("upper")
-    groups = rows.groupBy(DIGEST, upper).agg(F.max("_llm_place").alias("keeper"), F.count("*").alias("_llm_size"))
+    groups = rows.groupBy(DIGEST, _upper_half(id_of, middle)).agg(F.max("_llm_place").alias("keeper"), F.count("*").alias("_llm_size"))
     groups = written(groups, "groups")
-    for part, name in (("upper", "larger ids"), ("not upper", "other ids")):
-        index.add(groups.where(part).select(DIGEST, "keeper", F.lit(name).alias("batch")))
+    _add_halves(groups, index)
     sizes = groups.groupBy(DIGEST).agg(F.sum("_llm_size").alias("_llm_size"))
     fate = sizes.join(index.rows().hint("merge").select(DIGEST, F.col("keeper").alias("_llm_keeper")), DIGEST)
     joined = match_keyed(rows, fate, [DIGEST], "inner")

@@ -94,3 +94,24 @@ def test_the_query_leaves_nothing_behind(spark, smallest):
     fates = queries.QUERIES["op7_exact_dedup"](spark, smallest)
     assert {table.name for table in spark.catalog.listTables()} == before
     assert fates.where("kept").count() == fates.select("text_sha256").distinct().count()
+
+
+def test_kept_rows_are_those_that_stay(spark, documents):
+    rows = [(i, f"t{i % 13}") for i in range(60)] + [(None, "t1"), (None, "alone"), (None, "alone"), (3, "t3"), (3, "t3"), (70, None), (1, "")]
+    rows += [(90, "same", "en", "a"), (90, "same", "en", "b"), (90, "same", "en", "b"), (2, "same")]
+    df = documents(rows, TEXT_SHA256=F.lit("old"), keeper=F.lit(1), note=F.lit("n"))
+    index = queries.new_index(spark)
+    kept = exact.kept_rows(df, index).collect()
+    judged = exact.largest_stays(df, queries.new_index(spark)).where("kept").collect()
+    wanted = sorted((str(r["doc_id"]), r["text"] or "", r["text_sha256"]) for r in judged)
+    assert sorted((str(r["doc_id"]), r["text"] or "", r["text_sha256"]) for r in kept) == wanted
+    assert len(kept) == index.rows().count() and {row["note"] for row in kept} == {"n"}
+    again = exact.kept_rows(df.repartition(5), queries.new_index(spark)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, kept))
+    assert exact.kept_rows(documents([]), queries.new_index(spark)).count() == 0
+
+
+def test_kept_texts_are_limited_before_their_shuffle(spark, documents):
+    plan = exact.kept_rows(documents([(i, "one text") for i in range(50)]), queries.new_index(spark))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2 and "SortMergeJoin" in text
