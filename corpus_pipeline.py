@@ -39,7 +39,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id."""
-    return exact.largest_stays(docs.select(*COLUMNS), new_index(spark)).where("kept").select(*COLUMNS)
+    return exact.kept_rows(docs.select(*COLUMNS), new_index(spark)).select(*COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
