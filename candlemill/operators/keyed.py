@@ -92,12 +92,13 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], with
 
     ``within`` names a key column, such as the day: only that range of the target
     which the batch spans is then read.  The batch is read once more for the two
-    bounds, so it had better be a stored table.
+    bounds, so it had better be a stored table.  The target's keys are as many as its rows and
+    take little room in a file, so the hint keeps them from being broadcast.
     """
     if within is not None:
         low, high = batch.agg(F.min(within), F.max(within)).first()
         target = target.where(F.col(within).between(F.lit(low), F.lit(high)))
-    return one_row_per_key(batch, keys).join(target.select(*keys), list(keys), "left_anti")
+    return one_row_per_key(batch, keys).join(target.select(*keys).hint("merge"), list(keys), "left_anti")
 
 
 def merged_ranges(ranges: DataFrame, key: str) -> DataFrame:

@@ -64,9 +64,12 @@ def plan_windows(
 
 
 def rebased_codes(fetched: DataFrame, stored: DataFrame, code: str, day: str, price: str) -> DataFrame:
-    """Codes whose fetched price differs from the stored one on the same day."""
+    """Codes whose fetched price differs from the stored one on the same day.
+
+    Rows meet rows here, so neither side is ever broadcast.
+    """
     old = stored.select(code, day, F.col(price).alias("_old"))
-    both = fetched.select(code, day, price).join(old, [code, day])
+    both = fetched.select(code, day, price).join(old.hint("merge"), [code, day])
     return both.where(F.col(price) != F.col("_old")).select(code).distinct()
 
 

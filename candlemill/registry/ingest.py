@@ -193,6 +193,19 @@ def _served(spark, d):
     return series.withColumn("close", F.col("close") * F.coalesce("_x", F.lit(1))).drop("_x")
 
 
+def _answers(served, asked):
+    """The served rows of the ``asked`` windows, matched by blocks of days.
+
+    A window is in one or two blocks, so days are never spelled out.  Windows take so little room in a file that Spark
+    would broadcast millions of them from its estimate; hence the hint.
+    """
+    blocks = [F.expr(f"unix_date(`{name}`) div {WINDOW_DAYS}") for name in ("from", "to")]
+    spans = asked.select(F.col("code").alias("_code"), "from", "to", F.explode(F.sequence(*blocks)).alias("_block"))
+    block = F.expr(f"unix_date(day) div {WINDOW_DAYS}")
+    inside = (F.col("code") == F.col("_code")) & (block == F.col("_block")) & F.col("day").between(F.col("from"), F.col("to"))
+    return served.join(spans.hint("merge"), inside, "left_semi")
+
+
 # Codes whose listing announces a new price basis; some of them did change.
 ANNOUNCED = "s_suppkey % 7 = 0"
 
@@ -203,8 +216,7 @@ def _daily_run(spark, d, listing, stored, failing="false"):
 
     def fetch(requests):
         asked = written(requests, "asked")
-        days = asked.where(f"not ({failing})").select("code", F.explode(F.sequence("from", "to")).alias("day"))
-        return written(served.join(days, ["code", "day"], "left_semi"), "answered"), asked.where(failing)
+        return written(_answers(served, asked.where(f"not ({failing})")), "answered"), asked.where(failing)
 
     return daily_update(listing, stored, fetch, AS_OF)
 
@@ -269,8 +281,7 @@ def _stored_run(spark, d):
     served = _served(spark, d)
 
     def fetch(requests):
-        days = written(requests, "asked").select("code", F.explode(F.sequence("from", "to")).alias("day"))
-        return written(served.join(days, ["code", "day"], "left_semi"), "answered"), requests.limit(0)
+        return written(_answers(served, written(requests, "asked")), "answered"), requests.limit(0)
 
     def no_fetch(requests):
         raise RuntimeError("a resumed run fetches nothing again")

@@ -7,8 +7,10 @@ import pytest
 import __spark_entry__ as contract
 from candlemill.operators.ewm import ewm_means
 from candlemill.operators.keyed import delete_ranges, drop_listed, keep_listed, subtract_rows, top_per_key
-from candlemill.plans.ingest import purge_old, rows_after_stored
+from candlemill.plans.ingest import new_prices, purge_old, rebased_codes, rows_after_stored
 from candlemill.registry.base import daily_series, table
+from candlemill.registry.ingest import _answers
+from candlemill.workspace import written
 
 
 def plan_of(df):
@@ -125,3 +127,15 @@ def test_retention_cutoff_reaches_the_scan(spark, smallest):
 def test_bucketed_tables_join_without_a_shuffle(spark, smallest):
     plan = plan_of(contract.queries()["bucketed_join"](spark, smallest))
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_the_daily_run_broadcasts_no_rows(spark, rows):
+    """Windows, prices and keys compress so well that their files pass for small tables."""
+    spans = "code", "cast(date '1969-06-01' + cast(id as int) as date) as `from`", "cast(date '1969-06-01' + cast(id + 70 as int) as date) as `to`"
+    asked = written(spark.range(0, 800, 90).selectExpr("id", "id div 270 as code").selectExpr("id", *spans).drop("id"), "asked")
+    served = written(spark.range(4000).selectExpr("id % 4 as code", "date_add(date '1969-05-01', int(id div 4)) as day", "id as close"), "served")
+    found = _answers(served, asked)
+    assert rows(found) == rows(served.join(asked.selectExpr("code", "explode(sequence(`from`, `to`)) as day"), ["code", "day"], "left_semi"))
+    for df in (found, rebased_codes(served, served, "code", "day", "close"), new_prices(served, served)):
+        plan = executed_plan_of(df)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
