@@ -153,8 +153,9 @@ class PriceStore:
             touched = fresh.select(CODE).unionByName(redone.select(CODE)).distinct()
 
             def changed(rows: DataFrame) -> DataFrame:
-                # Rows of an attempt that died are there already.
-                return still_valid(rows, redone).join(fresh.select(CODE, DAY), [CODE, DAY], "left_anti").unionByName(fresh)
+                # Rows of an attempt that died are there already; keys of rows are too many to broadcast.
+                again = fresh.select(CODE, DAY).hint("merge")
+                return still_valid(rows, redone).join(again, [CODE, DAY], "left_anti").unionByName(fresh)
 
             self._replace("indicators", touched, changed)
 

@@ -293,6 +293,25 @@ def test_a_run_that_dies_in_every_step_is_resumed(spark, monkeypatch, history):
     assert {r["etlcheck"] for r in store.listing("r").collect()} == {"20240325"}
 
 
+def test_keys_of_rows_are_not_broadcast_by_a_step(spark, monkeypatch, history):
+    """Rows of an attempt that died are found by their keys, which are as many as the new rows."""
+    from candlemill.plans import store as module
+
+    listing, first, _, ask = history
+    store = PriceStore(spark, new_folder(spark, "store"), "code string, day date, close bigint, volume bigint", spans=(5,), buckets=4)
+    store.load(first)
+    replace, plans = module.replace_buckets, []
+
+    def watched(spark, path, shape, keys, touched, change, buckets):
+        replace(spark, path, shape, keys, touched, lambda rows: plans.append((path, change(rows))) or plans[-1][1], buckets)
+
+    monkeypatch.setattr(module, "replace_buckets", watched)
+    store.daily("r", listing, ask, D("2024-03-25"))
+    (changed,) = [df for path, df in plans if path.endswith("/indicators")]
+    joins = [line for line in changed._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "day#" in line]
+    assert any("SortMergeJoin" in line and "LeftAnti" in line for line in joins)
+
+
 def test_a_finished_run_does_nothing(spark, history):
     listing, first, service, ask = history
     store = PriceStore(spark, new_folder(spark, "store"), "code string, day date, close bigint, volume bigint", spans=(5,), buckets=4)
