@@ -117,7 +117,8 @@ def _malformed(spark, d):
         .otherwise(line)
     )
     lines = events.select(landed.alias("value"), (number % FILES).alias("file"))
-    lines.repartition(FILES, "file").write.partitionBy("file").option("compression", "gzip").text(root)
+    # A large file comes in parts: a task sorts no more lines than adaptive execution gives it.
+    lines.hint("rebalance", F.col("file")).write.partitionBy("file").option("compression", "gzip").text(root)
     return read_json(spark, f"{root}/file=*", NESTED)
 
 
@@ -150,9 +151,10 @@ def _events_malformed_lines(spark, d):
         from ({RAW_EVENTS}) where {BROKEN} group by 1""",
 )
 def _events_malformed_files(spark, d):
-    """Lines with errors per file, in place of a path that is new each time."""
+    """Lines with errors per file, all of its parts together, in place of a path that is new each time."""
     counted = errors_per_file(_malformed(spark, d)[1])
-    return counted.select(F.regexp_extract("path", r"file=(\d+)/", 1).cast("long").alias("file"), "lines", "lost")
+    file = F.regexp_extract("path", r"file=(\d+)/", 1).cast("long").alias("file")
+    return counted.groupBy(file).agg(F.sum("lines").alias("lines"), F.sum("lost").alias("lost"))
 
 
 ARCHIVE_DAY = "2024-01-15"

@@ -101,6 +101,25 @@ def test_broken_lines_are_told(spark, tmp_path):
     assert counted == {"one.json": (7, 5), "two.json": (1, 1)}
 
 
+def test_a_large_landed_file_comes_in_parts(spark, smallest, rows, monkeypatch):
+    """No task sorts all lines of a file; the parts are told together."""
+    from candlemill.registry import events
+    from candlemill.workspace import written
+
+    raw = written(events.raw_events(spark, smallest).repartition(8), "raw")
+    whole = rows(events._events_malformed_files(spark, smallest))
+    monkeypatch.setattr(events, "raw_events", lambda spark, d: raw)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4k")
+    try:
+        counted = rows(events.errors_per_file(events._malformed(spark, smallest)[1]))
+        assert len(counted) > events.FILES == len(whole)
+        assert rows(events._events_malformed_files(spark, smallest)) == whole
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_inferred_schema_comes_from_whole_lines(spark, tmp_path):
     _write_lines(tmp_path / "one.json", ['{"a":1}', '{"a":2,"b":', '{"a":3,"c":"z"}'])
     rows, errors = files.read_json(spark, str(tmp_path))
