@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
@@ -28,27 +29,63 @@ def _outcome(requests: DataFrame, schema: T.StructType) -> T.StructType:
 
 
 def _caller(fetch: Callable[[Mapping], Mapping[str, Sequence]], item: pa.StructType, pause: float):
-    """One paced call: (error or None, rows)."""
+    """One paced call: (error or None, rows), the rows as equally long lists or, of other answers, as an array."""
+    fields = list(item)
 
-    def call(request: dict) -> tuple[str | None, pa.Array]:
-        time.sleep(pause)
+    def call(request: dict) -> tuple[str | None, list[list] | pa.Array]:
+        if pause:  # a sleep of no time costs more than a short answer
+            time.sleep(pause)
         try:
             answer = fetch(request)
-            columns = [pa.array(answer[field.name], type=field.type) for field in item]
-            return None, pa.StructArray.from_arrays(columns, fields=list(item))
+            columns = [answer[field.name] for field in fields]
+            if all(type(column) is list and len(column) == len(columns[0]) for column in columns):
+                return None, [column[:] for column in columns]  # the caller may use its lists again
+            return None, _as_array(columns, fields)
         except Exception as failure:  # noqa: BLE001 - any failure becomes an error row
-            return f"{type(failure).__name__}: {failure}", pa.array([], type=item)
+            return _failed(failure), pa.array([], type=item)
 
     return call
 
 
-def _told(asked: pa.RecordBatch, outcomes: list[tuple[str | None, pa.Array]], arrow: pa.Schema) -> pa.RecordBatch:
+def _failed(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {failure}"
+
+
+def _as_array(columns: Sequence[Sequence], fields: list[pa.Field]) -> pa.Array:
+    arrays = [pa.array(column, type=field.type) for column, field in zip(columns, fields, strict=True)]
+    return pa.StructArray.from_arrays(arrays, fields=fields)
+
+
+def _size(answer: list[list] | pa.Array) -> int:
+    return len(answer[0]) if isinstance(answer, list) else len(answer)
+
+
+def _together(outcomes: list[tuple[str | None, list[list] | pa.Array]], item: pa.StructType):
+    """(errors, sizes, rows) of some calls; lists become arrays once for all of them."""
+    fields = list(item)
+    try:
+        if all(isinstance(answer, list) for _, answer in outcomes if _size(answer)):
+            full = [answer for _, answer in outcomes if _size(answer)]
+            joined = [[value for answer in full for value in answer[n]] for n in range(len(fields))]
+            return [error for error, _ in outcomes], [_size(answer) for _, answer in outcomes], _as_array(joined, fields)
+    except Exception:  # noqa: BLE001 - the call with the value that doesn't fit is found below
+        pass
+    errors, arrays = [], []
+    for error, answer in outcomes:
+        try:
+            arrays.append(_as_array(answer, fields) if isinstance(answer, list) else answer)
+        except Exception as failure:  # noqa: BLE001 - any failure becomes an error row
+            error = _failed(failure)
+            arrays.append(pa.array([], type=item))
+        errors.append(error)
+    return errors, [len(array) for array in arrays], pa.concat_arrays(arrays)
+
+
+def _told(asked: pa.RecordBatch, outcomes: list[tuple[str | None, list[list] | pa.Array]], arrow: pa.Schema) -> pa.RecordBatch:
     """The requests of some calls with what came of them."""
-    errors, answers = zip(*outcomes, strict=True)
-    ends = [0]
-    for answer in answers:
-        ends.append(ends[-1] + len(answer))
-    rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(answers))
+    errors, sizes, answers = _together(outcomes, arrow.field("rows").type.value_type)
+    ends = list(itertools.accumulate(sizes, initial=0))
+    rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), answers)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(asked.to_struct_array(), type=arrow.field("request").type),
@@ -128,7 +165,7 @@ def walk_windows(
                 if empty > most_empty:
                     continue
                 error, rows = call(request)
-                empty += error is None and len(rows) == 0
+                empty += error is None and _size(rows) == 0
                 places.append(place)
                 outcomes.append((error, rows))
                 if len(places) == CALLS_PER_BATCH:

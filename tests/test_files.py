@@ -209,6 +209,51 @@ def test_fetch_calls_once_per_request_and_keeps_failures(spark, tmp_path, rows):
 SHAPE = "code string, v int"
 
 
+def test_short_answers_cost_no_sleep_and_one_conversion_together(monkeypatch):
+    """Answers become arrays together; a value that doesn't fit is the error of its call alone."""
+    import pyarrow as pa
+
+    from candlemill.sources import fetch
+
+    def no_sleep(pause):
+        raise AssertionError("slept without a pause")
+
+    made, as_array, shared = [], fetch._as_array, [0]
+    monkeypatch.setattr(fetch.time, "sleep", no_sleep)
+    monkeypatch.setattr(fetch, "_as_array", lambda *given: made.append(given) or as_array(*given))
+
+    def answer(request):
+        if request["n"] == "reused":
+            shared[0] += 1
+            return {"a": shared, "b": ["x"]}
+        if request["n"] == "tuple":
+            return {"a": (1, 2), "b": ["x", None]}
+        return {"good": {"a": [1, None], "b": ["x", "y"]}, "none": {"a": [], "b": []}, "text": {"a": ["t"], "b": ["x"]},
+                "uneven": {"a": [1, 2], "b": ["x"]}}[request["n"]]
+
+    item = pa.struct([("a", pa.int64()), ("b", pa.string())])
+    arrow = pa.schema([("request", pa.struct([("n", pa.string())])), ("error", pa.string()), ("rows", pa.list_(item))])
+    call = fetch._caller(answer, item, 0.0)
+
+    def told(*names):
+        asked = pa.RecordBatch.from_pydict({"n": list(names)})
+        out = fetch._told(asked, [call(request) for request in asked.to_pylist()], arrow).to_pylist()
+        assert [row["request"]["n"] for row in out] == list(names)
+        return [row["error"] and row["error"].split(":")[0] for row in out], [[tuple(r.values()) for r in row["rows"]] for row in out]
+
+    good = [(1, "x"), (None, "y")]
+    assert told("good", "none", "lost", "good", "reused", "reused") == (
+        [None, None, "KeyError", None, None, None],
+        [good, [], [], good, [(1, "x")], [(2, "x")]],
+    )
+    assert len(made) == 1
+    assert told("none", "lost") == ([None, "KeyError"], [[], []])
+    assert told("good", "text", "none", "uneven", "tuple") == (
+        [None, "ArrowInvalid", None, "ArrowInvalid", None],
+        [good, [], [], [], [(1, "x"), (2, None)]],
+    )
+
+
 def test_bucketed_table_append_replace(spark, rows):
     path = new_folder(spark, "table")
     assert read_bucketed(spark, path, SHAPE).count() == 0
