@@ -36,8 +36,16 @@ GAP = 15
 NUDGE = 1e-7
 
 
+def _round(value: Column, digits: int) -> Column:
+    """Half away from zero, as SQL rounds a double; ``F.round`` makes a decimal number of each value.
+
+    The factor is a hair above the power of ten, so an exact half is no half any more.
+    """
+    return F.rint(value * (10.0**digits * (1 + 2.0**-52))) / 10.0**digits
+
+
 def _rounded(name: str) -> Column:
-    return F.round(F.col(name) + NUDGE, 3).alias(name)
+    return _round(F.col(name) + NUDGE, 3).alias(name)
 
 
 def _mean(value: str, span: int) -> str:
@@ -70,7 +78,7 @@ def _rounded_indicators(df):
         "code",
         "day",
         *[
-            F.round(name, 6).alias(name) if name.startswith("disparity") else _rounded(name)
+            _round(F.col(name), 6).alias(name) if name.startswith("disparity") else _rounded(name)
             for name in indicator_columns()
         ],
     )

@@ -5,6 +5,7 @@ import datetime
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from candlemill.operators import ewm
 from candlemill.operators.ewm import ewm_means, ewm_states, grouped_ewm, mean_name
@@ -291,3 +292,21 @@ def test_a_late_row_reads_no_earlier_block(spark, tmp_path):
     again = spark.read.parquet(path).where(ind.F.col("day") >= ind.F.lit(first_read))
     assert f"GreaterThanOrEqual(day,{first_read})" in again._jdf.queryExecution().executedPlan().toString()
     assert 0 < (first_read - days[0]).days and first_read <= days[2440]
+
+
+def test_rounding_is_that_of_sql_without_a_decimal_for_each_value(spark):
+    import duckdb
+
+    from candlemill.registry.series import _round, _rounded_indicators
+
+    values = [0.0625, -0.0625, 0.1875, 62.5, -0.5, 0.0004999, 1234567.8915, -3.0015, 0.0, 100.0, 1e12 + 0.25, None]
+    values += [(n * 7919 % 100003) / 977 - 40 for n in range(2000)]
+    df = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, x double")
+    found = [tuple(r) for r in df.select("n", _round(F.col("x"), 3), _round(F.col("x"), 6)).orderBy("n").collect()]
+    con = duckdb.connect()
+    wanted = [(n, *con.execute("select round(?::double, 3), round(?::double, 6)", [v, v]).fetchall()[0]) for n, v in enumerate(values)]
+    for here, there in zip(found, wanted, strict=True):
+        assert here == there or here == pytest.approx(there, rel=1e-15)
+    columns = [F.lit(1.5).alias(name) for name in ind.indicator_columns()]
+    rounded = _rounded_indicators(spark.range(3).select("id", F.lit(1).alias("code"), F.lit(2).alias("day"), *columns))
+    assert "round(" not in rounded._jdf.queryExecution().analyzed().toString()
